@@ -247,3 +247,77 @@ def ORACLES() -> dict[str, str]:
 
 
 EXTRA: dict[str, str] = {}
+
+
+# ---- staging ---------------------------------------------------------------
+
+def _stg_flights(direction: str) -> str:
+    own, other = ("arrival", "departure") if direction == "arrival" else ("departure", "arrival")
+    parity = 0 if direction == "arrival" else 1
+    extra = "AND o.o_orderkey % 10 <> 1" if direction == "arrival" else ""
+    sign = "-" if direction == "arrival" else "+"
+    return f"""
+WITH li AS (
+  SELECT l.*, o.o_orderkey, o.o_custkey, o.o_orderdate,
+    l.l_shipdate + to_hours(CAST(l.l_linenumber AS BIGINT)) AS base,
+    ['SVO', 'BKK', 'DMK', 'CNX', 'KUL'][l.l_suppkey % 5 + 1] AS oth
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE l.l_partkey % 2 = {parity} AND o.o_orderkey % 10 <> 0 {extra})
+SELECT 'aerodatabox' AS source, ['HKT', 'BKK', 'DMK'][o_custkey % 3 + 1] AS airport_code,
+  'IATA' AS code_type,
+  o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)) AS window_from_local,
+  o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)) + INTERVAL 12 HOUR AS window_to_local,
+  o_orderdate + INTERVAL 1 DAY AS loaded_at,
+  '{direction}' AS direction,
+  'L' || CAST(l_partkey AS VARCHAR) AS flight_number, l_returnflag AS flight_status,
+  'C' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS call_sign,
+  l_linestatus AS codeshare_status,
+  'S' || CAST(l_suppkey % 10 AS VARCHAR) AS airline_iata,
+  'SUP' || CAST(l_suppkey % 10 AS VARCHAR) AS airline_icao,
+  'Supplier ' || CAST(l_suppkey AS VARCHAR) AS airline_name,
+  CASE WHEN l_tax > 0 THEN 'R' || CAST(l_partkey AS VARCHAR) END AS aircraft_registration,
+  CASE WHEN l_tax > 0 THEN 'M' || CAST(l_partkey % 997 AS VARCHAR) END AS aircraft_modes,
+  CASE WHEN l_tax > 0 THEN 'Model-' || CAST(l_partkey % 5 AS VARCHAR) END AS aircraft_model,
+  'T' || CAST(l_linenumber % 3 AS VARCHAR) AS {own}_terminal,
+  base AS scheduled_{own}_utc, base AS scheduled_{own}_local,
+  CASE WHEN l_discount > 0 THEN base + to_minutes(CAST(l_quantity AS BIGINT)) END AS revised_{own}_utc,
+  CASE WHEN l_discount > 0 THEN base + to_minutes(CAST(l_quantity AS BIGINT)) END AS revised_{own}_local,
+  oth AS {other}_airport_iata, 'X' || oth AS {other}_airport_icao,
+  'Airport ' || oth AS {other}_airport_city, 'Asia/Bangkok' AS {other}_airport_timezone,
+  'D' || CAST(l_suppkey % 4 AS VARCHAR) AS {other}_terminal,
+  base {sign} INTERVAL 2 HOUR AS scheduled_{other}_utc, base {sign} INTERVAL 2 HOUR AS scheduled_{other}_local,
+  CAST(NULL AS TIMESTAMP) AS revised_{other}_utc, CAST(NULL AS TIMESTAMP) AS revised_{other}_local,
+  l_quantity > 25 AS is_cargo
+FROM li"""
+
+
+def _stg_weather(source: str, loaded: str) -> str:
+    return f"""
+WITH h AS (
+  SELECT ['HKT', 'BKK', 'DMK'][user_id % 3 + 1] AS airport_iata, date_trunc('hour', ts) AS weather_time_utc,
+    15.0 + count(*) AS t, 17.0 + count(*) AS atmp, 5.0 + count(*) AS dp, 40.0 + sum(user_id) % 60 AS rh,
+    count(*) FILTER (WHERE event_type = 'error') * 1.25 AS pr,
+    count(*) FILTER (WHERE event_type = 'purchase') * 1.25 AS rn,
+    CAST(sum(user_id) % 101 AS INTEGER) AS cc, min(value) * 1000.0 AS vis, max(value) / 10.0 AS ws,
+    CAST(sum(event_id) % 360 AS INTEGER) AS wd,
+    [{CODES}][CAST(sum(user_id) % 28 AS INTEGER) + 1] AS wc
+  FROM events GROUP BY 1, 2)
+SELECT '{source}' AS source, airport_iata, {loaded} AS loaded_at, weather_time_utc,
+  CAST(t AS DOUBLE) AS temperature_2m_c, CAST(atmp AS DOUBLE) AS apparent_temperature_c,
+  CAST(dp AS DOUBLE) AS dewpoint_2m_c, CAST(rh AS DOUBLE) AS relative_humidity_2m_pct,
+  CAST(pr AS DOUBLE) AS precipitation_mm, CAST(rn AS DOUBLE) AS rain_mm, 0.0::DOUBLE AS snowfall_cm,
+  cc AS cloudcover_pct, CAST(NULL AS INTEGER) AS cloudcover_low_pct, CAST(NULL AS INTEGER) AS cloudcover_mid_pct,
+  CAST(NULL AS INTEGER) AS cloudcover_high_pct, CAST(NULL AS DOUBLE) AS surface_pressure_hpa,
+  CAST(NULL AS DOUBLE) AS pressure_msl_hpa,
+  CASE WHEN day(weather_time_utc) % 5 <> 0 THEN vis END AS visibility_m,
+  ws AS windspeed_10m_ms, CAST(NULL AS DOUBLE) AS windgusts_10m_ms, wd AS winddirection_10m_deg,
+  wc AS weathercode, CASE wc {DESCRIPTIONS} ELSE 'Unknown' END AS weather_description
+FROM h"""
+
+
+EXTRA.update({
+    "stg_flight_arrivals": _stg_flights("arrival"),
+    "stg_flight_departures": _stg_flights("departure"),
+    "stg_weather_api": _stg_weather("open-meteo", "CAST(weather_time_utc AS DATE) + INTERVAL 1 DAY"),
+    "stg_weather_history": _stg_weather("history", "TIMESTAMP '2024-03-01 00:00:00'"),
+})

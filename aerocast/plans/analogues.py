@@ -137,3 +137,155 @@ def weather_inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     api = hourly_weather(ev.filter((F.col("event_id") % 2) == 0), "open-meteo", "2024-02-01 00:00:00")
     hist = hourly_weather(ev, "history", "2024-01-31 00:00:00")
     return [api, hist]
+
+
+# ---- raw payload batches -------------------------------------------------
+
+OTHER_AIRPORTS = ["SVO", "BKK", "DMK", "CNX", "KUL"]   # by l_suppkey % 5
+BATCH_SIZE = 8   # flights per payload page: keeps every collect_list bounded
+AIRPORT_T = "struct<iata:string,icao:string,name:string,timeZone:string>"
+TIME_T = "struct<utc:string,local:string>"
+
+
+def _utc_text(ts: Column) -> Column:
+    return F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm"), F.lit("Z"))
+
+
+def _local_text(ts: Column) -> Column:
+    return F.concat(F.date_format(ts + F.expr("INTERVAL 7 HOURS"), "yyyy-MM-dd HH:mm"), F.lit("+07:00"))
+
+
+def _tp(ts: Column) -> Column:
+    return F.struct(_utc_text(ts).alias("utc"), _local_text(ts).alias("local"))
+
+
+def fids_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight-board batches in the raw API-table layout: one payload page
+    per (order, chunk of ≤ 8 lines) with ``arrivals`` (even part keys) and
+    ``departures`` (odd); every 10th order answers ``{"flights":[]}`` and
+    the next one ``{"arrivals":null, …}``."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice")
+    from pyspark.sql import Window
+    w = Window.partitionBy("l_orderkey").orderBy(
+        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    li = li.withColumn("_chunk", F.floor((F.row_number().over(w) - 1) / BATCH_SIZE))
+    base = add_micros(F.col("l_shipdate"), F.col("l_linenumber").cast("bigint") * 3_600_000_000)
+    two_h = F.lit(7_200_000_000)
+    revised = F.when(F.col("l_discount") > 0,
+                     _tp(add_micros(base, F.col("l_quantity").cast("int").cast("bigint") * 60_000_000)))
+    other_iata = _pick(OTHER_AIRPORTS, F.col("l_suppkey") % 5)
+    other_airport = F.struct(other_iata.alias("iata"), F.concat(F.lit("X"), other_iata).alias("icao"),
+                             F.concat(F.lit("Airport "), other_iata).alias("name"),
+                             F.lit("Asia/Bangkok").alias("timeZone"))
+    terminal = F.concat(F.lit("T"), (F.col("l_linenumber") % 3).cast("string"))
+    other_terminal = F.concat(F.lit("D"), (F.col("l_suppkey") % 4).cast("string"))
+    is_arr = (F.col("l_partkey") % 2) == 0
+    # both legs share one struct type: the board airport's own leg has no
+    # airport object, the other end no revised time (to_json drops NULLs)
+    own_leg = F.struct(terminal.alias("terminal"), F.lit(None).cast(AIRPORT_T).alias("airport"),
+                       _tp(base).alias("scheduledTime"), revised.alias("revisedTime"))
+    other_time = F.when(is_arr, add_micros(base, -two_h)).otherwise(add_micros(base, two_h))
+    other_leg = F.struct(other_terminal.alias("terminal"), other_airport.alias("airport"),
+                         _tp(other_time).alias("scheduledTime"), F.lit(None).cast(TIME_T).alias("revisedTime"))
+    sk = (F.col("l_suppkey") % 10).cast("string")
+    elem = F.struct(
+        F.concat(F.lit("L"), F.col("l_partkey").cast("string")).alias("number"),
+        F.col("l_returnflag").alias("status"),
+        F.concat(F.lit("C"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string")).alias("callSign"),
+        F.col("l_linestatus").alias("codeshareStatus"),
+        (F.col("l_quantity") > 25).alias("isCargo"),
+        F.struct(F.concat(F.lit("S"), sk).alias("iata"), F.concat(F.lit("SUP"), sk).alias("icao"),
+                 F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("name")).alias("airline"),
+        F.when(F.col("l_tax") > 0, F.struct(
+            F.concat(F.lit("R"), F.col("l_partkey").cast("string")).alias("reg"),
+            F.concat(F.lit("M"), (F.col("l_partkey") % 997).cast("string")).alias("modeS"),
+            F.concat(F.lit("Model-"), (F.col("l_partkey") % 5).cast("string")).alias("model"))).alias("aircraft"),
+        F.when(is_arr, own_leg).otherwise(other_leg).alias("arrival"),
+        F.when(is_arr, other_leg).otherwise(own_leg).alias("departure"),
+    )
+    lines = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "_chunk", is_arr.alias("_is_arr"), elem.alias("e"))
+    pages = (lines.groupBy("o_orderkey", "o_custkey", "o_orderdate", "_chunk")
+             .agg(F.collect_list(F.when(F.col("_is_arr"), F.col("e"))).alias("arrivals"),
+                  F.collect_list(F.when(~F.col("_is_arr"), F.col("e"))).alias("departures")))
+    ok10 = F.col("o_orderkey") % 10
+    payload = (F.when(ok10 == 0, F.lit('{"flights":[]}'))
+               .when(ok10 == 1, F.concat(F.lit('{"arrivals":null,"departures":'),
+                                         F.to_json("departures"), F.lit("}")))
+               .otherwise(F.to_json(F.struct("arrivals", "departures"))))
+    start = add_micros(F.col("o_orderdate"), ((F.col("o_orderkey") % 720) * 60_000_000).cast("bigint"))
+    return pages.select(
+        F.lit("aerodatabox").alias("source"),
+        _pick(HOME_PORTS, F.col("o_custkey") % 3).alias("airport_code"),
+        F.lit("IATA").alias("code_type"),
+        F.date_format(start, "yyyy-MM-dd'T'HH:mm").alias("from_local"),
+        F.date_format(start + F.expr("INTERVAL 12 HOURS"), "yyyy-MM-dd'T'HH:mm").alias("to_local"),
+        F.lit("Both").alias("direction"),
+        add_micros(F.col("o_orderdate"), F.lit(86_400_000_000)).alias("extracted_at"),
+        payload.alias("payload"),
+    )
+
+
+PAYLOAD_VARIABLES = [  # analogue column → API variable carried in day payloads
+    ("temperature_2m_c", "temperature_2m"), ("apparent_temperature_c", "apparent_temperature"),
+    ("dewpoint_2m_c", "dewpoint_2m"), ("relative_humidity_2m_pct", "relativehumidity_2m"),
+    ("precipitation_mm", "precipitation"), ("rain_mm", "rain"), ("snowfall_cm", "snowfall"),
+    ("cloudcover_pct", "cloudcover"), ("visibility_m", "visibility"),
+    ("windspeed_10m_ms", "windspeed_10m"), ("winddirection_10m_deg", "winddirection_10m"),
+    ("weathercode", "weathercode"),
+]
+
+
+def weather_day_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(airport, day) → hourly parallel-array payload text (≤ 24 hours per
+    group); days with day-of-month divisible by 5 omit the visibility
+    array.  Columns: airport_iata, day, payload."""
+    hours = hourly_weather(table(spark, sf_dir, "events"), "history", "2024-01-31 00:00:00")
+    cols = ["weather_time_utc"] + [c for c, _ in PAYLOAD_VARIABLES]
+    g = (hours.groupBy("airport_iata", F.to_date("weather_time_utc").alias("day"))
+         .agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("h")))
+    arrays = [F.transform("h", lambda x: F.date_format(x["weather_time_utc"], "yyyy-MM-dd'T'HH:mm")).alias("time")]
+    def field(name):
+        return lambda x: x[name].cast("double")
+    for c, v in PAYLOAD_VARIABLES:
+        arr = F.transform("h", field(c))
+        if v == "visibility":
+            arr = F.when(F.dayofmonth("day") % 5 != 0, arr)
+        arrays.append(arr.alias(v))
+    return g.select("airport_iata", "day", F.to_json(F.struct(F.struct(*arrays).alias("hourly"))).alias("payload"))
+
+
+AIRPORT_COORDS = {"HKT": (8.1132, 98.3169), "BKK": (13.69, 100.7501), "DMK": (13.9126, 100.6068)}
+
+
+def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw weather API table: one payload per airport-day."""
+    p = weather_day_payloads(spark, sf_dir)
+    lat = F.coalesce(*[F.when(F.col("airport_iata") == k, F.lit(v[0])) for k, v in AIRPORT_COORDS.items()])
+    lon = F.coalesce(*[F.when(F.col("airport_iata") == k, F.lit(v[1])) for k, v in AIRPORT_COORDS.items()])
+    return p.select(F.lit("open-meteo").alias("source"), "airport_iata", lat.alias("latitude"),
+                    lon.alias("longitude"), F.col("day").alias("start_date"), F.col("day").alias("end_date"),
+                    (F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")).alias("loaded_at"),
+                    "payload")
+
+
+def weather_history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw history documents: one per (airport, ISO week) holding a list of
+    day records; even days embed the payload as an object, odd days as
+    JSON text."""
+    p = weather_day_payloads(spark, sf_dir)
+    as_text = F.to_json(F.struct(F.lit("history").alias("source"), F.col("airport_iata"),
+                                 F.col("payload")))
+    as_obj = F.concat(F.lit('{"source":"history","airport_iata":"'), F.col("airport_iata"),
+                      F.lit('","payload":'), F.col("payload"), F.lit("}"))
+    rec = F.when(F.dayofmonth("day") % 2 == 0, as_obj).otherwise(as_text)
+    g = (p.groupBy("airport_iata", F.year("day").alias("y"), F.weekofyear("day").alias("wk"))
+         .agg(F.sort_array(F.collect_list(rec)).alias("recs")))
+    return g.select(F.concat(F.lit("["), F.array_join("recs", ","), F.lit("]")).alias("weather_data"),
+                    F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("_load_dt"),
+                    F.concat_ws("-", "airport_iata", "y", "wk").alias("_batch_id"))

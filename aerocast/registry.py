@@ -88,3 +88,45 @@ def q_summary(spark, sf_dir):
 def q_delay_distribution(spark, sf_dir):
     """A5: flights per departure status."""
     return delay_distribution(fact_flights(spark, sf_dir))
+
+
+# ---- staging from raw JSON batches --------------------------------------
+
+from aerocast.plans.staging import (  # noqa: E402
+    stage_flights, stage_weather_api, stage_weather_history,
+)
+
+
+def _instants_as_utc(df: DataFrame) -> DataFrame:
+    """Zoned instants → naive UTC wall clock (the oracle's representation)."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@query("stg_flight_arrivals")
+def q_stg_arrivals(spark, sf_dir):
+    """Arrivals exploded from raw board payloads (the
+    element JSON text column is checked in unit tests)."""
+    return _instants_as_utc(stage_flights(an.fids_batches(spark, sf_dir), "arrival")
+                            .drop("arrival_payload"))
+
+
+@query("stg_flight_departures")
+def q_stg_departures(spark, sf_dir):
+    """L1 for departures."""
+    return _instants_as_utc(stage_flights(an.fids_batches(spark, sf_dir), "departure")
+                            .drop("departure_payload"))
+
+
+@query("stg_weather_api")
+def q_stg_weather_api(spark, sf_dir):
+    """Lockstep explode of parallel hourly arrays."""
+    return stage_weather_api(an.weather_raw(spark, sf_dir))
+
+
+@query("stg_weather_history")
+def q_stg_weather_history(spark, sf_dir):
+    """Two-level explode (record list → payload text/object →
+    hourly arrays)."""
+    return stage_weather_history(an.weather_history_raw(spark, sf_dir))
