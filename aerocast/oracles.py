@@ -321,3 +321,151 @@ EXTRA.update({
     "stg_weather_api": _stg_weather("open-meteo", "CAST(weather_time_utc AS DATE) + INTERVAL 1 DAY"),
     "stg_weather_history": _stg_weather("history", "TIMESTAMP '2024-03-01 00:00:00'"),
 })
+
+
+# ---- reference files, dims, keyed writes, SCD2 ------------------------------
+
+RAW_AIRPORTS = r"""
+raw_airports AS (
+  SELECT
+    CASE WHEN c_custkey % 11 = 0 THEN '\N' WHEN c_custkey % 11 = 1 THEN '  ' ELSE ' ' || c_name || ' ' END AS Name,
+    CASE WHEN c_custkey % 13 = 0 THEN '' ELSE c_mktsegment END AS City,
+    CASE WHEN c_custkey % 17 = 0 THEN '\N' ELSE n_name END AS Country,
+    CASE WHEN c_custkey % 7 = 0 THEN '\N' WHEN c_custkey % 19 = 0 THEN ' '
+         WHEN c_custkey % 2 = 0 THEN lower(code3) ELSE ' ' || code3 END AS IATA,
+    CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'V' || code3 END AS ICAO,
+    CASE WHEN c_custkey % 23 = 0 THEN 'n/a' WHEN c_custkey % 29 = 0 THEN CAST(c_custkey % 90 AS VARCHAR) || '.'
+         ELSE (CASE WHEN cents < 0 THEN '-' ELSE '' END) || CAST(abs(cents) // 100 AS VARCHAR) || '.'
+              || lpad(CAST(abs(cents) % 100 AS VARCHAR), 2, '0') END AS Latitude,
+    ' ' || CAST(c_custkey % 180 AS VARCHAR) || ' ' AS Longitude,
+    CASE WHEN c_custkey % 31 = 0 THEN '\N' ELSE CAST(c_nationkey * 10 AS VARCHAR) END AS Altitude,
+    CAST(c_nationkey % 12 AS VARCHAR) AS Timezone,
+    CASE WHEN c_custkey % 3 = 0 THEN '\N' ELSE 'Asia/Zone' || CAST(c_nationkey AS VARCHAR) END AS Timezone_1,
+    TIMESTAMP '2024-03-01 00:00:00' AS _load_dt
+  FROM (SELECT c.*, n.n_name, substr(c_mktsegment, 1, 1) || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') AS code3,
+               CAST(round(c_acctbal / 100 * 100) AS BIGINT) AS cents
+        FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)),
+stg_airports AS (
+  SELECT nullif(nullif(trim(Name), ''), '\N') AS airport_name,
+    nullif(nullif(trim(City), ''), '\N') AS airport_city,
+    nullif(nullif(trim(Country), ''), '\N') AS airport_country,
+    CASE WHEN upper(trim(IATA)) IN ('', '\N') THEN NULL ELSE upper(trim(IATA)) END AS airport_iata,
+    CASE WHEN upper(trim(ICAO)) IN ('', '\N') THEN NULL ELSE upper(trim(ICAO)) END AS airport_icao,
+    CASE WHEN regexp_matches(trim(Latitude), '^-?[0-9]+(\.[0-9]+)?$') THEN CAST(CAST(trim(Latitude) AS DECIMAL(18,6)) AS DOUBLE) END AS airport_latitude,
+    CASE WHEN regexp_matches(trim(Longitude), '^-?[0-9]+(\.[0-9]+)?$') THEN CAST(CAST(trim(Longitude) AS DECIMAL(18,6)) AS DOUBLE) END AS airport_longitude,
+    CASE WHEN regexp_matches(trim(Altitude), '^-?[0-9]+(\.[0-9]+)?$') THEN CAST(CAST(trim(Altitude) AS DECIMAL(18,6)) AS DOUBLE) END AS airport_altitude,
+    nullif(nullif(trim(Timezone), ''), '\N') AS airport_timezone_offset,
+    nullif(nullif(trim(Timezone_1), ''), '\N') AS airport_timezone,
+    _load_dt AS source_loaded_at
+  FROM raw_airports)"""
+
+
+def _raw_airlines(version: int) -> str:
+    k = "s_suppkey"
+    if version == 1:
+        name = f"CASE WHEN {k} % 13 = 0 THEN '-' ELSE s_name END"
+        cs = f"'CALL' || CAST({k} % 50 AS VARCHAR)"
+        act = f"['Y', 'N', 'yes', ' 1 ', 'maybe', '-', 'FALSE'][{k} % 7 + 1]"
+    else:
+        name = f"CASE WHEN {k} % 7 = 0 THEN s_name || ' NEW' WHEN {k} % 13 = 0 THEN '-' ELSE s_name END"
+        cs = f"CASE WHEN {k} % 5 = 0 THEN 'CALL' || CAST({k} % 50 AS VARCHAR) || 'X' ELSE 'CALL' || CAST({k} % 50 AS VARCHAR) END"
+        a0 = f"['Y', 'N', 'yes', ' 1 ', 'maybe', '-', 'FALSE'][{k} % 7 + 1]"
+        act = f"CASE WHEN {k} % 9 = 0 THEN (CASE WHEN {a0} = 'Y' THEN 'N' ELSE 'Y' END) ELSE {a0} END"
+    return f"""
+raw_airlines{version} AS (
+  SELECT {name} AS Name,
+    CASE WHEN {k} % 4 = 0 THEN ' - ' ELSE 'A' || CAST({k} % 26 AS VARCHAR) END AS IATA,
+    CASE WHEN {k} % 6 = 0 THEN '' ELSE 'AL' || CAST({k} % 100 AS VARCHAR) END AS ICAO,
+    CASE WHEN {k} % 8 = 0 THEN '-' ELSE {cs} END AS Callsign,
+    n_name AS Country, {act} AS Active, TIMESTAMP '2024-03-01 00:00:00' AS _load_dt
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey),
+stg_airlines{version} AS (
+  SELECT nullif(nullif(trim(Name), ''), '-') AS airline_name,
+    nullif(nullif(trim(IATA), ''), '-') AS iata_code,
+    nullif(nullif(trim(ICAO), ''), '-') AS icao_code,
+    nullif(nullif(trim(Callsign), ''), '-') AS callsign,
+    nullif(nullif(trim(Country), ''), '-') AS airline_country,
+    CASE WHEN lower(trim(Active)) IN ('y', 'yes', 'true', '1') THEN true
+         WHEN lower(trim(Active)) IN ('n', 'no', 'false', '0') THEN false END AS airline_active,
+    _load_dt AS source_loaded_at
+  FROM raw_airlines{version}),
+src_airlines{version} AS (
+  SELECT md5(coalesce(iata_code, '') || coalesce(icao_code, '') || coalesce(airline_name, '')) AS airline_key,
+    airline_name, iata_code, icao_code, callsign, airline_country, airline_active
+  FROM stg_airlines{version})"""
+
+
+RAW_AIRCRAFT = r"""
+stg_aircraft AS (
+  SELECT nullif(nullif(trim(CASE WHEN p_partkey % 9 = 0 THEN '\N' ELSE p_type END), ''), '\N') AS aircraft_type,
+    nullif(nullif(trim(CASE WHEN p_partkey % 10 = 0 THEN ' ' ELSE p_brand END), ''), '\N') AS manufacturer,
+    CAST(p_size AS INTEGER) AS seats, CAST(floor(p_retailprice) AS INTEGER) AS range_km,
+    nullif(nullif(trim(CASE WHEN p_partkey % 4 = 0 THEN '\N' ELSE p_name END), ''), '\N') AS category,
+    TIMESTAMP '2024-03-01 00:00:00' AS source_loaded_at
+  FROM part)"""
+
+T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+AIRLINE_COLS = "airline_key, airline_name, iata_code, icao_code, callsign, airline_country, airline_active"
+SNP = f"""WITH {_raw_airlines(1)}, {_raw_airlines(2)},
+changed AS (
+  SELECT a.airline_key FROM src_airlines1 a JOIN src_airlines2 b USING (airline_key)
+  WHERE a.callsign IS DISTINCT FROM b.callsign OR a.airline_country IS DISTINCT FROM b.airline_country
+     OR a.airline_active IS DISTINCT FROM b.airline_active)
+SELECT {AIRLINE_COLS}, md5(airline_key || '|' || '{T1}') AS scd_id, TIMESTAMP '{T1}' AS updated_at,
+  TIMESTAMP '{T1}' AS valid_from,
+  CASE WHEN airline_key IN (SELECT airline_key FROM changed) THEN TIMESTAMP '{T2}' END AS valid_to
+FROM src_airlines1
+UNION ALL
+SELECT {AIRLINE_COLS}, md5(airline_key || '|' || '{T2}'), TIMESTAMP '{T2}', TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP)
+FROM src_airlines2
+WHERE airline_key NOT IN (SELECT airline_key FROM src_airlines1) OR airline_key IN (SELECT airline_key FROM changed)"""
+
+_FF_NAMES = ["fv_base", "fv_times", "flight_versions", "ff_dedup", "ff_delay", "ff_cents", "fact_flights"]
+
+
+def fact_flights_cte(prefix: str, where: str) -> str:
+    s = FACT_FLIGHTS
+    for n in sorted(_FF_NAMES, key=len, reverse=True):
+        s = s.replace(n, prefix + n)
+    return s.replace("FROM events)", f"FROM events WHERE {where})", 1)
+
+
+MERGE = f"""WITH {fact_flights_cte('t_', "ts < TIMESTAMP '2024-01-20 00:00:00'")},
+{fact_flights_cte('s_', "ts >= TIMESTAMP '2024-01-15 00:00:00'")}
+SELECT {FACT_FLIGHT_COLUMNS} FROM t_fact_flights WHERE flight_key NOT IN (SELECT flight_key FROM s_fact_flights)
+UNION ALL SELECT {FACT_FLIGHT_COLUMNS} FROM s_fact_flights"""
+
+KEYED_INSERT = """WITH b AS (
+  SELECT o_orderkey, 'aerodatabox' AS source, ['HKT', 'BKK', 'DMK'][o_custkey % 3 + 1] AS airport_code,
+    'IATA' AS code_type,
+    strftime(o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)), '%Y-%m-%dT%H:%M') AS from_local,
+    strftime(o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)) + INTERVAL 12 HOUR, '%Y-%m-%dT%H:%M') AS to_local,
+    'Both' AS direction, o_orderdate + INTERVAL 1 DAY AS extracted_at
+  FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+existing AS (
+  SELECT source, airport_code, code_type, from_local, to_local, direction, min(extracted_at) AS extracted_at
+  FROM b WHERE o_orderkey % 3 = 0 GROUP BY ALL),
+added AS (
+  SELECT source, airport_code, code_type, from_local, to_local, direction, min(extracted_at) AS extracted_at
+  FROM b GROUP BY ALL)
+SELECT * FROM existing
+UNION ALL
+SELECT a.* FROM added a ANTI JOIN existing e USING (airport_code, code_type, from_local, to_local, direction)"""
+
+EXTRA.update({
+    "stg_airports": f"WITH {RAW_AIRPORTS} SELECT * FROM stg_airports",
+    "stg_airlines": f"WITH {_raw_airlines(1)} SELECT * FROM stg_airlines1",
+    "stg_aircraft": f"WITH {RAW_AIRCRAFT} SELECT * FROM stg_aircraft",
+    "dim_airports": f"""WITH {RAW_AIRPORTS}
+      SELECT DISTINCT md5(coalesce(airport_iata, '') || coalesce(airport_icao, '') || coalesce(airport_name, '')) AS airport_key,
+        airport_iata, airport_icao, airport_name, airport_country, airport_city, airport_latitude,
+        airport_longitude, airport_altitude, airport_timezone, airport_timezone_offset
+      FROM stg_airports WHERE airport_country IS NOT NULL AND airport_name IS NOT NULL""",
+    "dim_airlines": f"WITH {_raw_airlines(1)} SELECT DISTINCT {AIRLINE_COLS} FROM src_airlines1",
+    "dim_aircraft": f"""WITH {RAW_AIRCRAFT}
+      SELECT DISTINCT md5(coalesce(aircraft_type, '') || coalesce(manufacturer, '')) AS aircraft_key,
+        aircraft_type, manufacturer, seats, range_km, category FROM stg_aircraft""",
+    "snp_airlines": SNP,
+    "fact_flights_merge": MERGE,
+    "raw_flight_batches_insert": KEYED_INSERT,
+})

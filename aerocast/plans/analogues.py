@@ -160,6 +160,10 @@ def _tp(ts: Column) -> Column:
 
 
 def fids_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fids_batches_with_order(spark, sf_dir).drop("_ok")
+
+
+def fids_batches_with_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flight-board batches in the raw API-table layout: one payload page
     per (order, chunk of ≤ 8 lines) with ``arrivals`` (even part keys) and
     ``departures`` (odd); every 10th order answers ``{"flights":[]}`` and
@@ -228,6 +232,7 @@ def fids_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Both").alias("direction"),
         add_micros(F.col("o_orderdate"), F.lit(86_400_000_000)).alias("extracted_at"),
         payload.alias("payload"),
+        F.col("o_orderkey").alias("_ok"),
     )
 
 
@@ -289,3 +294,85 @@ def weather_history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.concat(F.lit("["), F.array_join("recs", ","), F.lit("]")).alias("weather_data"),
                     F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("_load_dt"),
                     F.concat_ws("-", "airport_iata", "y", "wk").alias("_batch_id"))
+
+
+# ---- raw reference files with dirty text ---------------------------------
+
+LOAD_DT = "2024-03-01 00:00:00"
+
+
+def _money_text(c: Column) -> Column:
+    """2-decimal double → its decimal text, built from integer cents."""
+    cents = F.round(c * 100).cast("bigint")
+    a = F.abs(cents)
+    return F.concat(F.when(cents < 0, "-").otherwise(""), (a / 100).cast("bigint").cast("string"),
+                    F.lit("."), F.lpad((a % 100).cast("string"), 2, "0"))
+
+
+def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airports file analogue from ``customer`` ⋈ ``nation`` with null
+    tokens, blanks, padding, lower-case codes and malformed numbers."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    k = F.col("c_custkey")
+    code3 = F.concat(F.substring("c_mktsegment", 1, 1), F.lpad((k % 100).cast("string"), 2, "0"))
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
+    return j.select(
+        F.when(k % 11 == 0, "\\N").when(k % 11 == 1, "  ")
+         .otherwise(F.concat(F.lit(" "), F.col("c_name"), F.lit(" "))).alias("Name"),
+        F.when(k % 13 == 0, "").otherwise(F.col("c_mktsegment")).alias("City"),
+        F.when(k % 17 == 0, "\\N").otherwise(F.col("n_name")).alias("Country"),
+        F.when(k % 7 == 0, "\\N").when(k % 19 == 0, " ")
+         .when(k % 2 == 0, F.lower(code3)).otherwise(F.concat(F.lit(" "), code3)).alias("IATA"),
+        F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("V"), code3)).alias("ICAO"),
+        F.when(k % 23 == 0, "n/a").when(k % 29 == 0, F.concat((k % 90).cast("string"), F.lit(".")))
+         .otherwise(_money_text(F.col("c_acctbal") / 100)).alias("Latitude"),
+        F.concat(F.lit(" "), (k % 180).cast("string"), F.lit(" ")).alias("Longitude"),
+        F.when(k % 31 == 0, "\\N").otherwise((F.col("c_nationkey") * 10).cast("string")).alias("Altitude"),
+        (F.col("c_nationkey") % 12).cast("string").alias("Timezone"),
+        F.when(k % 3 == 0, "\\N").otherwise(F.concat(F.lit("Asia/Zone"), F.col("c_nationkey").cast("string"))).alias("Timezone_1"),
+        F.lit(LOAD_DT).cast("timestamp_ntz").alias("_load_dt"),
+    )
+
+
+ACTIVE_WORDS = ["Y", "N", "yes", " 1 ", "maybe", "-", "FALSE"]   # by s_suppkey % 7
+
+
+def raw_airlines(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFrame:
+    """Airlines file analogue from ``supplier`` ⋈ ``nation``.  ``version=2``
+    is a later delivery: ids % 7 == 0 vanish and return renamed (new keys),
+    ids % 5 == 0 change call sign, ids % 9 == 0 flip the active flag."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    k = F.col("s_suppkey")
+    name = F.when(k % 13 == 0, "-").otherwise(F.col("s_name"))
+    callsign = F.concat(F.lit("CALL"), (k % 50).cast("string"))
+    active = _pick(ACTIVE_WORDS, k % 7)
+    if version == 2:
+        name = F.when(k % 7 == 0, F.concat(F.col("s_name"), F.lit(" NEW"))).otherwise(name)
+        callsign = F.when(k % 5 == 0, F.concat(callsign, F.lit("X"))).otherwise(callsign)
+        active = F.when(k % 9 == 0, F.when(active == "Y", "N").otherwise("Y")).otherwise(active)
+    j = s.join(n, s.s_nationkey == n.n_nationkey, "left")
+    return j.select(
+        name.alias("Name"),
+        F.when(k % 4 == 0, " - ").otherwise(F.concat(F.lit("A"), (k % 26).cast("string"))).alias("IATA"),
+        F.when(k % 6 == 0, "").otherwise(F.concat(F.lit("AL"), (k % 100).cast("string"))).alias("ICAO"),
+        F.when(k % 8 == 0, "-").otherwise(callsign).alias("Callsign"),
+        F.col("n_name").alias("Country"),
+        active.alias("Active"),
+        F.lit(LOAD_DT).cast("timestamp_ntz").alias("_load_dt"),
+    )
+
+
+def raw_aircraft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aircraft reference analogue from ``part``."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    return p.select(
+        F.when(k % 9 == 0, "\\N").otherwise(F.col("p_type")).alias("aircraft_type"),
+        F.when(k % 10 == 0, " ").otherwise(F.col("p_brand")).alias("manufacturer"),
+        F.col("p_size").alias("seats"),
+        F.floor(F.col("p_retailprice")).cast("int").alias("range_km"),
+        F.when(k % 4 == 0, "\\N").otherwise(F.col("p_name")).alias("category"),
+        F.lit(LOAD_DT).cast("timestamp_ntz").alias("_load_dt"),
+    )

@@ -130,3 +130,101 @@ def q_stg_weather_history(spark, sf_dir):
     """Two-level explode (record list → payload text/object →
     hourly arrays)."""
     return stage_weather_history(an.weather_history_raw(spark, sf_dir))
+
+
+# ---- reference files, dimensions, keyed writes, SCD2 ---------------------
+
+from aerocast.operators.merge import keyed_insert, merge_upsert  # noqa: E402
+from aerocast.operators.scd import scd2_snapshot  # noqa: E402
+from aerocast.plans.core import (  # noqa: E402
+    airline_key, build_dim_aircraft, build_dim_airlines, build_dim_airports,
+)
+from aerocast.plans.staging import stage_aircraft, stage_airlines, stage_airports  # noqa: E402
+from aerocast.schemas import FLIGHT_BATCH_KEY  # noqa: E402
+
+
+@query("stg_airports")
+def q_stg_airports(spark, sf_dir):
+    """Null tokens, upper-cased codes, regex-guarded numbers."""
+    return stage_airports(an.raw_airports(spark, sf_dir))
+
+
+@query("stg_airlines")
+def q_stg_airlines(spark, sf_dir):
+    """L6/P5/P8: '-' tokens and the tri-state active flag."""
+    return stage_airlines(an.raw_airlines(spark, sf_dir))
+
+
+@query("stg_aircraft")
+def q_stg_aircraft(spark, sf_dir):
+    """Aircraft reference."""
+    return stage_aircraft(an.raw_aircraft(spark, sf_dir))
+
+
+@query("dim_airports")
+def q_dim_airports(spark, sf_dir):
+    """Distinct airports with md5 key, country and name set."""
+    return build_dim_airports(stage_airports(an.raw_airports(spark, sf_dir)))
+
+
+@query("dim_airlines")
+def q_dim_airlines(spark, sf_dir):
+    """Distinct airlines."""
+    return build_dim_airlines(stage_airlines(an.raw_airlines(spark, sf_dir)))
+
+
+@query("dim_aircraft")
+def q_dim_aircraft(spark, sf_dir):
+    """Distinct aircraft types."""
+    return build_dim_aircraft(stage_aircraft(an.raw_aircraft(spark, sf_dir)))
+
+
+def _airline_snapshot_source(spark, sf_dir, version):
+    stg = stage_airlines(an.raw_airlines(spark, sf_dir, version))
+    return stg.select(airline_key().alias("airline_key"), "airline_name", "iata_code", "icao_code",
+                      "callsign", "airline_country", "airline_active")
+
+
+SNAPSHOT_RUNS = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
+
+
+@query("snp_airlines")
+def q_snp_airlines(spark, sf_dir):
+    """Two snapshot runs (check strategy on call sign, country,
+    active flag) over two deliveries of the airlines file."""
+    first = scd2_snapshot(None, _airline_snapshot_source(spark, sf_dir, 1), "airline_key",
+                          ["callsign", "airline_country", "airline_active"], SNAPSHOT_RUNS[0])
+    return scd2_snapshot(first, _airline_snapshot_source(spark, sf_dir, 2), "airline_key",
+                         ["callsign", "airline_country", "airline_active"], SNAPSHOT_RUNS[1])
+
+
+MERGE_SPLIT = ("2024-01-20 00:00:00", "2024-01-15 00:00:00")
+
+
+def _fact_for(spark, sf_dir, cond):
+    ev = an.table(spark, sf_dir, "events").filter(cond)
+    v = an.flight_versions(ev)
+    return build_fact_flights([v.drop("_feed")])
+
+
+@query("fact_flights_merge")
+def q_fact_flights_merge(spark, sf_dir):
+    """Incremental build — facts of events before the 20th merged
+    with a rebuild from the 15th on (overlap replaced, nothing deleted)."""
+    target = _fact_for(spark, sf_dir, F.col("ts") < F.lit(MERGE_SPLIT[0]).cast("timestamp_ntz"))
+    source = _fact_for(spark, sf_dir, F.col("ts") >= F.lit(MERGE_SPLIT[1]).cast("timestamp_ntz"))
+    return merge_upsert(target, source, ["flight_key"])
+
+
+@query("raw_flight_batches_insert")
+def q_keyed_insert(spark, sf_dir):
+    """Insert-if-absent of board batches on the five-column key
+    into a table already holding the batches of orders with key % 3 = 0;
+    returns the resulting raw table (metadata columns)."""
+    batches = an.fids_batches_with_order(spark, sf_dir)
+    order = [F.col("extracted_at"), F.col("payload")]
+    existing = keyed_insert(None, batches.filter(F.col("_ok") % 3 == 0).drop("_ok"),
+                            FLIGHT_BATCH_KEY, order=order)
+    incoming = batches.drop("_ok")
+    added = keyed_insert(existing, incoming, FLIGHT_BATCH_KEY, order=order)
+    return existing.unionByName(added).drop("payload")
