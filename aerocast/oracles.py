@@ -469,3 +469,116 @@ EXTRA.update({
     "fact_flights_merge": MERGE,
     "raw_flight_batches_insert": KEYED_INSERT,
 })
+
+
+# ---- data quality --------------------------------------------------------------
+
+def _dq_suite() -> str:
+    cats = {
+        "wind_category": ["calm", "light", "moderate", "strong"],
+        "precipitation_category": ["none", "light", "moderate", "heavy"],
+        "rain_category": ["no_rain", "light_rain", "moderate_rain", "heavy_rain"],
+        "temperature_category": ["mild", "warm", "hot", "very_hot", "extreme_heat"],
+        "cloudcover_category": ["clear", "mostly_clear", "partly_cloudy", "mostly_cloudy", "overcast"],
+        "visibility_category": ["very_poor", "poor", "moderate", "good", "excellent"],
+    }
+    st = "('unknown', 'on_time', 'minor_delay', 'delayed')"
+
+    def av(t, c, vals):
+        return f"(SELECT count(*) FROM (SELECT {c} FROM {t} GROUP BY {c}) WHERE {c} NOT IN {vals})"
+
+    def uq(t, c):
+        return f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+
+    def nn(t, c):
+        return f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+
+    def rel(t, c, p, f):
+        return (f"(SELECT count(*) FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN "
+                f"(SELECT {f} FROM {p} WHERE {f} IS NOT NULL))")
+
+    def vds(d, s):
+        return (f"(SELECT count(*) FROM fact_flights WHERE ({d} <= 0 AND {s} <> 'on_time') OR "
+                f"({d} > 0 AND {d} <= 15 AND {s} <> 'minor_delay') OR ({d} > 15 AND {s} <> 'delayed'))")
+
+    rows = [
+        ("fact_flights.valid_delay_status.departure", vds("departure_delay_minutes", "departure_time_status")),
+        ("fact_flights.valid_delay_status.arrival", vds("arrival_delay_minutes", "arrival_time_status")),
+        ("fact_flights.not_null.flight_key", nn("fact_flights", "flight_key")),
+        ("fact_flights.unique.flight_key", uq("fact_flights", "flight_key")),
+        ("fact_flights.not_null.flight_number", nn("fact_flights", "flight_number")),
+        ("fact_flights.is_uppercase.flight_number",
+         "(SELECT count(*) FROM fact_flights WHERE flight_number <> upper(flight_number))"),
+        ("fact_flights.not_null.flight_direction", nn("fact_flights", "flight_direction")),
+        ("fact_flights.accepted_values.flight_direction",
+         av("fact_flights", "flight_direction", "('arrival', 'departure')")),
+        ("fact_flights.relationships.airline_iata", rel("fact_flights", "airline_iata", "src_airlines1", "iata_code")),
+        ("fact_flights.relationships.airport_departure_iata",
+         rel("fact_flights", "airport_departure_iata", "dim_airports", "airport_iata")),
+        ("fact_flights.relationships.airport_arrival_iata",
+         rel("fact_flights", "airport_arrival_iata", "dim_airports", "airport_iata")),
+        ("fact_flights.not_null.operation_ts", nn("fact_flights", "operation_ts")),
+        ("fact_flights.accepted_values.departure_time_status", av("fact_flights", "departure_time_status", st)),
+        ("fact_flights.accepted_values.arrival_time_status", av("fact_flights", "arrival_time_status", st)),
+        ("fact_weather.unique_combination.airport_iata_weather_time_utc",
+         "(SELECT count(*) FROM (SELECT airport_iata, weather_time_utc FROM fact_weather GROUP BY ALL HAVING count(*) > 1))"),
+        ("fact_weather.not_null.weather_key", nn("fact_weather", "weather_key")),
+        ("fact_weather.unique.weather_key", uq("fact_weather", "weather_key")),
+        ("fact_weather.not_null.airport_iata", nn("fact_weather", "airport_iata")),
+        ("fact_weather.relationships.airport_iata", rel("fact_weather", "airport_iata", "dim_airports", "airport_iata")),
+        ("fact_weather.not_null.weather_time_utc", nn("fact_weather", "weather_time_utc")),
+        ("fact_weather.accepted_range.temperature_2m_c",
+         "(SELECT count(*) FROM fact_weather WHERE NOT (temperature_2m_c >= -80 AND temperature_2m_c <= 60))"),
+    ]
+    for c, v in cats.items():
+        rows.append((f"fact_weather.accepted_values.{c}", av("fact_weather", c, "(" + ", ".join(f"'{x}'" for x in v) + ")")))
+    rows += [
+        ("dim_airports.not_null.airport_key", nn("dim_airports", "airport_key")),
+        ("dim_airports.unique.airport_key", uq("dim_airports", "airport_key")),
+        ("dim_airports.unique.airport_iata", uq("dim_airports", "airport_iata")),
+        ("dim_airports.not_null.airport_name", nn("dim_airports", "airport_name")),
+        ("dim_airports.not_null.airport_country", nn("dim_airports", "airport_country")),
+        ("fact_flights.same_departure_arrival_airport",
+         "(SELECT count(*) FROM fact_flights WHERE airport_departure_iata = airport_arrival_iata)"),
+    ]
+    body = "\nUNION ALL ".join(f"SELECT '{n}' AS test_name, {e} AS failures" for n, e in rows)
+    return f"""WITH {FACT_FLIGHTS}, {FACT_WEATHER}, {RAW_AIRPORTS}, {_raw_airlines(1)},
+dim_airports AS (
+  SELECT DISTINCT md5(coalesce(airport_iata, '') || coalesce(airport_icao, '') || coalesce(airport_name, '')) AS airport_key,
+    airport_iata, airport_icao, airport_name, airport_country
+  FROM stg_airports WHERE airport_country IS NOT NULL AND airport_name IS NOT NULL)
+{body}"""
+
+
+_BATCH_PAGES = """
+pages AS (
+  SELECT o.o_orderkey, o.o_orderdate, n.c
+  FROM orders o JOIN (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1) n ON n.l_orderkey = o.o_orderkey),
+page_rows AS (SELECT p.*, g.chunk FROM pages p, LATERAL (SELECT unnest(range(0, CAST(ceil(p.c / 8.0) AS BIGINT))) AS chunk) g)"""
+
+FRESHNESS = f"""WITH {_BATCH_PAGES},
+m AS (
+  SELECT 'aerodatabox_fids_range' AS source, max(o_orderdate + INTERVAL 1 DAY) AS max_loaded_at,
+         TIMESTAMP '2001-09-01 00:00:00' AS as_of FROM page_rows
+  UNION ALL
+  SELECT 'weather_raw', max(CAST(CAST(date_trunc('hour', ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY),
+         TIMESTAMP '2024-03-05 00:00:00' FROM events)
+SELECT source, max_loaded_at, date_diff('second', max_loaded_at, as_of) / 86400.0 AS age_days,
+  CASE WHEN max_loaded_at IS NULL THEN 'error'
+       WHEN date_diff('second', max_loaded_at, as_of) > 35 * 86400 THEN 'error'
+       WHEN date_diff('second', max_loaded_at, as_of) > 32 * 86400 THEN 'warn' ELSE 'pass' END AS status
+FROM m"""
+
+PAYLOAD_VALIDATION = f"""WITH {_BATCH_PAGES}
+SELECT 'aerodatabox_fids_range' AS source_table,
+  CASE WHEN o_orderkey % 10 = 0 THEN 'warned' ELSE 'valid' END AS outcome, count(*) AS rows
+FROM page_rows GROUP BY ALL
+UNION ALL
+SELECT 'weather_raw', 'valid', count(*) FROM (
+  SELECT DISTINCT ['HKT', 'BKK', 'DMK'][user_id % 3 + 1], CAST(date_trunc('hour', ts) AS DATE) FROM events)"""
+
+EXTRA.update({
+    "dq_core_suite": _dq_suite(),
+    "dq_source_freshness": FRESHNESS,
+    "dq_payload_validation": PAYLOAD_VALIDATION,
+})

@@ -228,3 +228,48 @@ def q_keyed_insert(spark, sf_dir):
     incoming = batches.drop("_ok")
     added = keyed_insert(existing, incoming, FLIGHT_BATCH_KEY, order=order)
     return existing.unionByName(added).drop("payload")
+
+
+# ---- data quality ----------------------------------------------------------
+
+from aerocast.operators import quality as dq  # noqa: E402
+from aerocast.plans.checks import core_checks  # noqa: E402
+
+
+@query("dq_core_suite")
+def q_dq_core_suite(spark, sf_dir):
+    """Q1–Q9: the declared tests of facts and dims, failures per test."""
+    ff, fw = fact_flights(spark, sf_dir), fact_weather(spark, sf_dir)
+    da = build_dim_airports(stage_airports(an.raw_airports(spark, sf_dir)))
+    dl = build_dim_airlines(stage_airlines(an.raw_airlines(spark, sf_dir)))
+    return dq.run_suite(core_checks(ff, fw, da, dl))
+
+
+FRESHNESS_AS_OF = {"aerodatabox_fids_range": "2001-09-01 00:00:00", "weather_raw": "2024-03-05 00:00:00"}
+
+
+@query("dq_source_freshness")
+def q_dq_freshness(spark, sf_dir):
+    """Q10: freshness of the two API raw tables (warn 32 d / error 35 d)."""
+    a = dq.freshness(an.fids_batches(spark, sf_dir), "extracted_at",
+                     FRESHNESS_AS_OF["aerodatabox_fids_range"], "aerodatabox_fids_range")
+    b = dq.freshness(an.weather_raw(spark, sf_dir), "loaded_at", FRESHNESS_AS_OF["weather_raw"],
+                     "weather_raw")
+    return a.unionByName(b)
+
+
+@query("dq_payload_validation")
+def q_dq_payload_validation(spark, sf_dir):
+    """Q12: payload checks — board payloads must be objects (warn when
+    neither arrivals nor departures is present); weather payloads need a
+    non-empty ``hourly``.  Rows per table × outcome."""
+    fv, fr = dq.validate_payload(an.fids_batches(spark, sf_dir), "payload", ["arrivals", "departures"])
+    wv, wr = dq.validate_payload(an.weather_raw(spark, sf_dir), "payload",
+                                 required_non_empty="hourly")
+
+    def outcome(df, name, rejected):
+        o = F.lit("rejected") if rejected else F.when(F.col("warning").isNotNull(), "warned").otherwise("valid")
+        return df.select(F.lit(name).alias("source_table"), o.alias("outcome"))
+    u = (outcome(fv, "aerodatabox_fids_range", False).unionByName(outcome(fr, "aerodatabox_fids_range", True))
+         .unionByName(outcome(wv, "weather_raw", False)).unionByName(outcome(wr, "weather_raw", True)))
+    return u.groupBy("source_table", "outcome").agg(F.count(F.lit(1)).alias("rows"))
