@@ -582,3 +582,178 @@ EXTRA.update({
     "dq_source_freshness": FRESHNESS,
     "dq_payload_validation": PAYLOAD_VALIDATION,
 })
+
+
+# ---- analyses and statistics -------------------------------------------------------
+
+BASE = FACT_FLIGHTS + "," + FACT_WEATHER
+OPS_HKT = """
+hops AS (
+  SELECT flight_key, flight_direction AS operation_type, operation_ts,
+    CASE flight_direction WHEN 'departure' THEN dep_cents WHEN 'arrival' THEN arr_cents END AS cents
+  FROM fact_flights
+  WHERE (airport_departure_iata = 'HKT' AND flight_direction = 'departure')
+     OR (airport_arrival_iata = 'HKT' AND flight_direction = 'arrival'))"""
+
+WEATHER_LEFT = f"""WITH {BASE}, {OPS_HKT}
+SELECT w.weather_key, w.weather_time_utc, o.flight_key, o.operation_type
+FROM fact_weather w LEFT JOIN hops o
+  ON o.operation_ts >= w.weather_time_utc - INTERVAL 30 MINUTE AND o.operation_ts < w.weather_time_utc + INTERVAL 30 MINUTE"""
+
+PAIRS = """
+pairs AS (
+  SELECT f.flight_key,
+    CASE f.flight_direction WHEN 'departure' THEN f.dep_cents WHEN 'arrival' THEN f.arr_cents END AS cents,
+    w.has_thunderstorm, w.is_strong_wind, w.is_low_visibility, w.is_heavy_precipitation,
+    w.wind_category, w.visibility_category, w.precipitation_category
+  FROM fact_flights f JOIN fact_weather w
+    ON f.operation_ts BETWEEN w.weather_time_utc - INTERVAL 30 MINUTE AND w.weather_time_utc + INTERVAL 30 MINUTE)"""
+
+PAIRS_Q = f"""WITH {BASE}, {PAIRS}
+SELECT flight_key, cents / 100.0 AS delay_minutes, has_thunderstorm, is_strong_wind, is_low_visibility,
+  is_heavy_precipitation, wind_category, visibility_category, precipitation_category FROM pairs"""
+
+FEATS = "temperature_2m_c, relative_humidity_2m_pct, precipitation_mm, visibility_m, cloudcover_pct, windspeed_10m_ms, has_thunderstorm"
+FEATS_D = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c != "has_thunderstorm" else c for c in FEATS.split(", "))
+
+
+def _regression(departures: bool, drop: bool = True) -> str:
+    if departures:
+        ops = """dops AS (SELECT flight_key, scheduled_departure_utc AS operation_ts, dep_cents AS cents
+          FROM fact_flights WHERE flight_direction = 'departure' AND airport_departure_iata = 'HKT'
+          AND dep_cents IS NOT NULL)"""
+        src = "dops"
+        extra = ", wind_category, precipitation_category, visibility_category"
+        join = "JOIN"
+        cond = ("o.operation_ts >= w.weather_time_utc - INTERVAL 30 MINUTE "
+                "AND o.operation_ts < w.weather_time_utc + INTERVAL 30 MINUTE")
+    else:
+        ops = "dops AS (SELECT flight_key, operation_ts, cents FROM hops WHERE cents IS NOT NULL)"
+        src = "dops"
+        extra = ""
+        join = "LEFT JOIN"
+        cond = ("o.operation_ts BETWEEN w.weather_time_utc - INTERVAL 30 MINUTE "
+                "AND w.weather_time_utc + INTERVAL 30 MINUTE")
+    cols = ["flight_key", "operation_ts", "delay_minutes", "weather_time_utc"] + FEATS.split(", ") \
+        + [c.strip() for c in extra.split(",") if c.strip()] + ["time_diff_seconds"]
+    notnull = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    post = f"WHERE rn = 1 AND {notnull}" if drop else "WHERE rn = 1"
+    if departures:
+        post += " AND cents >= -12000"
+    return f"""WITH {BASE}, {OPS_HKT}, {ops},
+wh AS (SELECT weather_time_utc, {FEATS_D}{extra} FROM fact_weather WHERE airport_iata = 'HKT'),
+j AS (SELECT o.flight_key, o.operation_ts, o.cents, w.* FROM {src} o {join} wh w ON {cond}),
+r AS (SELECT *, abs(date_diff('microsecond', weather_time_utc, operation_ts)) AS dus,
+        row_number() OVER (PARTITION BY flight_key ORDER BY abs(date_diff('microsecond', weather_time_utc, operation_ts)) NULLS LAST,
+                           weather_time_utc NULLS LAST) AS rn
+      FROM j),
+fr AS (SELECT flight_key, operation_ts, cents / 100.0 AS delay_minutes, weather_time_utc, {FEATS}{extra},
+         dus / 1000000.0 AS time_diff_seconds, cents FROM r {post})"""
+
+
+REG = _regression(False)
+DEP = _regression(True)
+
+MULTIPLICITY = f"""WITH {BASE}, {OPS_HKT},
+wh AS (SELECT weather_time_utc FROM fact_weather WHERE airport_iata = 'HKT'),
+j AS (SELECT o.flight_key FROM hops o LEFT JOIN wh w
+      ON o.operation_ts BETWEEN w.weather_time_utc - INTERVAL 30 MINUTE AND w.weather_time_utc + INTERVAL 30 MINUTE
+      WHERE o.cents IS NOT NULL),
+c AS (SELECT flight_key, count(*) AS rows_per_key FROM j GROUP BY 1)
+SELECT rows_per_key, count(*) AS keys FROM c GROUP BY 1"""
+
+_NP_COLS = ["flight_key", "operation_ts", "delay_minutes", "weather_time_utc"] + FEATS.split(", ") + ["time_diff_seconds"]
+NULL_PROFILE = _regression(False, drop=False) + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM fr" for c in _NP_COLS)
+
+FLAG_COUNTS = REG + "\nSELECT CAST(delay_minutes > 10 AS INTEGER) AS delay_flag, count(*) AS count FROM fr GROUP BY 1"
+
+SAMPLES = """
+samp AS (
+  SELECT 'thunderstorm' AS test, cents AS v, CASE WHEN has_thunderstorm THEN 1 ELSE 2 END AS side
+  FROM pairs WHERE cents > 0 AND has_thunderstorm IS NOT NULL
+  UNION ALL
+  SELECT 'strong_wind', cents, CASE WHEN is_strong_wind THEN 1 ELSE 2 END
+  FROM pairs WHERE cents > 0 AND is_strong_wind IS NOT NULL
+  UNION ALL
+  SELECT 'precipitation', cents, CASE WHEN precipitation_category <> 'none' THEN 1 ELSE 2 END
+  FROM pairs WHERE cents > 0 AND precipitation_category IS NOT NULL)"""
+
+MWU = f"""WITH {BASE}, {PAIRS}, {SAMPLES},
+vc AS (SELECT test, v, count(*) AS cnt, count(*) FILTER (WHERE side = 1) AS c1 FROM samp GROUP BY 1, 2),
+rk AS (SELECT *, coalesce(sum(cnt) OVER (PARTITION BY test ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM vc),
+a AS (SELECT test, sum(c1) AS n1i, sum(cnt) - sum(c1) AS n2i,
+        sum(CAST(c1 AS HUGEINT) * (below * 2 + cnt + 1)) AS r1x2,
+        sum(CAST(cnt AS HUGEINT) * cnt * cnt - cnt) AS tie FROM rk GROUP BY 1),
+b AS (SELECT *, CAST(n1i AS DOUBLE) AS n1, CAST(n2i AS DOUBLE) AS n2,
+        CAST(n1i AS DOUBLE) + CAST(n2i AS DOUBLE) AS n,
+        CAST((r1x2 - CAST(n1i AS HUGEINT) * (n1i + 1)) AS DOUBLE) / 2 AS u1 FROM a),
+c AS (SELECT *, n1 * n2 - u1 AS u2,
+        sqrt(n1 * n2 / 12.0 * ((n + 1) - CAST(tie AS DOUBLE) / (n * (n - 1)))) AS sigma,
+        (u1 - n1 * n2 / 2.0) / sqrt(n1 * n2 * (n + 1) / 12.0) AS ez FROM b)
+SELECT test, CAST(n1i AS BIGINT) AS n1, CAST(n2i AS BIGINT) AS n2, u1 AS u_statistic,
+  CAST(tie AS DOUBLE) AS tie_sum, round((greatest(u1, u2) - n1 * n2 / 2.0 - 0.5) / sigma, 9) AS z,
+  round(ez, 9) AS effect_z, round(abs(ez) / sqrt(n), 9) AS effect_r
+FROM c"""
+
+
+def _quartiles(src: str, key: str, x: str) -> str:
+    """Order-statistic quartiles of {x} per {key} from relation {src}."""
+    return f"""
+rk_{src} AS (SELECT {key}, {x} AS x, row_number() OVER (PARTITION BY {key} ORDER BY {x}) - 1 AS k,
+               count(*) OVER (PARTITION BY {key}) AS n FROM {src} WHERE {x} IS NOT NULL),
+tg_{src} AS (SELECT DISTINCT {key}, n, p, (n - 1) * p AS h
+             FROM rk_{src}, (VALUES (CAST(0.25 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(0.75 AS DOUBLE))) t(p)),
+qv_{src} AS (SELECT t.{key}, t.p, lo.x + (hi.x - lo.x) * (t.h - floor(t.h)) AS q
+             FROM tg_{src} t JOIN rk_{src} lo ON lo.{key} = t.{key} AND lo.k = CAST(floor(t.h) AS BIGINT)
+             JOIN rk_{src} hi ON hi.{key} = t.{key} AND hi.k = CAST(ceil(t.h) AS BIGINT)),
+qq_{src} AS (SELECT {key}, max(q) FILTER (WHERE p = 0.25) AS q1, max(q) FILTER (WHERE p = 0.5) AS median,
+               max(q) FILTER (WHERE p = 0.75) AS q3 FROM qv_{src} GROUP BY 1)"""
+
+
+DESCRIBE = f"""WITH {BASE}, {PAIRS},
+ds AS (
+  SELECT 'thunderstorm:' || CASE WHEN has_thunderstorm THEN 'yes' ELSE 'no' END AS sample, cents
+  FROM pairs WHERE cents > 0 AND has_thunderstorm IS NOT NULL
+  UNION ALL SELECT 'strong_wind:' || CASE WHEN is_strong_wind THEN 'yes' ELSE 'no' END, cents
+  FROM pairs WHERE cents > 0 AND is_strong_wind IS NOT NULL
+  UNION ALL SELECT 'precipitation:' || CASE WHEN precipitation_category <> 'none' THEN 'yes' ELSE 'no' END, cents
+  FROM pairs WHERE cents > 0 AND precipitation_category IS NOT NULL),
+dsx AS (SELECT sample, cents, cents / 100.0 AS x FROM ds),
+{_quartiles('dsx', 'sample', 'x')},
+base AS (SELECT sample, count(cents) AS count,
+           {half_up('sum(cents) * 10000', 'count(cents)', 6)} AS mean,
+           round(stddev_samp(x), 6) AS std, min(x) AS min, max(x) AS max FROM dsx GROUP BY 1)
+SELECT b.sample, b.count, b.mean, b.std, b.min, q.q1 AS q25, q.median, q.q3 AS q75, b.max
+FROM base b JOIN qq_dsx q USING (sample)"""
+
+_CORR = ["temperature_2m_c", "relative_humidity_2m_pct", "precipitation_mm", "visibility_m",
+         "cloudcover_pct", "windspeed_10m_ms", "delay_minutes"]
+CORRELATION = DEP + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 9) AS corr FROM fr"
+    for a in _CORR for b in _CORR)
+
+BOX = "WITH " + IMPACT + f""",
+bx AS (SELECT wind_category AS category, delay_rate FROM mart_weather_flight_impact WHERE delay_rate IS NOT NULL),
+{_quartiles('bx', 'category', 'delay_rate')}
+SELECT q.category, q.q1, q.median, q.q3, count(*) AS n,
+  min(x.delay_rate) FILTER (WHERE x.delay_rate >= q.q1 - 1.5 * (q.q3 - q.q1) AND x.delay_rate <= q.q3 + 1.5 * (q.q3 - q.q1)) AS whisker_low,
+  max(x.delay_rate) FILTER (WHERE x.delay_rate >= q.q1 - 1.5 * (q.q3 - q.q1) AND x.delay_rate <= q.q3 + 1.5 * (q.q3 - q.q1)) AS whisker_high,
+  count(*) FILTER (WHERE NOT (x.delay_rate >= q.q1 - 1.5 * (q.q3 - q.q1) AND x.delay_rate <= q.q3 + 1.5 * (q.q3 - q.q1))) AS n_outliers,
+  q.q3 - q.q1 AS iqr
+FROM bx x JOIN qq_bx q USING (category) GROUP BY q.category, q.q1, q.median, q.q3"""
+
+_REG_COLS = "flight_key, operation_ts, delay_minutes, weather_time_utc, " + FEATS + ", time_diff_seconds"
+EXTRA.update({
+    "weather_operations_left": WEATHER_LEFT,
+    "flight_weather_pairs": PAIRS_Q,
+    "regression_frame": REG + f"\nSELECT {_REG_COLS}, CAST(delay_minutes > 10 AS INTEGER) AS delay_flag FROM fr",
+    "departure_frame": DEP + f"\nSELECT {_REG_COLS}, wind_category, precipitation_category, visibility_category, CAST(delay_minutes > 10 AS INTEGER) AS delay_flag FROM fr",
+    "regression_multiplicity": MULTIPLICITY,
+    "regression_null_profile": NULL_PROFILE,
+    "delay_flag_counts": FLAG_COUNTS,
+    "hypothesis_tests": MWU,
+    "group_descriptions": DESCRIBE,
+    "weather_delay_correlation": CORRELATION,
+    "delay_rate_box_stats": BOX,
+})

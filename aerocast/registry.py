@@ -273,3 +273,114 @@ def q_dq_payload_validation(spark, sf_dir):
     u = (outcome(fv, "aerodatabox_fids_range", False).unionByName(outcome(fr, "aerodatabox_fids_range", True))
          .unionByName(outcome(wv, "weather_raw", False)).unionByName(outcome(wr, "weather_raw", True)))
     return u.groupBy("source_table", "outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---- analyses and statistics ------------------------------------------------
+
+from aerocast.operators.interval_join import interval_join  # noqa: E402
+from aerocast.operators.stats import (  # noqa: E402
+    box_stats, correlation_matrix, multiplicity_histogram, null_profile, value_counts,
+)
+from aerocast.plans import analysis as anl  # noqa: E402
+from aerocast.plans.marts import WINDOW_SECONDS, airport_operations  # noqa: E402
+
+
+def _pairs(spark, sf_dir):
+    return anl.flight_weather_pairs(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir))
+
+
+@query("weather_operations_left")
+def q_weather_operations_left(spark, sf_dir):
+    """N1 left form: every weather hour with its home operations in
+    [h − 30 min, h + 30 min); hours without operations kept once."""
+    ops = airport_operations(fact_flights(spark, sf_dir)).select("flight_key", "operation_type",
+                                                                 "operation_ts")
+    w = fact_weather(spark, sf_dir).select("weather_key", "weather_time_utc")
+    j = interval_join(ops, w, "operation_ts", "weather_time_utc", WINDOW_SECONDS, WINDOW_SECONDS,
+                      closed="left", how="right", interval_key="weather_key")
+    return j.select("weather_key", "weather_time_utc", "flight_key", "operation_type")
+
+
+@query("flight_weather_pairs")
+def q_flight_weather_pairs(spark, sf_dir):
+    """All flights × all weather hours, closed ±30 min."""
+    return _pairs(spark, sf_dir)
+
+
+@query("regression_frame")
+def q_regression_frame(spark, sf_dir):
+    """L14 prep — N3/N5/P15/P18: home operations, nearest home weather hour."""
+    return anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir))
+
+
+@query("departure_frame")
+def q_departure_frame(spark, sf_dir):
+    """L15 prep — N4/N5/P14/P15/P18: home departures, half-open inner join."""
+    return anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir),
+                                departures_only=True)
+
+
+@query("regression_multiplicity")
+def q_regression_multiplicity(spark, sf_dir):
+    """Weather matches per flight before the nearest-match dedupe."""
+    pairs = anl.regression_pairs(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir))
+    return multiplicity_histogram(pairs, "flight_key")
+
+
+@query("regression_null_profile")
+def q_regression_null_profile(spark, sf_dir):
+    """NULLs per column of the nearest-matched frame before dropna."""
+    return null_profile(anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir),
+                                             drop_incomplete=False).drop("delay_flag"))
+
+
+@query("delay_flag_counts")
+def q_delay_flag_counts(spark, sf_dir):
+    """Class balance of delay > 10 min."""
+    return value_counts(anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir)),
+                        "delay_flag")
+
+
+@query("hypothesis_tests")
+def q_hypothesis_tests(spark, sf_dir):
+    """Mann–Whitney U (tie + continuity corrected z) and effect
+    size for thunderstorm, strong wind and precipitation (p-value checked
+    in unit tests)."""
+    return anl.hypothesis_tests(_pairs(spark, sf_dir), with_p=False)
+
+
+@query("group_descriptions")
+def q_group_descriptions(spark, sf_dir):
+    """describe() of positive delays per test sample."""
+    return anl.group_descriptions(_pairs(spark, sf_dir))
+
+
+CORR_FEATURES = ["temperature_2m_c", "relative_humidity_2m_pct", "precipitation_mm", "visibility_m",
+                 "cloudcover_pct", "windspeed_10m_ms", "delay_minutes"]
+
+
+@query("weather_delay_correlation")
+def q_weather_delay_correlation(spark, sf_dir):
+    """Pairwise-complete Pearson matrix on the departures frame."""
+    f = anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir), departures_only=True)
+    return correlation_matrix(f, CORR_FEATURES)
+
+
+@query("delay_rate_box_stats")
+def q_delay_rate_box_stats(spark, sf_dir):
+    """Box-plot numbers of the hourly delay rate by wind category."""
+    return box_stats(impact(spark, sf_dir), "delay_rate", "wind_category")
+
+
+@query("delay_classifier")
+def q_delay_classifier(spark, sf_dir):
+    """Logistic regression on the all-operations frame
+    (iterative fit; rows-only check)."""
+    return anl.delay_classifier(anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir)))
+
+
+@query("departure_classifier")
+def q_departure_classifier(spark, sf_dir):
+    """The same on the departures-only frame."""
+    return anl.delay_classifier(anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir),
+                                                     departures_only=True))
