@@ -757,3 +757,44 @@ EXTRA.update({
     "weather_delay_correlation": CORRELATION,
     "delay_rate_box_stats": BOX,
 })
+
+
+# ---- sources, sinks, streaming ---------------------------------------------------
+
+_KEYS = """SELECT DISTINCT 'aerodatabox' AS source, ['HKT', 'BKK', 'DMK'][o_custkey % 3 + 1] AS airport_code,
+  'IATA' AS code_type,
+  strftime(o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)), '%Y-%m-%dT%H:%M') AS from_local,
+  strftime(o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)) + INTERVAL 12 HOUR, '%Y-%m-%dT%H:%M') AS to_local,
+  'Both' AS direction
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)"""
+
+SWEEP = f"""WITH {_BATCH_PAGES}
+SELECT 'aircraft_reference' AS "table", 'loaded' AS status, (SELECT count(*) FROM part) AS rows
+UNION ALL SELECT 'airlines', 'loaded', (SELECT count(*) FROM supplier)
+UNION ALL SELECT 'airports', 'loaded', (SELECT count(*) FROM customer)
+UNION ALL SELECT 'flights_2025', 'loaded', (SELECT count(*) FROM page_rows)
+UNION ALL SELECT 'weather_hourly_history', 'loaded', (
+  SELECT count(*) FROM (SELECT DISTINCT user_id % 3, year(ts), weekofyear(ts) FROM events))
+UNION ALL SELECT 'broken', 'failed', CAST(NULL AS BIGINT)
+UNION ALL SELECT 'notes.txt', 'skipped', CAST(NULL AS BIGINT)"""
+
+WINDOWS = """WITH b AS (
+  SELECT c_nationkey, CAST(min(o_orderdate) AS DATE) AS start_date, CAST(max(o_orderdate) AS DATE) AS end_date
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1),
+w AS (SELECT *, unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(end_date AS TIMESTAMP) + INTERVAL 12 HOUR,
+                                       INTERVAL 12 HOUR)) AS ws FROM b)
+SELECT c_nationkey, start_date, end_date, strftime(ws, '%Y-%m-%dT%H:%M') AS from_local,
+  strftime(ws + INTERVAL 12 HOUR, '%Y-%m-%dT%H:%M') AS to_local FROM w"""
+
+RECENT = """WITH m AS (SELECT CAST(max(o_orderdate) AS DATE) AS e FROM orders)
+SELECT CAST(o_orderdate AS DATE) AS order_date, count(*) AS orders FROM orders, m
+WHERE CAST(o_orderdate AS DATE) >= e - INTERVAL 30 DAY AND CAST(o_orderdate AS DATE) <= e GROUP BY 1"""
+
+EXTRA.update({
+    "raw_file_sweep": SWEEP,
+    "stream_ingest_raw": _KEYS,
+    "landing_replay_raw": _KEYS,
+    "lakehouse_hkt_arrivals": "SELECT * FROM (" + _stg_flights("arrival") + ") WHERE airport_code = 'HKT'",
+    "request_windows": WINDOWS,
+    "recent_orders_window": RECENT,
+})

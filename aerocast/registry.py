@@ -384,3 +384,113 @@ def q_departure_classifier(spark, sf_dir):
     """The same on the departures-only frame."""
     return anl.delay_classifier(anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir),
                                                      departures_only=True))
+
+
+# ---- sources, sinks and streaming -----------------------------------------
+
+from aerocast.schemas import FLIGHT_BATCH_KEY as _BK  # noqa: E402
+from aerocast.session import scratch_path  # noqa: E402
+from aerocast.sinks.tables import load_to_raw, write_lakehouse, write_landing  # noqa: E402
+from aerocast.sources.files import sweep_directory  # noqa: E402
+from aerocast.sources.landing import read_landing  # noqa: E402
+from aerocast.sources.spine import request_windows  # noqa: E402
+from aerocast.streaming.ingest import ingest, publish, replay_landing  # noqa: E402
+
+
+def _write_sweep_inputs(spark, sf_dir, d):
+    an.raw_airports(spark, sf_dir).drop("_load_dt").write.option("header", True).csv(f"{d}/airports.csv")
+    air = an.raw_airlines(spark, sf_dir).drop("_load_dt")
+    try:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        air.write.option("header", True).option("encoding", "windows-1251").csv(f"{d}/Airlines.csv")
+    except Exception:  # noqa: BLE001 — charset unavailable: plain UTF-8
+        air.write.option("header", True).mode("overwrite").csv(f"{d}/Airlines.csv")
+    an.raw_aircraft(spark, sf_dir).drop("_load_dt").write.json(f"{d}/aircraft_reference.json")
+    an.fids_batches(spark, sf_dir).write.parquet(f"{d}/flights_2025.parquet")
+    an.weather_history_raw(spark, sf_dir).select("weather_data").write.json(f"{d}/weather_hourly_history.json")
+    an.table(spark, sf_dir, "region").select("r_name").write.text(f"{d}/notes.txt")
+    an.table(spark, sf_dir, "region").select("r_name").write.text(f"{d}/broken.parquet")
+
+
+@query("raw_file_sweep")
+def q_raw_file_sweep(spark, sf_dir):
+    """Files derived from the tables (CSV incl. a windows-1251
+    one, JSON lines, Parquet, an unsupported and a corrupt file) swept into
+    the raw layer; one report row per file."""
+    d = scratch_path(spark, "sweep-in")
+    raw = scratch_path(spark, "raw")
+    _write_sweep_inputs(spark, sf_dir, d)
+    report = sweep_directory(spark, d, lambda df, name: load_to_raw(df, f"{raw}/{name}"))
+    rows = [(r.table or r.file.rstrip("/").rsplit("/", 1)[-1], r.status, r.rows) for r in report]
+    return spark.createDataFrame(rows, "table string, status string, rows bigint")
+
+
+def _batch_keys(df):
+    return df.select("source", *_BK)
+
+
+@query("stream_ingest_raw")
+def q_stream_ingest(spark, sf_dir):
+    """Board batches published as messages (plus
+    malformed lines), ingested by a micro-batch stream with keyed inserts;
+    every message is then delivered a second time and ingested again —
+    the raw table keeps one row per batch key."""
+    topic = scratch_path(spark, "topic")
+    raw = scratch_path(spark, "raw-stream")
+    dlq = scratch_path(spark, "dlq")
+    ckpt = scratch_path(spark, "ckpt")
+    batches = an.fids_batches_with_order(spark, sf_dir)
+    publish(batches.drop("_ok"), topic)
+    bad = batches.filter(F.col("_ok") % 97 == 0).select(
+        F.concat(F.lit('{"airport_code": "'), F.col("airport_code"), F.lit('", "payload": ')).alias("value"))
+    bad.write.mode("append").text(topic)
+    ingest(spark, topic, raw, dlq, ckpt)
+    publish(batches.drop("_ok"), topic)          # redelivery
+    ingest(spark, topic, raw, dlq, ckpt)
+    return _batch_keys(spark.read.parquet(raw))
+
+
+@query("landing_replay_raw")
+def q_landing_replay(spark, sf_dir):
+    """Batches written to the landing zone, replayed twice into
+    the raw table (second replay inserts nothing)."""
+    land = scratch_path(spark, "landing")
+    raw = scratch_path(spark, "raw-landing")
+    write_landing(an.fids_batches(spark, sf_dir), land)
+    good, _bad = read_landing(spark, land)
+    replay_landing(spark, good, raw)
+    replay_landing(spark, read_landing(spark, land)[0], raw)
+    return _batch_keys(spark.read.parquet(raw))
+
+
+@query("lakehouse_hkt_arrivals")
+def q_lakehouse_arrivals(spark, sf_dir):
+    """Batches appended to the partitioned lakehouse table, read
+    back for one airport (partition-pruned) and staged."""
+    lake = scratch_path(spark, "lakehouse")
+    write_lakehouse(an.fids_batches(spark, sf_dir), lake)
+    hkt = spark.read.parquet(lake).filter(F.col("airport_code") == "HKT")
+    return _instants_as_utc(stage_flights(hkt, "arrival").drop("arrival_payload"))
+
+
+@query("request_windows")
+def q_request_windows(spark, sf_dir):
+    """Half-day request windows over each nation's order-date range."""
+    o = an.table(spark, sf_dir, "orders")
+    c = an.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    b = (o.join(c, o.o_custkey == c.c_custkey).groupBy("c_nationkey")
+         .agg(F.to_date(F.min("o_orderdate")).alias("start_date"), F.to_date(F.max("o_orderdate")).alias("end_date")))
+    return request_windows(b)
+
+
+@query("recent_orders_window")
+def q_recent_orders(spark, sf_dir):
+    """The default look-back (30 days up to the latest load date)."""
+    from aerocast.sources.spine import default_range
+    o = an.table(spark, sf_dir, "orders")
+    last = o.agg(F.to_date(F.max("o_orderdate")).alias("end_date"))
+    start, end = default_range(30, F.col("end_date"))
+    bounds = last.select(start.alias("start_date"), end.alias("end_date"))
+    r = o.join(F.broadcast(bounds), (F.to_date("o_orderdate") >= F.col("start_date"))
+               & (F.to_date("o_orderdate") <= F.col("end_date")))
+    return r.groupBy(F.to_date("o_orderdate").alias("order_date")).agg(F.count(F.lit(1)).alias("orders"))
