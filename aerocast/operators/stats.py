@@ -10,7 +10,7 @@ import math
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from aerocast.functions.exact import half_up_ratio, to_units
 from aerocast.operators.ranks import _join, quantiles, value_ranks
@@ -38,7 +38,7 @@ def describe(df: DataFrame, value: str, groups: list[str] | None = None, scale:
     return out if g else out.drop("_g")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided_normal_p(z: pd.Series) -> pd.Series:
     """2·P(Z > z) clipped to [0, 1] — a per-row helper on the one-row result."""
     return z.map(lambda x: None if x is None or (isinstance(x, float) and math.isnan(x))

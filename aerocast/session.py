@@ -43,16 +43,21 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared, fault-tolerant location there).  Only when it is unset — as
-    in local tests — a scratch folder is created and registered.
+    Uses ``spark.checkpoint.dir`` of the session (the cluster names a
+    shared, fault-tolerant location there), else the context's checkpoint
+    folder.  Only when neither is set — as in local tests — a scratch
+    folder is created and registered as the checkpoint folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            d = None
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="aerocast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
