@@ -259,7 +259,8 @@ def _stg_flights(direction: str) -> str:
     return f"""
 WITH li AS (
   SELECT l.*, o.o_orderkey, o.o_custkey, o.o_orderdate,
-    l.l_shipdate + to_hours(CAST(l.l_linenumber AS BIGINT)) AS base,
+    TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(CAST((dayofyear(l.l_shipdate) - 1) % 30 AS BIGINT) * 86400000000
+      + CAST(l.l_linenumber AS BIGINT) * 3600000000 + (l.l_partkey % 4) * 900000000) AS base,
     ['SVO', 'BKK', 'DMK', 'CNX', 'KUL'][l.l_suppkey % 5 + 1] AS oth
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE l.l_partkey % 2 = {parity} AND o.o_orderkey % 10 <> 0 {extra})

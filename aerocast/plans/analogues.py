@@ -142,6 +142,7 @@ def weather_inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 # ---- raw payload batches -------------------------------------------------
 
 OTHER_AIRPORTS = ["SVO", "BKK", "DMK", "CNX", "KUL"]   # by l_suppkey % 5
+FLIGHT_MONTH_START = "2024-01-01 00:00:00"             # same month as the weather analogue
 BATCH_SIZE = 8   # flights per payload page: keeps every collect_list bounded
 AIRPORT_T = "struct<iata:string,icao:string,name:string,timeZone:string>"
 TIME_T = "struct<utc:string,local:string>"
@@ -177,7 +178,12 @@ def fids_batches_with_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     li = li.withColumn("_chunk", F.floor((F.row_number().over(w) - 1) / BATCH_SIZE))
-    base = add_micros(F.col("l_shipdate"), F.col("l_linenumber").cast("bigint") * 3_600_000_000)
+    # scheduled time inside the weather month: day-of-year of the ship
+    # date modulo 30, plus line-number hours and 15-minute steps
+    base = add_micros(F.lit(FLIGHT_MONTH_START).cast("timestamp_ntz"),
+                      ((F.dayofyear("l_shipdate") - 1) % 30).cast("bigint") * 86_400_000_000
+                      + F.col("l_linenumber").cast("bigint") * 3_600_000_000
+                      + (F.col("l_partkey") % 4) * 900_000_000)
     two_h = F.lit(7_200_000_000)
     revised = F.when(F.col("l_discount") > 0,
                      _tp(add_micros(base, F.col("l_quantity").cast("int").cast("bigint") * 60_000_000)))

@@ -494,3 +494,18 @@ def q_recent_orders(spark, sf_dir):
     r = o.join(F.broadcast(bounds), (F.to_date("o_orderdate") >= F.col("start_date"))
                & (F.to_date("o_orderdate") <= F.col("end_date")))
     return r.groupBy(F.to_date("o_orderdate").alias("order_date")).agg(F.count(F.lit(1)).alias("orders"))
+
+
+# ---- the whole monthly build -----------------------------------------------
+
+from aerocast.plans.build import monthly_build  # noqa: E402
+
+
+@query("model_build")
+def q_model_build(spark, sf_dir):
+    """Raw load → staging → dims, facts (merge), SCD2
+    snapshot → marts → data tests, each model materialised once; rows per
+    model."""
+    layers, tests = monthly_build(spark, sf_dir, scratch_path(spark, "build"))
+    rows = sorted(layers.rows.items())
+    return spark.createDataFrame(rows, "model string, rows bigint")
