@@ -15,24 +15,33 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+NO_ZONE_FORMAT = "yyyy-MM-dd HH:mm[:ss][.SSSSSS]"
+
+
+def _clean(c) -> Column:
+    return F.translate(F.trim(_c(c)), "T", " ")
+
+
+def _has_offset(s: Column) -> Column:
+    return F.substring(s, -6, 1).isin("+", "-") & (F.substring(s, -3, 1) == ":")
+
+
 def parse_utc_text(c) -> Column:
-    """``'2026-06-30 17:00Z'`` → TIMESTAMP_NTZ holding UTC; also accepts
-    ISO ``T`` separators, seconds and a missing ``Z``."""
-    s = F.regexp_replace(F.trim(_c(c)), "T", " ")
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit(UTC_TEXT_FORMAT)).cast("timestamp_ntz"),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm[:ss][.SSSSSS]")).cast("timestamp_ntz"),
-    )
+    """``'2026-06-30 17:00Z'`` → TIMESTAMP_NTZ holding UTC; also accepts a
+    ``T`` separator, seconds and a missing ``Z``.  The format is chosen
+    from the text (a failed parse is costly), unparseable text → NULL."""
+    s = _clean(c)
+    return (F.when(s.endswith("Z"), F.try_to_timestamp(s, F.lit(UTC_TEXT_FORMAT)))
+            .otherwise(F.try_to_timestamp(s, F.lit(NO_ZONE_FORMAT)))).cast("timestamp_ntz")
 
 
 def parse_zoned_text(c) -> Column:
-    """``'2026-07-01 00:00+07:00'`` → TIMESTAMP (an instant)."""
-    s = F.regexp_replace(F.trim(_c(c)), "T", " ")
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit(ZONED_TEXT_FORMAT)),
-        F.try_to_timestamp(s, F.lit(UTC_TEXT_FORMAT)),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm[:ss][.SSSSSS]")),
-    )
+    """``'2026-07-01 00:00+07:00'`` → TIMESTAMP (an instant); ``Z`` or no
+    zone (session time zone, UTC) are accepted too."""
+    s = _clean(c)
+    return (F.when(_has_offset(s), F.try_to_timestamp(s, F.lit(ZONED_TEXT_FORMAT)))
+            .when(s.endswith("Z"), F.try_to_timestamp(s, F.lit(UTC_TEXT_FORMAT)))
+            .otherwise(F.try_to_timestamp(s, F.lit(NO_ZONE_FORMAT))))
 
 
 def weekday_name(c, padded: bool = True) -> Column:

@@ -45,41 +45,49 @@ def _two_sided_normal_p(z: pd.Series) -> pd.Series:
                  else min(1.0, math.erfc(x / math.sqrt(2.0))))
 
 
-def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, test: str = "test",
-                 with_p: bool = True) -> DataFrame:
-    """Two-sided Mann–Whitney U of ``value`` between the rows where
-    ``first`` holds and those where ``second`` holds (normal approximation
-    with tie and continuity correction, as scipy uses at these sizes).
-
-    Returns one row: n1, n2, u_statistic (U of the first sample),
-    tie_sum Σ(t³−t), z, p_value, and the effect size of the write-up:
+def mann_whitney_grouped(samples: DataFrame, value: str, test: str = "test", side: str = "side",
+                         with_p: bool = True) -> DataFrame:
+    """Two-sided Mann–Whitney U per ``test``: ``side`` is 1 for the first
+    sample, 2 for the second (other rows are ignored).  Normal
+    approximation with tie and continuity correction, as scipy uses at
+    these sizes.  One row per test: n1, n2, u_statistic (U of the first
+    sample), tie_sum Σ(t³−t), z, p_value and the write-up's effect size
     effect_z = (U1 − n1·n2/2)/√(n1·n2·(N+1)/12), effect_r = |effect_z|/√N.
-    Ranks come from ``value_ranks`` (no single-partition window).
-    """
-    side = F.when(first, F.lit(1)).when(second, F.lit(2))
-    d = df.select(F.col(value).alias("_v"), side.alias("_side")).filter(F.col("_side").isNotNull())
-    vr = value_ranks(d, "_v", extra_aggs=[F.count(F.when(F.col("_side") == 1, 1)).alias("c1")])
-    s = vr.agg(
+    All tests share one pass of ``value_ranks`` (no single-partition
+    window); an empty sample gives NULL statistics."""
+    d = samples.filter(F.col(side).isin(1, 2)).select(F.col(test).alias("test"), F.col(value).alias("_v"),
+                                                       F.col(side).alias("_side"))
+    vr = value_ranks(d, "_v", ["test"], extra_aggs=[F.count(F.when(F.col("_side") == 1, 1)).alias("c1")])
+    s = vr.groupBy("test").agg(
         F.sum("c1").alias("n1"), (F.sum("cnt") - F.sum("c1")).alias("n2"),
         F.sum(F.col("c1").cast("decimal(38,0)") * (F.col("below") * 2 + F.col("cnt") + 1)).alias("r1x2"),
         F.sum(_cube_minus(F.col("cnt").cast("decimal(38,0)"))).alias("tie"))
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
+    div = F.try_divide
     u1 = ((F.col("r1x2") - F.col("n1").cast("decimal(38,0)") * (F.col("n1") + 1)) / 2).cast("double")
     u2 = n1 * n2 - u1
-    sigma = F.sqrt(n1 * n2 / F.lit(12.0) * ((n + 1) - F.col("tie").cast("double") / (n * (n - 1))))
-    z = (F.greatest(u1, u2) - n1 * n2 / F.lit(2.0) - F.lit(0.5)) / sigma
-    ez = (u1 - n1 * n2 / F.lit(2.0)) / F.sqrt(n1 * n2 * (n + 1) / F.lit(12.0))
-    out = s.select(F.lit(test).alias("test"), F.col("n1").cast("bigint").alias("n1"),
-                   F.col("n2").cast("bigint").alias("n2"), u1.alias("u_statistic"),
-                   F.col("tie").cast("double").alias("tie_sum"), F.round(z, 9).alias("z"),
-                   F.round(ez, 9).alias("effect_z"), F.round(F.abs(ez) / F.sqrt(n), 9).alias("effect_r"),
-                   z.alias("_z"))
+    sigma = F.sqrt(n1 * n2 / F.lit(12.0) * ((n + 1) - div(F.col("tie").cast("double"), n * (n - 1))))
+    z = div(F.greatest(u1, u2) - n1 * n2 / F.lit(2.0) - F.lit(0.5), F.when(sigma > 0, sigma))
+    ez = div(u1 - n1 * n2 / F.lit(2.0), F.when(n1 * n2 > 0, F.sqrt(n1 * n2 * (n + 1) / F.lit(12.0))))
+    out = s.select("test", F.col("n1").cast("bigint").alias("n1"), F.col("n2").cast("bigint").alias("n2"),
+                   u1.alias("u_statistic"), F.col("tie").cast("double").alias("tie_sum"),
+                   F.round(z, 9).alias("z"), F.round(ez, 9).alias("effect_z"),
+                   F.round(div(F.abs(ez), F.sqrt(n)), 9).alias("effect_r"), z.alias("_z"))
     if with_p:
         out = out.withColumn("p_value", _two_sided_normal_p(F.col("_z")))
     return out.drop("_z")
 
 
+def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, test: str = "test",
+                 with_p: bool = True) -> DataFrame:
+    """One comparison: rows where ``first`` holds against rows where
+    ``second`` holds (see ``mann_whitney_grouped``)."""
+    side = F.when(first, F.lit(1)).when(second, F.lit(2))
+    samples = df.select(F.lit(test).alias("test"), F.col(value).alias("_value"), side.alias("side"))
+    return mann_whitney_grouped(samples, "_value", with_p=with_p)
+
+
 def _cube_minus(t: Column) -> Column:
     return t * t * t - t
 

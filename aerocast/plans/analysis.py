@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from aerocast.functions import by_direction
 from aerocast.operators.interval_join import interval_join, nearest_match
-from aerocast.operators.stats import describe, mann_whitney
+from aerocast.operators.stats import describe, mann_whitney_grouped
 from aerocast.plans.marts import HOME_AIRPORT, WINDOW_SECONDS, airport_operations
 
 FEATURES = ["temperature_2m_c", "relative_humidity_2m_pct", "precipitation_mm", "visibility_m",
@@ -47,25 +47,26 @@ def hypothesis_groups(pairs: DataFrame) -> dict:
     }
 
 
+def _samples(pairs: DataFrame) -> DataFrame:
+    """(test, side, delay_minutes): each pair row enters every comparison
+    it belongs to, in one explode — all tests then share one pass."""
+    entries = [F.struct(F.lit(name).alias("test"),
+                        F.when(a, F.lit(1)).when(b, F.lit(2)).alias("side"))
+               for name, (a, b) in hypothesis_groups(pairs).items()]
+    e = pairs.select("delay_minutes", F.explode(F.array(*entries)).alias("e"))
+    return e.select("e.test", "e.side", "delay_minutes").filter(F.col("side").isNotNull())
+
+
 def hypothesis_tests(pairs: DataFrame, with_p: bool = True) -> DataFrame:
     """Mann–Whitney U + effect size for each comparison."""
-    out = None
-    for name, (a, b) in hypothesis_groups(pairs).items():
-        r = mann_whitney(pairs, "delay_minutes", a, b, test=name, with_p=with_p)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return mann_whitney_grouped(_samples(pairs), "delay_minutes", with_p=with_p)
 
 
 def group_descriptions(pairs: DataFrame) -> DataFrame:
     """describe() of positive delays for both sides of each comparison."""
-    parts = []
-    for name, (a, b) in hypothesis_groups(pairs).items():
-        side = F.when(a, F.lit(f"{name}:yes")).when(b, F.lit(f"{name}:no"))
-        parts.append(pairs.select(side.alias("sample"), "delay_minutes").filter(F.col("sample").isNotNull()))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return describe(u, "delay_minutes", ["sample"])
+    s = _samples(pairs)
+    sample = F.concat(F.col("test"), F.when(F.col("side") == 1, ":yes").otherwise(":no"))
+    return describe(s.select(sample.alias("sample"), "delay_minutes"), "delay_minutes", ["sample"])
 
 
 def regression_pairs(fact_flights: DataFrame, fact_weather: DataFrame, home: str = HOME_AIRPORT,
