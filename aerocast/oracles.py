@@ -799,3 +799,70 @@ EXTRA.update({
     "request_windows": WINDOWS,
     "recent_orders_window": RECENT,
 })
+
+
+# ---- the layered monthly build: rows per model ------------------------------------
+
+_LINES = f"""
+lo AS (SELECT l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_shipdate, o.o_orderkey, o.o_custkey,
+              ['HKT', 'BKK', 'DMK'][o.o_custkey % 3 + 1] AS board,
+              ['SVO', 'BKK', 'DMK', 'CNX', 'KUL'][l.l_suppkey % 5 + 1] AS oth,
+              TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(CAST((dayofyear(l.l_shipdate) - 1) % 30 AS BIGINT) * 86400000000
+                + CAST(l.l_linenumber AS BIGINT) * 3600000000 + (l.l_partkey % 4) * 900000000) AS base
+       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+staged AS (
+  SELECT 'api_arr' AS m, * FROM lo WHERE o_orderkey % 2 = 0 AND o_orderkey % 10 <> 0 AND l_partkey % 2 = 0
+  UNION ALL SELECT 'api_dep', * FROM lo WHERE o_orderkey % 2 = 0 AND o_orderkey % 10 <> 0 AND l_partkey % 2 = 1
+  UNION ALL SELECT 'pq_arr', * FROM lo WHERE o_orderkey % 2 = 1 AND o_orderkey % 10 <> 1 AND l_partkey % 2 = 0
+  UNION ALL SELECT 'pq_dep', * FROM lo WHERE o_orderkey % 2 = 1 AND l_partkey % 2 = 1),
+fkeys AS (
+  SELECT DISTINCT 'S' || CAST(l_suppkey % 10 AS VARCHAR) AS airline, 'L' || CAST(l_partkey AS VARCHAR) AS num,
+    CASE WHEN m LIKE '%arr' THEN base - INTERVAL 2 HOUR ELSE base END AS k_ts,
+    CASE WHEN m LIKE '%arr' THEN oth ELSE board END AS dep,
+    CASE WHEN m LIKE '%arr' THEN board ELSE oth END AS arr,
+    CASE WHEN m LIKE '%arr' THEN 'arrival' ELSE 'departure' END AS direction, base AS op_ts
+  FROM staged),
+hours AS (
+  SELECT ['HKT', 'BKK', 'DMK'][user_id % 3 + 1] AS airport, date_trunc('hour', ts) AS h,
+    max(value) / 10.0 >= 13.9 AS strong, count(*) FILTER (WHERE event_type = 'error') * 1.25 >= 10 AS heavy_p,
+    count(*) FILTER (WHERE event_type = 'purchase') * 1.25 >= 10 AS heavy_r,
+    [{CODES}][CAST(sum(user_id) % 28 AS INTEGER) + 1] IN (95, 96, 99) AS thunder,
+    CASE WHEN day(date_trunc('hour', ts)) % 5 <> 0 THEN min(value) * 1000.0 < 3000 END AS low_vis
+  FROM events GROUP BY 1, 2),
+hkt_ops AS (SELECT DISTINCT direction, op_ts FROM fkeys WHERE (direction = 'departure' AND dep = 'HKT')
+                                                   OR (direction = 'arrival' AND arr = 'HKT')),
+mart AS (
+  SELECT DISTINCT w.airport, w.h, o.direction,
+    CASE WHEN w.strong OR w.heavy_p OR w.heavy_r OR w.thunder OR w.low_vis THEN 'adverse' ELSE 'normal' END AS cond
+  FROM hours w JOIN hkt_ops o ON o.op_ts >= w.h - INTERVAL 30 MINUTE AND o.op_ts < w.h + INTERVAL 30 MINUTE)"""
+
+MODEL_BUILD = f"""WITH {_BATCH_PAGES}, {RAW_AIRPORTS}, {_raw_airlines(1)}, {RAW_AIRCRAFT}, {_LINES}
+SELECT 'aerodatabox_fids_range' AS model, count(*) AS rows FROM page_rows WHERE o_orderkey % 2 = 0
+UNION ALL SELECT 'flights_2025', count(*) FROM page_rows WHERE o_orderkey % 2 = 1
+UNION ALL SELECT 'weather_raw', count(*) FROM (SELECT DISTINCT airport, CAST(h AS DATE) FROM hours)
+UNION ALL SELECT 'weather_hourly_history', count(*) FROM (SELECT DISTINCT airport, year(h), weekofyear(h) FROM hours)
+UNION ALL SELECT 'airports', count(*) FROM customer
+UNION ALL SELECT 'airlines', count(*) FROM supplier
+UNION ALL SELECT 'aircraft_reference', count(*) FROM part
+UNION ALL SELECT 'stg_aerodatabox_arrivals', count(*) FROM staged WHERE m = 'api_arr'
+UNION ALL SELECT 'stg_aerodatabox_departures', count(*) FROM staged WHERE m = 'api_dep'
+UNION ALL SELECT 'stg_parquet_arrivals', count(*) FROM staged WHERE m = 'pq_arr'
+UNION ALL SELECT 'stg_parquet_departures', count(*) FROM staged WHERE m = 'pq_dep'
+UNION ALL SELECT 'stg_weather_api', count(*) FROM hours
+UNION ALL SELECT 'stg_weather_history', count(*) FROM hours
+UNION ALL SELECT 'stg_airports', count(*) FROM customer
+UNION ALL SELECT 'stg_airlines', count(*) FROM supplier
+UNION ALL SELECT 'stg_aircraft_reference', count(*) FROM part
+UNION ALL SELECT 'dim_airports', count(*) FROM (
+  SELECT DISTINCT airport_iata, airport_icao, airport_name, airport_country, airport_city, airport_latitude,
+    airport_longitude, airport_altitude, airport_timezone, airport_timezone_offset
+  FROM stg_airports WHERE airport_country IS NOT NULL AND airport_name IS NOT NULL)
+UNION ALL SELECT 'dim_airlines', count(*) FROM (SELECT DISTINCT * FROM src_airlines1)
+UNION ALL SELECT 'dim_aircraft', count(*) FROM (SELECT DISTINCT aircraft_type, manufacturer, seats, range_km, category FROM stg_aircraft)
+UNION ALL SELECT 'fact_flights', count(*) FROM (SELECT DISTINCT airline, num, k_ts, dep, arr, direction FROM fkeys)
+UNION ALL SELECT 'fact_weather', count(*) FROM hours
+UNION ALL SELECT 'snp_airlines', count(*) FROM src_airlines1
+UNION ALL SELECT 'mart_weather_flight_impact', count(*) FROM (SELECT DISTINCT airport, h, direction FROM mart)
+UNION ALL SELECT 'mart_weather_impact_summary', count(*) FROM (SELECT DISTINCT direction, cond FROM mart)"""
+
+EXTRA["model_build"] = MODEL_BUILD
