@@ -75,3 +75,21 @@ def test_weather_history_object_and_text_payloads(spark):
                                 "weather_data string, _load_dt timestamp_ntz, _batch_id string")
     rows = stage_weather_history(raw).orderBy("airport_iata").collect()
     assert [(r.airport_iata, r.temperature_2m_c) for r in rows] == [("BKK", 30.5), ("HKT", 30.5)]
+
+
+def test_seed_csv_source_switch(spark, tmp):
+    import csv
+    from aerocast.sources.files import raw_flight_source
+    path = f"{tmp}/seed.csv"
+    with open(path, "w", newline="") as fh:
+        w = csv.writer(fh)
+        w.writerow(["source", "airport_code", "code_type", "from_local", "to_local", "direction", "extracted_at",
+                    "payload"])
+        w.writerow(["aerodatabox", "HKT", "IATA", "2026-07-01T00:00", "2026-07-01T12:00", "Both",
+                    "2026-07-02 23:12:35.432 +0300", json.dumps(SEED_PAYLOAD)])
+    raw = raw_flight_source(spark, "ci", raw_path="unused", seed_path=path)
+    assert raw.first().extracted_at == dt.datetime(2026, 7, 2, 23, 12, 35, 432000)
+    arr = stage_flights(raw, "arrival").collect()
+    dep = stage_flights(raw, "departure").collect()
+    assert [r.flight_number for r in arr] == ["TG 225"] and [r.flight_number for r in dep] == ["SL 755"]
+    assert arr[0].loaded_at == dt.datetime(2026, 7, 2, 23, 12, 35, 432000)
