@@ -39,16 +39,25 @@ def order_bucket(v: Column, per_octave: int = 64) -> Column:
     return F.when(x > 0, mag).when(x < 0, -mag).otherwise(F.lit(0)).cast("bigint")
 
 
-def value_ranks(df: DataFrame, value: str, groups: list[str] | None = None,
-                extra_aggs: list[Column] | None = None, per_octave: int = DEFAULT_PER_OCTAVE
-                ) -> DataFrame:
-    """Per group and distinct non-NULL value: ``cnt`` (rows with it),
-    ``below`` (rows of the group with a smaller value) and any
-    ``extra_aggs`` computed over the value's rows.  ``below + (cnt+1)/2``
-    is the tie-averaged rank."""
+def value_counts_table(df: DataFrame, value: str, groups: list[str] | None = None,
+                       extra_aggs: list[Column] | None = None, materialize_result: bool = True) -> DataFrame:
+    """(groups…, v, cnt, extras…) — the one pass over the input; partial
+    aggregation happens before the shuffle.  The result (distinct values
+    only) is checkpointed because ranks, totals and quantiles all read it."""
     g = list(groups or [])
     aggs = [F.count(F.lit(1)).alias("cnt")] + list(extra_aggs or [])
     vc = df.filter(F.col(value).isNotNull()).groupBy(*g, F.col(value).alias("v")).agg(*aggs)
+    if materialize_result:
+        from aerocast.session import materialize
+        vc = materialize(vc)
+    return vc
+
+
+def ranks_from_counts(vc: DataFrame, groups: list[str] | None = None,
+                      per_octave: int = DEFAULT_PER_OCTAVE) -> DataFrame:
+    """Adds ``below`` (rows of the group with a smaller value) to a value
+    count table."""
+    g = list(groups or [])
     vb = vc.withColumn("b", order_bucket(F.col("v"), per_octave))
     totals = vb.groupBy(*g, "b").agg(F.sum("cnt").alias("bt"))
     before = Window.partitionBy(*g).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,6 +68,16 @@ def value_ranks(df: DataFrame, value: str, groups: list[str] | None = None,
     return out.withColumn("below", F.col("boff") + F.col("win")).drop("boff", "win")
 
 
+def value_ranks(df: DataFrame, value: str, groups: list[str] | None = None,
+                extra_aggs: list[Column] | None = None, per_octave: int = DEFAULT_PER_OCTAVE
+                ) -> DataFrame:
+    """Per group and distinct non-NULL value: ``cnt`` (rows with it),
+    ``below`` (rows of the group with a smaller value) and any
+    ``extra_aggs`` computed over the value's rows.  ``below + (cnt+1)/2``
+    is the tie-averaged rank."""
+    return ranks_from_counts(value_counts_table(df, value, groups, extra_aggs), groups, per_octave)
+
+
 def quantile_name(p: float) -> str:
     return f"q{round(p * 100, 4):g}".replace(".", "_")
 
@@ -73,22 +92,27 @@ def quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] |
     src = df if g else df.withColumn("_g", F.lit(0))
     gk = g or ["_g"]
     vr = value_ranks(src, value, gk, per_octave=per_octave)
+    return quantiles_from_ranks(vr, probs, gk, drop_group=not g)
+
+
+def quantiles_from_ranks(vr: DataFrame, probs: list[float], gk: list[str], drop_group: bool = False
+                         ) -> DataFrame:
+    """Quantiles from a ranked value-count table (see ``quantiles``)."""
     n = vr.groupBy(*gk).agg(F.sum("cnt").alias("n"))
     hs = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
     karr = F.array_distinct(F.array(*[F.floor(h).cast("bigint") for h in hs],
                                     *[F.ceil(h).cast("bigint") for h in hs]))
-    per_group = n.select(*gk, karr.alias("ks"))
+    per_group = n.select(*gk, "n", karr.alias("ks"))
     hit = _join(vr.select(*gk, "v", "cnt", "below"), per_group, gk)
-    hit = hit.select(*gk, F.col("v").cast("double").alias("x"), F.explode(F.filter(
+    hit = hit.select(*gk, "n", F.col("v").cast("double").alias("x"), F.explode(F.filter(
         "ks", lambda k: (k >= F.col("below")) & (k < F.col("below") + F.col("cnt")))).alias("k"))
-    tg = n.select(*gk, F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("pi", "p"), "n")
-    h = (F.col("n") - 1) * F.col("p")
-    tg = tg.select(*gk, "pi", h.alias("h"), F.floor(h).cast("bigint").alias("k_lo"),
-                   F.ceil(h).cast("bigint").alias("k_hi"))
-    lo = hit.withColumnRenamed("k", "k_lo").withColumnRenamed("x", "x_lo")
-    hi = hit.withColumnRenamed("k", "k_hi").withColumnRenamed("x", "x_hi")
-    t = _join(_join(tg, lo, gk + ["k_lo"]), hi, gk + ["k_hi"])
-    qv = F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * (F.col("h") - F.col("k_lo"))
-    out = (t.groupBy(*gk).pivot("pi", list(range(len(probs)))).agg(F.first(qv))
-           .select(*gk, *[F.col(f"`{i}`").alias(quantile_name(p)) for i, p in enumerate(probs)]))
-    return out if g else out.drop("_g")
+    # ≤ 2·|probs| order statistics per group → a small map k → x
+    stats = hit.groupBy(*gk, "n").agg(F.map_from_entries(F.collect_list(F.struct("k", "x"))).alias("m"))
+    cols = []
+    for p in probs:
+        h = (F.col("n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(h).cast("bigint"), F.ceil(h).cast("bigint")
+        x_lo, x_hi = F.element_at("m", lo), F.element_at("m", hi)
+        cols.append((x_lo + (x_hi - x_lo) * (h - lo)).alias(quantile_name(p)))
+    out = stats.select(*gk, *cols)
+    return out.drop("_g") if drop_group else out

@@ -13,28 +13,39 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from aerocast.functions.exact import half_up_ratio, to_units
-from aerocast.operators.ranks import _join, quantiles, value_ranks
+from aerocast.operators.ranks import (
+    _join, quantiles, quantiles_from_ranks, ranks_from_counts, value_counts_table, value_ranks,
+)
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
 def describe(df: DataFrame, value: str, groups: list[str] | None = None, scale: int = 2) -> DataFrame:
     """count, mean, std (sample), min, 25 %, 50 %, 75 %, max per group.
-    ``value`` must be exact with ``scale`` decimals; the mean is exact,
-    rounded half-up to 6 decimals, std is rounded to 6 decimals."""
+    ``value`` must be exact with ``scale`` decimals.  One pass over the
+    input builds the (group, value, count) table; every statistic comes
+    from it: the mean exactly (rounded half-up to 6 decimals), the sample
+    std from exact sums (rounded to 6 decimals), quantiles by rank."""
     g = list(groups or [])
     src = df if g else df.withColumn("_g", F.lit(0))
     gk = g or ["_g"]
-    v = F.col(value)
-    base = src.groupBy(*gk).agg(
-        F.count(v).alias("count"),
-        half_up_ratio(F.sum(to_units(v, scale)) * F.lit(10 ** (6 - scale)), F.count(v), 6)
-        .cast("double").alias("mean"),
-        F.round(F.stddev_samp(v.cast("double")), 6).alias("std"),
-        F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max"))
-    q = quantiles(src, value, QUARTILES, gk)
-    out = _join(base, q, gk).select(*gk, "count", "mean", "std", "min",
-                                    "q25", F.col("q50").alias("median"), "q75", "max")
+    vc = value_counts_table(src, value, gk)
+    units = to_units(F.col("v"), scale)                       # exact integers
+    cnt = F.col("cnt").cast("decimal(38,0)")
+    base = vc.groupBy(*gk).agg(
+        F.sum("cnt").alias("count"), F.sum(cnt * units).alias("_s"),
+        F.sum(cnt * units * units).alias("_ss"),
+        F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"))
+    n = F.col("count").cast("decimal(38,0)")
+    var_num = n * F.col("_ss") - F.col("_s") * F.col("_s")      # n·Σx² − (Σx)², exact
+    std = F.sqrt(F.try_divide(var_num.cast("double"), (n * (n - 1)).cast("double"))) / F.lit(float(10 ** scale))
+    base = base.select(*gk, "count",
+                       half_up_ratio(F.col("_s") * F.lit(10 ** (6 - scale)), F.col("count"), 6)
+                       .cast("double").alias("mean"),
+                       F.round(F.when(F.col("count") > 1, std), 6).alias("std"), "min", "max")
+    q = quantiles_from_ranks(ranks_from_counts(vc, gk), QUARTILES, gk)
+    out = _join(base, q, gk).select(*gk, "count", "mean", "std", "min", "q25",
+                                    F.col("q50").alias("median"), "q75", "max")
     return out if g else out.drop("_g")
 
 

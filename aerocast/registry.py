@@ -488,11 +488,11 @@ def q_recent_orders(spark, sf_dir):
     """The default look-back (30 days up to the latest load date)."""
     from aerocast.sources.spine import default_range
     o = an.table(spark, sf_dir, "orders")
-    last = o.agg(F.to_date(F.max("o_orderdate")).alias("end_date"))
-    start, end = default_range(30, F.col("end_date"))
-    bounds = last.select(start.alias("start_date"), end.alias("end_date"))
-    r = o.join(F.broadcast(bounds), (F.to_date("o_orderdate") >= F.col("start_date"))
-               & (F.to_date("o_orderdate") <= F.col("end_date")))
+    # the latest load date as a scalar subquery: one aggregate, then a filter
+    last = o.agg(F.to_date(F.max("o_orderdate"))).scalar()
+    start, end = default_range(30, last)
+    d = F.to_date("o_orderdate")
+    r = o.filter((d >= start) & (d <= end))
     return r.groupBy(F.to_date("o_orderdate").alias("order_date")).agg(F.count(F.lit(1)).alias("orders"))
 
 

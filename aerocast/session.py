@@ -78,3 +78,11 @@ def local_path(p: str) -> str:
         while p.startswith("//"):
             p = p[1:]
     return os.path.abspath(p)
+
+
+def materialize(df):
+    """Reliable lineage cut for a small intermediate that several later
+    steps read: ``checkpoint()`` into the shared checkpoint folder (never
+    ``localCheckpoint``, which dies with its executor)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
