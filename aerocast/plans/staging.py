@@ -73,12 +73,16 @@ def stage_flights(raw: DataFrame, direction: str) -> DataFrame:
     return parsed.select(*BATCH_META, *body)
 
 
-def _typed_hourly(df: DataFrame) -> DataFrame:
+def _typed_hourly(df: DataFrame, weather_tz: str | None = None) -> DataFrame:
+    """Typed hourly rows.  The API is asked for local times of the
+    airport; by default they are stored unshifted as ``weather_time_utc``
+    (as the reference does); ``weather_tz`` converts them to UTC."""
     casts = [F.col(c).cast(t).alias(c) for _, c, t in HOURLY_VARIABLES]
+    t = parse_utc_text(F.col("weather_time"))
+    if weather_tz:
+        t = F.to_utc_timestamp(t.cast("timestamp"), weather_tz).cast("timestamp_ntz")
     return df.select(
-        "source", "airport_iata", "loaded_at",
-        parse_utc_text(F.col("weather_time")).alias("weather_time_utc"),
-        *casts,
+        "source", "airport_iata", "loaded_at", t.alias("weather_time_utc"), *casts,
     ).withColumn("weather_description", weather_description(F.col("weathercode")))
 
 
@@ -92,21 +96,21 @@ def _explode_hourly(df: DataFrame, payload_col: str, keep: list[str]) -> DataFra
     return df.select(*keep, lockstep_explode(arrays, types))
 
 
-def stage_weather_api(raw: DataFrame) -> DataFrame:
+def stage_weather_api(raw: DataFrame, weather_tz: str | None = None) -> DataFrame:
     """Raw weather payloads (parallel hourly arrays) → one row per hour."""
     base = raw.select("source", "airport_iata", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
                       "payload")
-    return _typed_hourly(_explode_hourly(base, "payload", ["source", "airport_iata", "loaded_at"]))
+    return _typed_hourly(_explode_hourly(base, "payload", ["source", "airport_iata", "loaded_at"]), weather_tz)
 
 
-def stage_weather_history(raw: DataFrame) -> DataFrame:
+def stage_weather_history(raw: DataFrame, weather_tz: str | None = None) -> DataFrame:
     """History documents (a list of {source, airport_iata, payload}, the
     payload an object or JSON text) → one row per hour."""
     recs = raw.select(F.col("_load_dt").cast("timestamp_ntz").alias("loaded_at"),
                       F.explode(F.from_json(F.col("weather_data"), HISTORY_RECORDS)).alias("r"))
     flat = recs.select(F.col("r.source").alias("source"), F.col("r.airport_iata").alias("airport_iata"),
                        "loaded_at", F.col("r.payload").alias("payload"))
-    return _typed_hourly(_explode_hourly(flat, "payload", ["source", "airport_iata", "loaded_at"]))
+    return _typed_hourly(_explode_hourly(flat, "payload", ["source", "airport_iata", "loaded_at"]), weather_tz)
 
 
 def stage_airports(raw: DataFrame) -> DataFrame:

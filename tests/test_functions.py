@@ -83,3 +83,13 @@ def test_cleaning(spark):
         [Decimal("12.500000"), Decimal("-3.000000"), None, None]
     b = spark.createDataFrame([(x,) for x in ["Y", " yes", "1", "N", "false", "maybe", None]], "s string")
     assert [r[0] for r in b.select(tri_bool("s")).collect()] == [True, True, True, False, False, None, None]
+
+
+def test_null_flag_is_normal_weather(spark):
+    from aerocast.functions import weather_condition
+    df = spark.createDataFrame([(None, False, False, False, False), (None, True, False, False, False),
+                                (False, False, False, False, None)],
+                               "is_strong_wind boolean, is_heavy_precipitation boolean, is_heavy_rain boolean, "
+                               "has_thunderstorm boolean, is_low_visibility boolean")
+    assert [r[0] for r in df.select(weather_condition()).collect()] == \
+        ["normal_weather", "adverse_weather", "normal_weather"]
