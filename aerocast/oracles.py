@@ -866,3 +866,16 @@ UNION ALL SELECT 'mart_weather_flight_impact', count(*) FROM (SELECT DISTINCT ai
 UNION ALL SELECT 'mart_weather_impact_summary', count(*) FROM (SELECT DISTINCT direction, cond FROM mart)"""
 
 EXTRA["model_build"] = MODEL_BUILD
+
+
+EXTRA.update({
+    "payload_key_filters": f"""WITH {_BATCH_PAGES}
+SELECT o_orderkey % 10 <> 0 AS has_arrivals_key, o_orderkey % 10 NOT IN (0, 1) AS arrivals_not_null,
+       o_orderkey % 10 <> 0 AS has_departures_key, o_orderkey % 10 <> 0 AS departures_not_null,
+       count(*) AS pages
+FROM page_rows GROUP BY ALL""",
+    "event_props_extract": """SELECT event_type, count(*) AS events,
+  sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS sum_k,
+  count(*) FILTER (WHERE json_extract(props, '$.k') IS NULL) AS missing_k
+FROM events GROUP BY 1""",
+})

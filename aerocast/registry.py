@@ -509,3 +509,33 @@ def q_model_build(spark, sf_dir):
     layers, tests = monthly_build(spark, sf_dir, scratch_path(spark, "build"))
     rows = sorted(layers.rows.items())
     return spark.createDataFrame(rows, "model string, rows bigint")
+
+
+# ---- JSON key / path predicates ---------------------------------------------
+
+from aerocast.operators.json_ops import has_key, path_not_null  # noqa: E402
+
+
+@query("payload_key_filters")
+def q_payload_key_filters(spark, sf_dir):
+    """Board pages per combination of ``payload ? key`` (key
+    present, even with a JSON null) and ``json_extract(...) IS NOT NULL``."""
+    b = an.fids_batches(spark, sf_dir)
+    return (b.select(has_key("payload", "arrivals").alias("has_arrivals_key"),
+                     path_not_null("payload", "$.arrivals").alias("arrivals_not_null"),
+                     has_key("payload", "departures").alias("has_departures_key"),
+                     path_not_null("payload", "$.departures").alias("departures_not_null"))
+            .groupBy("has_arrivals_key", "arrivals_not_null", "has_departures_key", "departures_not_null")
+            .agg(F.count(F.lit(1)).alias("pages")))
+
+
+@query("event_props_extract")
+def q_event_props_extract(spark, sf_dir):
+    """A scalar path read from the ``props`` JSON text of every
+    event, aggregated per event type."""
+    ev = an.table(spark, sf_dir, "events")
+    k = F.from_json("props", "k bigint")["k"]
+    return (ev.select("event_type", k.alias("k"))
+            .groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("k").alias("sum_k"),
+                 F.count(F.when(F.col("k").isNull(), 1)).alias("missing_k")))
