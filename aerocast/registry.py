@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aerocast.plans import analogues as an
-from aerocast.plans.core import FLIGHT_COLUMNS, build_fact_flights, build_fact_weather
+from aerocast.plans.core import build_fact_flights, build_fact_weather
 from aerocast.plans.marts import (
     build_weather_flight_impact, build_weather_impact_summary, delay_distribution,
 )

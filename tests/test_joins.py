@@ -27,12 +27,10 @@ def test_bucketed_equals_naive_on_random_data(spark):
             b = naive_interval_join(p, c, "pts", "cts", 1800, 1800, closed=closed, how=how).select("pid", "cid")
             assert _sets(a) == _sets(b), (closed, how)
     r = interval_join(p, c, "pts", "cts", 1800, 1800, closed="left", how="right", interval_key="cid")
-    nb = naive_interval_join(c, p, "pts", "cts", 1800, 1800) if False else None
     inner = _sets(interval_join(p, c, "pts", "cts", closed="left").select("cid", "pid"))
     matched = {x[0] for x in inner}
     expect = inner + sorted((cid, None) for cid, _ in centers if cid not in matched)
     assert sorted(_sets(r.select("cid", "pid")), key=str) == sorted(expect, key=str)
-    del nb
 
 
 def test_boundaries_and_nearest_tie(spark):
