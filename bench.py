@@ -44,8 +44,8 @@ def main() -> None:
     for k, v in layers.timings.items():
         times[f"model_build.{k}"] = v
 
-    ff = spark.read.parquet(layers.path("core", "fact_flights") + "/" + open_pointer(spark, layers.path("core", "fact_flights")))
-    fw = spark.read.parquet(layers.path("core", "fact_weather") + "/" + open_pointer(spark, layers.path("core", "fact_weather")))
+    ff = spark.read.parquet(layers.path("core", "fact_flights"))
+    fw = spark.read.parquet(layers.path("core", "fact_weather"))
 
     def run(name, build):
         """Time plan construction (which may materialise intermediates)
@@ -70,10 +70,5 @@ def main() -> None:
                       "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
 
 
-def open_pointer(spark, base):
-    from aerocast.sinks.tables import POINTER, _read_text
-    return _read_text(spark, f"{base}/{POINTER}")
-
-
 if __name__ == "__main__":
     main()

@@ -52,3 +52,17 @@ def test_versioned_merge(spark, tmp):
     cur = sorted(tuple(r) for r in read_current(spark, base).collect())
     assert cur == [(1, "x"), (2, "Y"), (3, "z")]
     assert publish_version(a, base).endswith("v=000003")
+
+
+def test_partition_wise_merge(spark, tmp):
+    import os
+    from aerocast.sinks.tables import merge_partitions
+    p = f"{tmp}/fact"
+    a = spark.createDataFrame([(1, "x", "d1"), (2, "y", "d1"), (3, "z", "d2")], "k int, v string, d string")
+    merge_partitions(spark, p, a, ["k"], "d", f"{tmp}/s1")
+    before = os.listdir(f"{p}/d=d2")
+    b = spark.createDataFrame([(2, "Y", "d1"), (4, "w", "d3")], "k int, v string, d string")
+    assert merge_partitions(spark, p, b, ["k"], "d", f"{tmp}/s2") == 2
+    got = sorted((r.k, r.v, r.d) for r in spark.read.parquet(p).collect())
+    assert got == [(1, "x", "d1"), (2, "Y", "d1"), (3, "z", "d2"), (4, "w", "d3")]
+    assert os.listdir(f"{p}/d=d2") == before       # untouched partition not rewritten
