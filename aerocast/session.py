@@ -86,3 +86,26 @@ def materialize(df):
     ``localCheckpoint``, which dies with its executor)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Settings for a large cluster run, sized from the input volume.
+
+    The initial shuffle width gives ~``target_partition_mb`` per partition
+    of the largest input (AQE then coalesces small ones and splits skewed
+    ones); scans split files into partitions of the same size.  For 100 TB
+    on 1,000 executors × 8 cores this is ≈ 400k initial shuffle partitions,
+    coalesced by AQE to what each stage actually carries.
+    """
+    mb = 1024 * 1024
+    parts = max(total_cores * 3, int(input_bytes / (target_partition_mb * mb)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 2}m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
