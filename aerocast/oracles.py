@@ -251,10 +251,12 @@ EXTRA: dict[str, str] = {}
 
 # ---- staging ---------------------------------------------------------------
 
-def _stg_flights(direction: str) -> str:
+def _stg_flights(direction: str, order_filter: str = "") -> str:
     own, other = ("arrival", "departure") if direction == "arrival" else ("departure", "arrival")
     parity = 0 if direction == "arrival" else 1
     extra = "AND o.o_orderkey % 10 <> 1" if direction == "arrival" else ""
+    if order_filter:
+        extra += f" AND {order_filter}"
     sign = "-" if direction == "arrival" else "+"
     return f"""
 WITH li AS (
@@ -879,3 +881,54 @@ FROM page_rows GROUP BY ALL""",
   count(*) FILTER (WHERE json_extract(props, '$.k') IS NULL) AS missing_k
 FROM events GROUP BY 1""",
 })
+
+
+def _staging_suite() -> str:
+    flights = [("stg_aerodatabox_arrivals", "arrival", "scheduled_arrival_utc", "o.o_orderkey % 2 = 0"),
+               ("stg_aerodatabox_departures", "departure", "scheduled_departure_utc", "o.o_orderkey % 2 = 0"),
+               ("stg_parquet_arrivals", "arrival", "scheduled_arrival_utc", "o.o_orderkey % 2 = 1"),
+               ("stg_parquet_departures", "departure", "scheduled_departure_utc", "o.o_orderkey % 2 = 1")]
+    ctes = [f"{n} AS ({_stg_flights(d, f)})" for n, d, _, f in flights]
+    wsql = _stg_weather("open-meteo", "CAST(weather_time_utc AS DATE) + INTERVAL 1 DAY")
+    ctes.append(f"stg_weather_api AS ({wsql})")
+    ctes.append(f"stg_weather_history AS ({_stg_weather('history', chr(39).join(['TIMESTAMP ', '2024-03-01 00:00:00', '']))})")
+    rows = []
+
+    def nn(t, c):
+        return f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+    for n, d, ts, _ in flights:
+        rows += [(f"{n}.not_null.{c}", nn(n, c)) for c in ("airport_code", "flight_number", "direction", ts,
+                                                           "source", "loaded_at")]
+        rows.append((f"{n}.accepted_values.direction",
+                     f"(SELECT count(*) FROM (SELECT direction FROM {n} GROUP BY 1) WHERE direction NOT IN ('{d}'))"))
+    rows += [("stg_aircraft_reference.not_null.aircraft_type", nn("stg_aircraft", "aircraft_type")),
+             ("stg_aircraft_reference.not_null.source_loaded_at", nn("stg_aircraft", "source_loaded_at")),
+             ("stg_airlines.not_null.airline_name", nn("stg_airlines1", "airline_name")),
+             ("stg_airlines.accepted_values.airline_active",
+              "(SELECT count(*) FROM (SELECT airline_active FROM stg_airlines1 GROUP BY 1) WHERE airline_active NOT IN (true, false))"),
+             ("stg_airlines.not_null.source_loaded_at", nn("stg_airlines1", "source_loaded_at")),
+             ("stg_airports.not_null.airport_name", nn("stg_airports", "airport_name")),
+             ("stg_airports.not_null.airport_country", nn("stg_airports", "airport_country")),
+             ("stg_airports.unique.airport_iata",
+              "(SELECT count(*) FROM (SELECT airport_iata FROM stg_airports WHERE airport_iata IS NOT NULL GROUP BY 1 HAVING count(*) > 1))"),
+             ("stg_airports.not_null.source_loaded_at", nn("stg_airports", "source_loaded_at"))]
+    for w in ("stg_weather_api", "stg_weather_history"):
+        rows += [(f"{w}.not_null.{c}", nn(w, c)) for c in ("airport_iata", "weather_time_utc", "temperature_2m_c",
+                                                           "weathercode", "weather_description")]
+    rows += [("dim_airlines.not_null.airline_key", nn("dl", "airline_key")),
+             ("dim_airlines.unique.airline_key",
+              "(SELECT count(*) FROM (SELECT airline_key FROM dl GROUP BY 1 HAVING count(*) > 1))"),
+             ("dim_airlines.not_null.airline_name", nn("dl", "airline_name")),
+             ("dim_aircraft.not_null.aircraft_key", nn("dc", "aircraft_key")),
+             ("dim_aircraft.unique.aircraft_key",
+              "(SELECT count(*) FROM (SELECT aircraft_key FROM dc GROUP BY 1 HAVING count(*) > 1))"),
+             ("dim_aircraft.not_null.aircraft_type", nn("dc", "aircraft_type")),
+             ("dim_aircraft.not_null.manufacturer", nn("dc", "manufacturer"))]
+    body = "\nUNION ALL ".join(f"SELECT '{n}' AS test_name, {e} AS failures" for n, e in rows)
+    return (f"WITH {', '.join(ctes)}, {RAW_AIRPORTS}, {_raw_airlines(1)}, {RAW_AIRCRAFT},\n"
+            f"dl AS (SELECT DISTINCT {AIRLINE_COLS} FROM src_airlines1),\n"
+            "dc AS (SELECT DISTINCT md5(coalesce(aircraft_type, '') || coalesce(manufacturer, '')) AS aircraft_key,"
+            " aircraft_type, manufacturer, seats, range_km, category FROM stg_aircraft)\n" + body)
+
+
+EXTRA["dq_staging_suite"] = _staging_suite()

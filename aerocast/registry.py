@@ -539,3 +539,25 @@ def q_event_props_extract(spark, sf_dir):
             .groupBy("event_type")
             .agg(F.count(F.lit(1)).alias("events"), F.sum("k").alias("sum_k"),
                  F.count(F.when(F.col("k").isNull(), 1)).alias("missing_k")))
+
+
+@query("dq_staging_suite")
+def q_dq_staging_suite(spark, sf_dir):
+    """Q1–Q3: the declared tests of the nine staging models and two dims
+    (board batches split into the API table and the history file by order
+    key parity, as in the build)."""
+    from aerocast.plans.checks import dim_checks, staging_checks
+    b = an.fids_batches_with_order(spark, sf_dir)
+    api, hist = b.filter(F.col("_ok") % 2 == 0).drop("_ok"), b.filter(F.col("_ok") % 2 == 1).drop("_ok")
+    m = {"stg_aerodatabox_arrivals": stage_flights(api, "arrival"),
+         "stg_aerodatabox_departures": stage_flights(api, "departure"),
+         "stg_parquet_arrivals": stage_flights(hist, "arrival"),
+         "stg_parquet_departures": stage_flights(hist, "departure"),
+         "stg_weather_api": stage_weather_api(an.weather_raw(spark, sf_dir)),
+         "stg_weather_history": stage_weather_history(an.weather_history_raw(spark, sf_dir)),
+         "stg_airports": stage_airports(an.raw_airports(spark, sf_dir)),
+         "stg_airlines": stage_airlines(an.raw_airlines(spark, sf_dir)),
+         "stg_aircraft_reference": stage_aircraft(an.raw_aircraft(spark, sf_dir))}
+    checks = staging_checks(m) + dim_checks(build_dim_airlines(m["stg_airlines"]),
+                                            build_dim_aircraft(m["stg_aircraft_reference"]))
+    return dq.run_suite(checks)
