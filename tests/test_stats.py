@@ -82,3 +82,24 @@ def test_correlation_pairwise_complete(spark):
     exp = np.corrcoef([x for x, _ in ab], [y for _, y in ab])[0, 1]
     assert abs(m[("a", "b")] - round(exp, 9)) < 1e-9 and m[("b", "a")] == m[("a", "b")]
     assert abs(m[("a", "a")] - 1.0) < 1e-9 and len(m) == 9
+
+
+def test_exact_small_sample_p(spark):
+    from itertools import combinations
+    from aerocast.operators.stats import exact_u_sf
+    a, b = [1.5, 3.2, 7.7, 9.1], [0.4, 2.2, 2.9, 4.4, 5.0]
+    allv = a + b
+    n1, n2 = len(a), len(b)
+    # brute force: U of every split of the pooled values
+    us = []
+    for idx in combinations(range(len(allv)), n1):
+        xs = [allv[i] for i in idx]
+        ys = [allv[i] for i in range(len(allv)) if i not in idx]
+        us.append(sum(1 for x in xs for y in ys if x > y))
+    u1 = sum(1 for x in a for y in b if x > y)
+    u = max(u1, n1 * n2 - u1)
+    p_brute = min(1.0, 2 * sum(1 for v in us if v >= u) / len(us))
+    assert abs(exact_u_sf(u, n1, n2) * 2 - p_brute) < 1e-12
+    df = spark.createDataFrame([(x, True) for x in a] + [(x, False) for x in b], "d double, flag boolean")
+    r = mann_whitney(df, "d", F.col("flag") == True, F.col("flag") == False).first()  # noqa: E712
+    assert r.u_statistic == u1 and abs(r.p_value - p_brute) < 1e-12
