@@ -83,3 +83,22 @@ def test_impact_half_open_window_and_rates(spark):
          build_weather_impact_summary(build_weather_flight_impact(w, ff)).collect()}
     assert s[("departure", "adverse_weather")].total_weather_hours == 1
     assert s[("departure", "normal_weather")].avg_delay_minutes == Decimal("9.50")
+
+
+def test_weather_airport_option(spark):
+    from aerocast.plans.marts import WEATHER_ATTRIBUTES
+    w = _weather(spark, [("h", "HKT", T(2026, 1, 1, 10), Decimal("1")), ("b", "BKK", T(2026, 1, 1, 10), Decimal("1"))])
+    for c in WEATHER_ATTRIBUTES:
+        if c not in w.columns:
+            w = w.withColumn(c, F.lit(None).cast("string"))
+    ff = spark.createDataFrame([("a", "departure", "HKT", "X", T(2026, 1, 1, 10, 5), None, Decimal("1.00"), None,
+                                 "minor_delay", "unknown")],
+                               "flight_key string, flight_direction string, airport_departure_iata string, "
+                               "airport_arrival_iata string, scheduled_departure_utc timestamp_ntz, "
+                               "scheduled_arrival_utc timestamp_ntz, departure_delay_minutes decimal(18,2), "
+                               "arrival_delay_minutes decimal(18,2), departure_time_status string, "
+                               "arrival_time_status string").withColumns(
+        {"flight_number": F.lit("N"), "airline_iata": F.lit("A")})
+    # default: weather of every airport meets the home operations (as the reference does)
+    assert sorted(r.weather_key for r in build_weather_flight_impact(w, ff).collect()) == ["b", "h"]
+    assert [r.weather_key for r in build_weather_flight_impact(w, ff, weather_airport="HKT").collect()] == ["h"]
