@@ -219,9 +219,11 @@ summary AS (
   SELECT operation_type,
     CASE WHEN is_strong_wind OR is_heavy_precipitation OR is_heavy_rain OR has_thunderstorm
               OR is_low_visibility THEN 'adverse_weather' ELSE 'normal_weather' END AS weather_condition,
-    count(*) AS total_weather_hours, sum(total_operations) AS total_operations,
-    sum(delayed_operations) AS delayed_operations, sum(minor_delay_operations) AS minor_delay_operations,
-    sum(ontime_operations) AS ontime_operations, sum(unknown_operations) AS unknown_operations,
+    count(*) AS total_weather_hours, CAST(sum(total_operations) AS BIGINT) AS total_operations,
+    CAST(sum(delayed_operations) AS BIGINT) AS delayed_operations,
+    CAST(sum(minor_delay_operations) AS BIGINT) AS minor_delay_operations,
+    CAST(sum(ontime_operations) AS BIGINT) AS ontime_operations,
+    CAST(sum(unknown_operations) AS BIGINT) AS unknown_operations,
     {_avg_sql('avg_delay_minutes', 2, 2)} AS avg_delay_minutes,
     {_avg_sql('avg_positive_delay_minutes', 2, 2)} AS avg_positive_delay_minutes,
     {_avg_sql('delay_rate', 4, 4)} AS delay_rate,
@@ -233,11 +235,17 @@ summary AS (
   FROM mart_weather_flight_impact GROUP BY 1, 2)"""
 
 
+MEASURES = ["temperature_2m_c", "apparent_temperature_c", "dewpoint_2m_c", "relative_humidity_2m_pct",
+            "precipitation_mm", "rain_mm", "snowfall_cm", "cloudcover_pct", "visibility_m", "windspeed_10m_ms",
+            "winddirection_10m_deg"]
+_DOUBLE_MEASURES = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in MEASURES)
+
+
 def ORACLES() -> dict[str, str]:
     o = {
         "fact_flights": f"WITH {FACT_FLIGHTS} SELECT {FACT_FLIGHT_COLUMNS} FROM fact_flights",
-        "fact_weather": f"WITH {FACT_WEATHER} SELECT * FROM fact_weather",
-        "mart_weather_flight_impact": f"WITH {IMPACT} SELECT * FROM mart_weather_flight_impact",
+        "fact_weather": f"WITH {FACT_WEATHER} SELECT * EXCLUDE ({', '.join(MEASURES)}), {_DOUBLE_MEASURES} FROM fact_weather",
+        "mart_weather_flight_impact": f"WITH {IMPACT} SELECT * EXCLUDE ({', '.join(MEASURES)}), {_DOUBLE_MEASURES} FROM mart_weather_flight_impact",
         "mart_weather_impact_summary": f"WITH {SUMMARY} SELECT * FROM summary",
         "delay_distribution": f"""WITH {FACT_FLIGHTS}
             SELECT departure_time_status, count(*) AS flight_count FROM fact_flights GROUP BY 1""",
@@ -877,7 +885,7 @@ SELECT o_orderkey % 10 <> 0 AS has_arrivals_key, o_orderkey % 10 NOT IN (0, 1) A
        count(*) AS pages
 FROM page_rows GROUP BY ALL""",
     "event_props_extract": """SELECT event_type, count(*) AS events,
-  sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS sum_k,
+  CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
   count(*) FILTER (WHERE json_extract(props, '$.k') IS NULL) AS missing_k
 FROM events GROUP BY 1""",
 })
