@@ -278,7 +278,7 @@ SELECT 'aerodatabox' AS source, ['HKT', 'BKK', 'DMK'][o_custkey % 3 + 1] AS airp
   'IATA' AS code_type,
   o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)) AS window_from_local,
   o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)) + INTERVAL 12 HOUR AS window_to_local,
-  o_orderdate + INTERVAL 1 DAY AS loaded_at,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((dayofyear(o_orderdate) - 1) % 30 + 1 AS INTEGER)) AS loaded_at,
   '{direction}' AS direction,
   'L' || CAST(l_partkey AS VARCHAR) AS flight_number, l_returnflag AS flight_status,
   'C' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS call_sign,
@@ -451,7 +451,7 @@ KEYED_INSERT = """WITH b AS (
     'IATA' AS code_type,
     strftime(o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)), '%Y-%m-%dT%H:%M') AS from_local,
     strftime(o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)) + INTERVAL 12 HOUR, '%Y-%m-%dT%H:%M') AS to_local,
-    'Both' AS direction, o_orderdate + INTERVAL 1 DAY AS extracted_at
+    'Both' AS direction, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((dayofyear(o_orderdate) - 1) % 30 + 1 AS INTEGER)) AS extracted_at
   FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
 existing AS (
   SELECT source, airport_code, code_type, from_local, to_local, direction, min(extracted_at) AS extracted_at
@@ -569,8 +569,8 @@ page_rows AS (SELECT p.*, g.chunk FROM pages p, LATERAL (SELECT unnest(range(0,
 
 FRESHNESS = f"""WITH {_BATCH_PAGES},
 m AS (
-  SELECT 'aerodatabox_fids_range' AS source, max(o_orderdate + INTERVAL 1 DAY) AS max_loaded_at,
-         TIMESTAMP '2001-09-01 00:00:00' AS as_of FROM page_rows
+  SELECT 'aerodatabox_fids_range' AS source, max(TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((dayofyear(o_orderdate) - 1) % 30 + 1 AS INTEGER))) AS max_loaded_at,
+         TIMESTAMP '2024-03-04 00:00:00' AS as_of FROM page_rows
   UNION ALL
   SELECT 'weather_raw', max(CAST(CAST(date_trunc('hour', ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY),
          TIMESTAMP '2024-03-05 00:00:00' FROM events)

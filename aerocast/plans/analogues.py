@@ -229,6 +229,9 @@ def fids_batches_with_order(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.to_json("departures"), F.lit("}")))
                .otherwise(F.to_json(F.struct("arrivals", "departures"))))
     start = add_micros(F.col("o_orderdate"), ((F.col("o_orderkey") % 720) * 60_000_000).cast("bigint"))
+    # loaded in the month the flights fly: day-of-year of the order date mod 30, plus one day
+    extracted = add_micros(F.lit(FLIGHT_MONTH_START).cast("timestamp_ntz"),
+                           ((F.dayofyear("o_orderdate") - 1) % 30 + 1).cast("bigint") * 86_400_000_000)
     return pages.select(
         F.lit("aerodatabox").alias("source"),
         _pick(HOME_PORTS, F.col("o_custkey") % 3).alias("airport_code"),
@@ -236,7 +239,7 @@ def fids_batches_with_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(start, "yyyy-MM-dd'T'HH:mm").alias("from_local"),
         F.date_format(start + F.expr("INTERVAL 12 HOURS"), "yyyy-MM-dd'T'HH:mm").alias("to_local"),
         F.lit("Both").alias("direction"),
-        add_micros(F.col("o_orderdate"), F.lit(86_400_000_000)).alias("extracted_at"),
+        extracted.alias("extracted_at"),
         payload.alias("payload"),
         F.col("o_orderkey").alias("_ok"),
     )

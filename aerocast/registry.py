@@ -245,7 +245,7 @@ def q_dq_core_suite(spark, sf_dir):
     return dq.run_suite(core_checks(ff, fw, da, dl))
 
 
-FRESHNESS_AS_OF = {"aerodatabox_fids_range": "2001-09-01 00:00:00", "weather_raw": "2024-03-05 00:00:00"}
+FRESHNESS_AS_OF = {"aerodatabox_fids_range": "2024-03-04 00:00:00", "weather_raw": "2024-03-05 00:00:00"}
 
 
 @query("dq_source_freshness")
