@@ -940,3 +940,12 @@ def _staging_suite() -> str:
 
 
 EXTRA["dq_staging_suite"] = _staging_suite()
+
+
+EXTRA["raw_weather_insert"] = """
+SELECT DISTINCT 'open-meteo' AS source, ['HKT', 'BKK', 'DMK'][user_id % 3 + 1] AS airport_iata,
+  CAST(CASE user_id % 3 WHEN 0 THEN 8.1132 WHEN 1 THEN 13.69 ELSE 13.9126 END AS DOUBLE) AS latitude,
+  CAST(CASE user_id % 3 WHEN 0 THEN 98.3169 WHEN 1 THEN 100.7501 ELSE 100.6068 END AS DOUBLE) AS longitude,
+  CAST(date_trunc('hour', ts) AS DATE) AS start_date, CAST(date_trunc('hour', ts) AS DATE) AS end_date,
+  CAST(CAST(date_trunc('hour', ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS loaded_at
+FROM events"""

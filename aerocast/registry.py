@@ -561,3 +561,18 @@ def q_dq_staging_suite(spark, sf_dir):
     checks = staging_checks(m) + dim_checks(build_dim_airlines(m["stg_airlines"]),
                                             build_dim_aircraft(m["stg_aircraft_reference"]))
     return dq.run_suite(checks)
+
+
+@query("raw_weather_insert")
+def q_raw_weather_insert(spark, sf_dir):
+    """Insert-if-absent of weather payloads on (airport, latitude,
+    longitude, start date, end date) into a table already holding HKT's
+    days; every payload is then delivered again.  Returns the table's
+    key and load columns."""
+    from aerocast.schemas import WEATHER_BATCH_KEY
+    w = an.weather_raw(spark, sf_dir)
+    order = [F.col("loaded_at"), F.col("payload")]
+    existing = keyed_insert(None, w.filter(F.col("airport_iata") == "HKT"), WEATHER_BATCH_KEY, order=order)
+    incoming = w.unionByName(w)                      # duplicate delivery inside one load
+    added = keyed_insert(existing, incoming, WEATHER_BATCH_KEY, order=order)
+    return existing.unionByName(added).drop("payload")
