@@ -109,3 +109,22 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int =
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once per context,
+    for clusters (and working directories) where it is not installed."""
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_aerocast_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="aerocast-py-"), "aerocast.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._aerocast_shipped = True
