@@ -130,12 +130,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of each word; bounded memory whatever the text's size."""
+    """64-bit hash of each span (starts in order); bounded memory whatever
+    the text's size."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(starts, starts[i] + CHUNK_BYTES)))
-        lo, hi = starts[i], ends[j - 1]
+        lo, hi = starts[i], ends[i:j].max()
         part = data[lo:hi]
         out[i:j] = range_hash(_LOWER[part] if lower else part, starts[i:j] - lo, ends[i:j] - lo, _R, _RINV)
         i = j

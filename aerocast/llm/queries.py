@@ -24,3 +24,17 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     similarity of 0.85 or more."""
     from aerocast.llm.ngram_jaccard import jaccard_components
     return jaccard_components(c.read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    """Toxicity score of every text by the string-kernel SVM."""
+    from pyspark.sql import functions as F
+
+    from aerocast.llm import toxicity
+    from aerocast.llm.labelled import remainder
+    docs = c.read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, c.read(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"),
+        F.col("toxicity_score").alias("score"), (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"))
