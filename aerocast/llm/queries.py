@@ -38,3 +38,12 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.score(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"),
         F.col("toxicity_score").alias("score"), (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 1024 ids."""
+    import public_tokenizers
+
+    from aerocast.llm.packing import pack
+    return pack(c.read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
