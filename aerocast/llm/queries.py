@@ -47,3 +47,12 @@ def op5_packing(spark, sf_dir):
 
     from aerocast.llm.packing import pack
     return pack(c.read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_pii(spark, sf_dir):
+    """Personal data in every whole text."""
+    from aerocast.llm.pii import find
+    docs = c.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return find(docs).selectExpr("doc_id", "pii_email n_email", "pii_ip n_ip", "pii_card n_card", "pii_phone n_phone",
+                                 "pii_base_sha256 base_sha256", "pii_spans spans")
