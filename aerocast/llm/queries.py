@@ -56,3 +56,15 @@ def op6_pii(spark, sf_dir):
     docs = c.read(spark, sf_dir, "documents").select("doc_id", "text")
     return find(docs).selectExpr("doc_id", "pii_email n_email", "pii_ip n_ip", "pii_card n_card", "pii_phone n_phone",
                                  "pii_base_sha256 base_sha256", "pii_spans spans")
+
+
+@query
+def op3_line_dedup(spark, sf_dir):
+    """Near-duplicate lines removed from all documents but the first."""
+    from pyspark.sql import functions as F
+
+    from aerocast.llm.lines import dedupe_lines
+    out = dedupe_lines(c.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", (F.length(F.regexp_replace(kept, "[^\n]", "")) + 1 + F.col("lines_removed")).cast("long").alias("n_lines"),
+                      F.col("lines_removed").alias("n_removed"), F.sha2(kept, 256).alias("kept_sha256"))
