@@ -68,3 +68,13 @@ def op3_line_dedup(spark, sf_dir):
     kept = F.coalesce("text", F.lit(""))
     return out.select("doc_id", (F.length(F.regexp_replace(kept, "[^\n]", "")) + 1 + F.col("lines_removed")).cast("long").alias("n_lines"),
                       F.col("lines_removed").alias("n_removed"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
+@query
+def op2_substring_dedup(spark, sf_dir):
+    """Words of all documents without repeated passages of 20 words."""
+    from pyspark.sql import functions as F
+
+    from aerocast.llm.substring import dedupe_substrings
+    return dedupe_substrings(c.read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
