@@ -78,3 +78,33 @@ def op2_substring_dedup(spark, sf_dir):
     from aerocast.llm.substring import dedupe_substrings
     return dedupe_substrings(c.read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_quality(spark, sf_dir):
+    """Quality score of every text by compression."""
+    from pyspark.sql import functions as F
+
+    from aerocast.llm import quality
+    from aerocast.llm.labelled import remainder
+    docs = c.read(spark, sf_dir, "documents")
+    model = quality.train(docs, c.read(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"),
+        F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op10_nearest_neighbours(spark, sf_dir):
+    """Five nearest rows by cosine of every 50th embedding."""
+    from aerocast.llm.ann import nearest
+    e = c.read(spark, sf_dir, "embeddings")
+    return nearest(e, e.where("vec_id % 50 = 0"))
+
+
+@query
+def op4_exact_top_k(spark, sf_dir):
+    """Five largest integer inner products of every 50th embedding."""
+    from aerocast.llm.mtree import top_k
+    e = c.read(spark, sf_dir, "embeddings")
+    return top_k(e, e.where("vec_id % 50 = 0"))
