@@ -108,3 +108,12 @@ def op4_exact_top_k(spark, sf_dir):
     from aerocast.llm.mtree import top_k
     e = c.read(spark, sf_dir, "embeddings")
     return top_k(e, e.where("vec_id % 50 = 0"))
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    """Ids of every whole text by the transducer, and the way back."""
+    import public_tokenizers
+
+    from aerocast.llm.wfst import digests
+    return digests(c.read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
