@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-MAX_WORDS = 300_000     # cached words; the cache is emptied beyond that
+MAX_WORDS = 300_000     # cached words of a generation
 _UNEVEN = re.compile(r"\s \s?|^ | $| \s")
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 _made: dict = {}
@@ -45,7 +45,8 @@ class Ids:
         byte = _bytes_of_chars()
         ranks = {bytes(byte[ch] for ch in w): i for w, i in spec["model"]["vocab"].items() if w not in self.special}
         self.core = tiktoken.Encoding("ids", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}      # of two generations: what is used again stays
+        self.old: dict[str, bytes] = {}
 
     def _encode(self, word: str) -> bytes:
         if any(t in word for t in self.special):
@@ -59,16 +60,18 @@ class Ids:
         if not text:
             return b""
         ws = words(text)
-        get = self.cache.get
+        new, old = self.cache, self.old
+        get = new.get
         out = [get(w) for w in ws]
         if None in out:
             for i, x in enumerate(out):
                 if x is None:
-                    out[i] = x = get(ws[i]) or self._encode(ws[i])
-                    if len(ws[i]) <= 64:
-                        self.cache[ws[i]] = x
-            if len(self.cache) > MAX_WORDS:
-                self.cache.clear()
+                    w = ws[i]
+                    out[i] = x = get(w) or old.get(w) or self._encode(w)
+                    if len(w) <= 64:
+                        new[w] = x
+            if len(new) > MAX_WORDS:
+                self.cache, self.old = {}, new
         return b"".join(out)
 
 
