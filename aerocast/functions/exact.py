@@ -22,7 +22,8 @@ def half_up_ratio(num_units: Column, den: Column, scale: int) -> Column:
     NULL.  Result: DECIMAL(38, scale)."""
     n = num_units.cast("decimal(38,0)")
     d = den.cast("decimal(38,0)")
-    q = F.floor((F.abs(n) * 2 + d) / (d * 2))
+    x, y = (F.abs(n) * 2 + d).cast("decimal(38,0)"), (d * 2).cast("decimal(38,0)")
+    q = (x - x % y) / y             # a whole number: the division does not round
     signed = F.when(n < 0, -q).otherwise(q)
     return F.when(d > 0, (signed.cast("decimal(38,0)") / F.lit(10 ** scale))
                   .cast(f"decimal(38,{scale})"))

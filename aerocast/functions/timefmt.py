@@ -7,15 +7,15 @@ from pyspark.sql import Column, functions as F
 # Fixed formats of the flight feed: ``2026-06-30 17:00Z`` (UTC, no
 # seconds) and ``2026-07-01 00:00+07:00`` (local with offset).  A plain
 # cast rejects both, so they are parsed with optional seconds.
-UTC_TEXT_FORMAT = "yyyy-MM-dd HH:mm[:ss]'Z'"
-ZONED_TEXT_FORMAT = "yyyy-MM-dd HH:mm[:ss]XXX"
+UTC_TEXT_FORMAT = "yyyy-MM-dd HH:mm[:ss][.SSSSSSSSS]'Z'"
+ZONED_TEXT_FORMAT = "yyyy-MM-dd HH:mm[:ss][.SSSSSSSSS]XXX"
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-NO_ZONE_FORMAT = "yyyy-MM-dd HH:mm[:ss][.SSSSSS]"
+NO_ZONE_FORMAT = "yyyy-MM-dd HH:mm[:ss][.SSSSSSSSS]"
 
 
 def _clean(c) -> Column:

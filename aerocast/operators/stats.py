@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from aerocast.functions.exact import half_up_ratio, to_units
+from aerocast.session import ship_package
 from aerocast.operators.ranks import (
     _join, quantiles, quantiles_from_ranks, ranks_from_counts, value_counts_table, value_ranks,
 )
@@ -50,33 +51,50 @@ def describe(df: DataFrame, value: str, groups: list[str] | None = None, scale:
 
 
 EXACT_MAX_SMALL = 8             # scipy's rule: exact when a sample has ≤ 8 values and no ties
-EXACT_MAX_STATES = 50_000_000   # size bound of the exact distribution (m·n + 1 values)
 
 
 def exact_u_sf(u: int, m: int, n: int) -> float:
-    """P(U ≥ u) for samples of sizes m, n without ties: coefficients of the
-    Gaussian binomial (m+n choose m)_q, built by m multiply/divide steps."""
-    import numpy as np
+    """P(U ≥ u) for samples of sizes m, n without ties, in whole numbers.
+
+    U counts like partitions of at most min(m, n) parts of at most max(m, n):
+    a quotient of products of 1 − q^k.  The numerator has 2^min(m, n) terms,
+    and up to a sum s the reciprocal of the denominator is a sum of
+    binomials, one per residue of lcm(1..min(m, n)).  Cost and memory depend
+    on the smaller sample only."""
     m, n = min(m, n), max(m, n)
-    size = m * n + 1
-    f = np.zeros(size)
-    f[0] = 1.0
+    u = max(u, 0)
+    if u > m * n:
+        return 0.0
+    step = math.lcm(*range(1, m + 1))
+    poly = [1]                              # ∏ (1 − q^step) / (1 − q^i), a polynomial
+    for i in range(1, m + 1):
+        out = [0] * (len(poly) + step - i)
+        for k in range(0, step, i):
+            for j, x in enumerate(poly):
+                out[j + k] += x
+        poly = out
+    ones = [0] * (len(poly) + step - 1)     # the further 1 / (1 − q) sums up to s
+    total = 0
+    for j in range(len(ones)):
+        total += (poly[j] if j < len(poly) else 0) - (poly[j - step] if j >= step else 0)
+        ones[j] = total
+
+    def up_to(s: int) -> int:
+        return sum(ones[r] * math.comb((s - r) // step + m, m) for r in range(s % step, min(s, len(ones) - 1) + 1, step))
+    terms = {0: 1}
     for i in range(1, m + 1):
-        # × (1 − q^(n+i)) then ÷ (1 − q^i)  (a running sum with stride i)
-        s = n + i
-        if s < size:
-            f[s:] -= f[:-s].copy()
-        for r in range(i):                # b[k] = a[k] + b[k − i], per residue class
-            f[r::i] = np.cumsum(f[r::i])
-    total = f.sum()
-    return float(f[max(u, 0):].sum() / total) if u < size else 0.0
+        for at, sign in list(terms.items()):
+            terms[at + n + i] = terms.get(at + n + i, 0) - sign
+    # by symmetry P(U ≥ u) = P(U ≤ mn − u)
+    count = sum(sign * up_to(m * n - u - at) for at, sign in terms.items() if m * n - u >= at)
+    return count / math.comb(m + n, m)
 
 
 def _p_value(z, u1, n1, n2, tie) -> float | None:
     if n1 is None or n2 is None or n1 == 0 or n2 == 0:
         return None
     small = n1 <= EXACT_MAX_SMALL or n2 <= EXACT_MAX_SMALL
-    if small and tie == 0 and n1 * n2 + 1 <= EXACT_MAX_STATES:
+    if small and tie == 0:
         u = max(u1, n1 * n2 - u1)
         return min(1.0, 2.0 * exact_u_sf(int(round(u)), int(n1), int(n2)))
     if z is None or math.isnan(z):
@@ -125,6 +143,9 @@ def mann_whitney_grouped(samples: DataFrame, value: str, test: str = "test", sid
                    F.round(z, 9).alias("z"), F.round(ez, 9).alias("effect_z"),
                    F.round(div(F.abs(ez), F.sqrt(n)), 9).alias("effect_r"), z.alias("_z"))
     if with_p:
+        ship_package(samples.sparkSession)
+        exact = (F.least("n1", "n2") <= EXACT_MAX_SMALL) & (F.col("tie_sum") == 0)
+        out = out.withColumn("p_method", F.when(F.least("n1", "n2") > 0, F.when(exact, "exact").otherwise("asymptotic")))
         out = out.withColumn("p_value", _two_sided_p(F.col("_z"), F.col("u_statistic"), F.col("n1").cast("double"),
                                                       F.col("n2").cast("double"), F.col("tie_sum")))
     return out.drop("_z")

@@ -949,3 +949,34 @@ SELECT DISTINCT 'open-meteo' AS source, ['HKT', 'BKK', 'DMK'][user_id % 3 + 1] A
   CAST(date_trunc('hour', ts) AS DATE) AS start_date, CAST(date_trunc('hour', ts) AS DATE) AS end_date,
   CAST(CAST(date_trunc('hour', ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS loaded_at
 FROM events"""
+
+
+# ---- edges of the models --------------------------------------------------------
+
+EXTRA["fact_merge_null_date"] = """
+WITH o AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DOUBLE) AS v,
+                  CAST(CASE WHEN o_orderkey % 7 <> 0 THEN year(o_orderdate) END AS INTEGER) AS y FROM orders),
+src AS (SELECT * FROM (
+          SELECT k, CAST(-1.0 AS DOUBLE) AS v, y FROM o WHERE k % 5 = 0
+          UNION ALL SELECT k + 10000000, v, y FROM o WHERE k % 11 = 0 AND (y = 1995 OR y IS NULL))
+        WHERE y IN (1995, 1996) OR y IS NULL)
+SELECT k, v, y FROM o WHERE k NOT IN (SELECT k FROM src)
+UNION ALL SELECT k, v, y FROM src"""
+
+EXTRA["summary_rounding_edge"] = """
+SELECT o_orderkey, CAST(0 AS BIGINT) AS below, CAST(1 AS BIGINT) AS half, CAST(1 AS BIGINT) AS above,
+       CAST(0 AS BIGINT) AS negative_below, CAST(-1 AS BIGINT) AS negative_half
+FROM orders"""
+
+EXTRA["csv_cyrillic"] = "SELECT CAST(c_custkey AS BIGINT) AS id, 'Пулково ' || c_name AS name FROM customer"
+
+EXTRA["json_shapes"] = """
+SELECT 'list.json' AS file, 'a,b' AS cols, CAST(r_regionkey AS BIGINT) AS a, '{"c":"' || r_name || '"}' AS b FROM region
+UNION ALL SELECT 'line.json', 'a,b.c', CAST(r_regionkey AS BIGINT), r_name FROM region WHERE r_regionkey = 1
+UNION ALL SELECT 'pretty.json', 'a,b.c', CAST(r_regionkey AS BIGINT), r_name FROM region WHERE r_regionkey = 2
+UNION ALL SELECT 'lines.jsonl', 'a,b', CAST(r_regionkey AS BIGINT), '{"c":"' || r_name || '"}' FROM region"""
+
+EXTRA["stream_poison_messages"] = """
+SELECT CASE WHEN n_nationkey IN (3, 18) THEN 'dlq' ELSE 'raw' END AS place,
+       printf('2024-01-%02dT00:00', n_nationkey + 1) AS from_local, n_nationkey IN (3, 18) AS named
+FROM nation"""

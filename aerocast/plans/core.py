@@ -60,6 +60,12 @@ def flight_fingerprint() -> F.Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(p), F.lit("")) for p in parts]))
 
 
+def every_column(df: DataFrame) -> F.Column:
+    """All columns as one comparable value: the very last tie-breaker, so
+    that the survivor never depends on the rows' order."""
+    return F.struct(*[F.col(c) for c in sorted(df.columns)])
+
+
 def flight_key_parts() -> list:
     """Natural key of a flight version (also the surrogate key's parts)."""
     return [
@@ -76,7 +82,8 @@ def build_fact_flights(inputs: list[DataFrame]) -> DataFrame:
     deduped = latest_per_key(
         union, keys=flight_key_parts(),
         order_desc=[F.col("actual_departure_utc"), F.col("actual_arrival_utc"),
-                    F.col("source_rank"), F.col("loaded_at"), flight_fingerprint()],
+                    F.col("source_rank"), F.col("loaded_at"), flight_fingerprint(),
+                    every_column(union)],
     )
     op_ts = by_direction("scheduled_departure_utc", "scheduled_arrival_utc")
     dep_delay = delay_minutes("actual_departure_utc", "scheduled_departure_utc")
@@ -112,10 +119,10 @@ def build_fact_weather(inputs: list[DataFrame]) -> DataFrame:
     parts, six categories and six flags."""
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), inputs)
     rank = F.coalesce(F.col("source_rank"), F.lit(0)) if "source_rank" in union.columns else F.lit(0)
+    union = union.withColumn("source_rank", rank)
     deduped = latest_per_key(
-        union.withColumn("source_rank", rank),
-        keys=[F.col("airport_iata"), F.col("weather_time_utc")],
-        order_desc=[F.col("loaded_at"), F.col("source_rank")],
+        union, keys=[F.col("airport_iata"), F.col("weather_time_utc")],
+        order_desc=[F.col("loaded_at"), F.col("source_rank"), every_column(union)],
     )
     m = {c: F.col(c).cast(MEASURE_TYPE) for c in WEATHER_MEASURES}
     t = F.col("weather_time_utc")

@@ -400,14 +400,11 @@ from aerocast.streaming.ingest import ingest, publish, replay_landing  # noqa: E
 def _write_sweep_inputs(spark, sf_dir, d):
     an.raw_airports(spark, sf_dir).drop("_load_dt").write.option("header", True).csv(f"{d}/airports.csv")
     air = an.raw_airlines(spark, sf_dir).drop("_load_dt")
-    try:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        air.write.option("header", True).option("encoding", "windows-1251").csv(f"{d}/Airlines.csv")
-    except Exception:  # noqa: BLE001 — charset unavailable: plain UTF-8
-        air.write.option("header", True).mode("overwrite").csv(f"{d}/Airlines.csv")
-    an.raw_aircraft(spark, sf_dir).drop("_load_dt").write.json(f"{d}/aircraft_reference.json")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    air.write.option("header", True).option("encoding", "windows-1251").csv(f"{d}/Airlines.csv")
+    an.raw_aircraft(spark, sf_dir).drop("_load_dt").write.json(f"{d}/aircraft_reference.jsonl")
     an.fids_batches(spark, sf_dir).write.parquet(f"{d}/flights_2025.parquet")
-    an.weather_history_raw(spark, sf_dir).select("weather_data").write.json(f"{d}/weather_hourly_history.json")
+    an.weather_history_raw(spark, sf_dir).select("weather_data").write.json(f"{d}/weather_hourly_history.jsonl")
     an.table(spark, sf_dir, "region").select("r_name").write.text(f"{d}/notes.txt")
     an.table(spark, sf_dir, "region").select("r_name").write.text(f"{d}/broken.parquet")
 
@@ -576,3 +573,94 @@ def q_raw_weather_insert(spark, sf_dir):
     incoming = w.unionByName(w)                      # duplicate delivery inside one load
     added = keyed_insert(existing, incoming, WEATHER_BATCH_KEY, order=order)
     return existing.unionByName(added).drop("payload")
+
+
+# ---- edges of the models that the derived inputs do not reach ----------------
+
+@query("fact_merge_null_date")
+def q_fact_merge_null_date(spark, sf_dir):
+    """K7: a partitioned fact whose partition value is NULL for some keys,
+    merged with changed and new rows; nothing is deleted."""
+    from aerocast.sinks.tables import merge_partitions
+    o = an.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_totalprice").cast("double").alias("v"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.year("o_orderdate")).alias("y"))
+    path = scratch_path(spark, "null-date-fact")
+    merge_partitions(spark, path, o, ["k"], "y", scratch_path(spark, "null-date-stage"))
+    changed = o.filter("k % 5 = 0").withColumn("v", F.lit(-1.0))
+    new = o.filter("k % 11 = 0").withColumn("k", F.col("k") + 10_000_000).filter("y = 1995 or y is null")
+    merge_partitions(spark, path, changed.unionByName(new).filter("y in (1995, 1996) or y is null"), ["k"], "y",
+                     scratch_path(spark, "null-date-stage"))
+    return spark.read.parquet(path).select("k", "v", F.col("y").cast("int").alias("y"))
+
+
+@query("summary_rounding_edge")
+def q_summary_rounding_edge(spark, sf_dir):
+    """Rounded ratios just below, at and just above a half."""
+    from aerocast.functions.exact import half_up_ratio
+    n = F.col("o_orderkey").cast("decimal(38,0)") * 1_000_000 + 500_000
+    r = lambda num, den: half_up_ratio(num, den, 0).cast("long")
+    return an.table(spark, sf_dir, "orders").select(
+        "o_orderkey", r(n, n * 2 + 1).alias("below"), r(n, n * 2).alias("half"), r(n + 1, n * 2).alias("above"),
+        r(-n, n * 2 + 1).alias("negative_below"), r(-n, n * 2).alias("negative_half"))
+
+
+@query("csv_cyrillic")
+def q_csv_cyrillic(spark, sf_dir):
+    """A windows-1251 CSV with Cyrillic text, its encoding detected."""
+    from aerocast.sources.files import read_csv
+    path = f"{scratch_path(spark, 'cyrillic')}/names.csv"
+    (an.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"),
+                                                F.concat(F.lit("Пулково "), "c_name").alias("name"))
+     .write.option("header", True).option("encoding", "windows-1251").csv(path))
+    return read_csv(spark, path).select(F.col("id").cast("long").alias("id"), "name")
+
+
+@query("json_shapes")
+def q_json_shapes(spark, sf_dir):
+    """A list, an object on one line, an object on several and
+    JSON lines, each read by the sweep's rules; one row per record with its
+    columns and the nested value's text."""
+    from aerocast.sources.files import read_any
+    r = an.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    rec = F.to_json(F.struct(F.col("r_regionkey").alias("a"), F.struct(F.col("r_name").alias("c")).alias("b")))
+    one = F.array_join(F.sort_array(F.collect_list(rec)), ",\n")
+    shapes = {"list.json": r.agg(F.concat(F.lit("["), one, F.lit("]")).alias("value")),
+              "line.json": r.filter("r_regionkey = 1").select(rec.alias("value")),
+              "pretty.json": r.filter("r_regionkey = 2").select(F.regexp_replace(rec, ",", ",\n  ").alias("value")),
+              "lines.jsonl": r.select(rec.alias("value"))}
+    base, out = scratch_path(spark, "json-shapes"), None
+    for name, df in shapes.items():
+        df.coalesce(1).write.text(f"{base}/{name}")
+        got = read_any(spark, f"{base}/{name}")
+        nested = F.col("`b.c`") if "b.c" in got.columns else F.to_json("b")
+        row = got.select(F.lit(name).alias("file"), F.lit(",".join(sorted(got.columns))).alias("cols"),
+                         F.col("a").cast("long").alias("a"), nested.alias("b"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("stream_poison_messages")
+def q_stream_poison(spark, sf_dir):
+    """Some messages of a micro-batch make its write fail; they
+    alone are dead-lettered, all others are inserted.  Rows of the raw
+    table and of the dead-letter folder."""
+    base = scratch_path(spark, "poison")
+    k = an.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("n"))
+    msg = k.select(F.lit("HKT").alias("airport_code"), F.lit("IATA").alias("code_type"),
+                   F.format_string("2024-01-%02dT00:00", F.col("n") + 1).alias("from_local"),
+                   F.format_string("2024-01-%02dT12:00", F.col("n") + 1).alias("to_local"),
+                   F.lit("Both").alias("direction"), F.lit("{}").alias("payload"))
+    publish(msg.coalesce(1), f"{base}/topic")
+
+    def prepare(df):
+        poison = F.col("from_local").isin("2024-01-04T00:00", "2024-01-19T00:00")
+        return df.withColumn("payload", F.when(poison, F.raise_error(F.lit("rejected"))).otherwise(F.col("payload")))
+    import aerocast.streaming.ingest as ing
+    fn, _ = ing.make_batch_writer(f"{base}/raw", f"{base}/dlq", pauses=(0, 0), prepare=prepare)
+    fn(spark.read.text(f"{base}/topic"), 0)
+    dead = spark.read.text(f"{base}/dlq").select(
+        F.get_json_object("value", "$.original_batch").alias("m"), F.get_json_object("value", "$.error").alias("e"))
+    return (spark.read.parquet(f"{base}/raw").select(F.lit("raw").alias("place"), "from_local", F.lit(False).alias("named"))
+            .unionByName(dead.select(F.lit("dlq").alias("place"), F.get_json_object("m", "$.from_local").alias("from_local"),
+                                     F.col("e").contains("rejected").alias("named"))))

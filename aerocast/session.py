@@ -17,6 +17,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.legacy.javaCharsets": "true",        # windows-1251 reads
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.scheduler.mode": "FAIR",
@@ -58,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="aerocast-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():
@@ -71,15 +74,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if p.startswith("file:"):
-        p = p[5:]
-        while p.startswith("//"):
-            p = p[1:]
-    return os.path.abspath(p)
-
-
 def materialize(df):
     """Reliable lineage cut for a small intermediate that several later
     steps read: ``checkpoint()`` into the shared checkpoint folder (never

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.abspath(os.path.join(os.path.dirname(__file__), "..")
 @pytest.fixture(scope="session")
 def spark():
     from aerocast.session import build_session
-    s = build_session("local[4]", 4, extra={"spark.sql.legacy.javaCharsets": "true"})
+    s = build_session("local[4]", 4)
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aerocast-test-ckpt-"))
     yield s

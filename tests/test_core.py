@@ -18,19 +18,24 @@ def _staged_arrival(spark, rows):
     return spark.createDataFrame(rows, cols)
 
 
-def test_model_unit_case(spark):
-    """Given one staged arrival row (other inputs empty), the flight is
-    'delayed' on departure (+20 min) and 'minor_delay' on arrival (+15)."""
-    row = ("SU100", "AFL100", "scheduled", False, "departure", "SU", "AFL", "Airbus A320", "RA-12345",
-           "SVO", "HKT", T(2026, 1, 1, 10, 0), T(2026, 1, 1, 10, 20), T(2026, 1, 1, 16, 0),
-           T(2026, 1, 1, 16, 15), T(2026, 1, 2))
-    f = build_fact_flights([to_flight_schema(_staged_arrival(spark, [row]), "arrival")]).collect()
-    assert len(f) == 1
-    r = f[0]
-    assert r.flight_number == "SU100" and r.departure_time_status == "delayed"
-    assert r.departure_delay_minutes == Decimal("20.00") and r.arrival_delay_minutes == Decimal("15.00")
-    assert r.arrival_time_status == "minor_delay" and r.operation_ts == T(2026, 1, 1, 10, 0)
-    assert r.operation_day_of_week == "Thursday " and r.operation_hour == 10
+def test_one_arrival_row(spark):
+    """One staged arrival: 31.5 minutes late off the block, 12 early on it."""
+    row = ("QX9", "QXX9", "landed", True, "arrival", "QX", "QXX", "Type 7", "T-7", "QQA", "HKT",
+           T(2025, 3, 9, 1, 30), T(2025, 3, 9, 2, 1, 30), T(2025, 3, 9, 5, 45), T(2025, 3, 9, 5, 33), T(2025, 3, 10))
+    r, = build_fact_flights([to_flight_schema(_staged_arrival(spark, [row]), "arrival")]).collect()
+    assert (r.flight_number, r.airport_departure_iata, r.airport_arrival_iata) == ("QX9", "QQA", "HKT")
+    assert r.departure_delay_minutes == Decimal("31.50") and r.arrival_delay_minutes == Decimal("-12.00")
+    assert r.operation_ts == T(2025, 3, 9, 5, 45) and r.operation_hour == 5 and r.operation_day_of_week == "Sunday   "
+
+
+def test_survivor_does_not_depend_on_row_order(spark):
+    base = ["X1", "C", "s", False, "arrival", "XX", "XXX", "m", "r", "AAA", "HKT", T(2026, 1, 1, 8, 0)]
+    a = tuple(base + [None, T(2026, 1, 1, 10, 0), None, T(2026, 1, 2)])
+    b = tuple(base[:3] + [True] + base[4:] + [None, T(2026, 1, 1, 11, 0), None, T(2026, 1, 2)])
+    got = [[(r.is_cargo, r.scheduled_arrival_utc) for r in
+            build_fact_flights([to_flight_schema(_staged_arrival(spark, rows), "arrival")]).collect()]
+           for rows in ([a, b], [b, a])]
+    assert got[0] == got[1] and len(got[0]) == 1
 
 
 def test_dedupe_later_actual_wins_nulls_last(spark):

@@ -4,36 +4,36 @@ import json
 from aerocast.plans.staging import stage_flights, stage_weather_api, stage_weather_history
 from aerocast.schemas import RAW_FLIGHT_BATCH
 
-SEED_PAYLOAD = {
-    "arrivals": [{"number": "TG 225", "status": "Canceled", "airline": {"iata": "TG", "icao": "THA", "name": "Thai"},
-                  "departure": {"airport": {"iata": "BKK", "icao": "VTBS", "name": "Bangkok", "timeZone": "Asia/Bangkok"},
-                                "scheduledTime": {"utc": "2026-06-30 15:45Z", "local": "2026-06-30 22:45+07:00"}},
-                  "arrival": {"scheduledTime": {"utc": "2026-06-30 17:00Z", "local": "2026-07-01 00:00+07:00"}},
+PAYLOAD = {
+    "arrivals": [{"number": "ZQ 4017", "status": "Expected", "airline": {"iata": "ZQ", "icao": "ZQX", "name": "Made-up Air"},
+                  "departure": {"airport": {"iata": "QQA", "icao": "QQAA", "name": "Nowhere", "timeZone": "Etc/GMT-5"},
+                                "scheduledTime": {"utc": "2025-03-09 04:10Z", "local": "2025-03-09 09:10+05:00"}},
+                  "arrival": {"scheduledTime": {"utc": "2025-03-09 06:35Z", "local": "2025-03-09 13:35+07:00"}},
                   "isCargo": False}],
-    "departures": [{"number": "SL 755", "status": "Departed", "airline": {"iata": "SL", "name": "Thai Lion"},
-                    "departure": {"scheduledTime": {"utc": "2026-07-01 06:25Z", "local": "2026-07-01 13:25+07:00"},
-                                  "airport": {"iata": "DMK"}}}],
+    "departures": [{"number": "QX 88", "status": "Boarding", "airline": {"iata": "QX", "name": "Paper Wings"},
+                    "departure": {"scheduledTime": {"utc": "2025-03-09 11:05Z", "local": "2025-03-09 18:05+07:00"},
+                                  "airport": {"iata": "QQB"}}}],
 }
 
 
 def _raw(spark, payloads):
-    rows = [("aerodatabox", "HKT", "IATA", "2026-07-01T00:00", "2026-07-01T12:00", "Both",
-             dt.datetime(2026, 7, 2, 20, 12, 35), p) for p in payloads]
+    rows = [("aerodatabox", "HKT", "IATA", "2025-03-09T00:00", "2025-03-09T12:00", "Both",
+             dt.datetime(2025, 3, 10, 1, 2, 3), p) for p in payloads]
     return spark.createDataFrame(rows, RAW_FLIGHT_BATCH)
 
 
-def test_seed_row(spark):
-    raw = _raw(spark, [json.dumps(SEED_PAYLOAD)])
+def test_board_row(spark):
+    raw = _raw(spark, [json.dumps(PAYLOAD)])
     arr = stage_flights(raw, "arrival").collect()
     dep = stage_flights(raw, "departure").collect()
     assert len(arr) == 1 and len(dep) == 1
     a, d = arr[0], dep[0]
     assert (a.flight_number, a.flight_status, a.airline_iata, a.departure_airport_iata) == \
-        ("TG 225", "Canceled", "TG", "BKK")
-    assert a.scheduled_arrival_utc == dt.datetime(2026, 6, 30, 17, 0)
-    assert a.is_cargo is False and json.loads(a.arrival_payload)["number"] == "TG 225"
-    assert (d.flight_number, d.flight_status, d.airline_iata) == ("SL 755", "Departed", "SL")
-    assert d.arrival_airport_iata is None and d.scheduled_departure_utc == dt.datetime(2026, 7, 1, 6, 25)
+        ("ZQ 4017", "Expected", "ZQ", "QQA")
+    assert a.scheduled_arrival_utc == dt.datetime(2025, 3, 9, 6, 35)
+    assert a.is_cargo is False and json.loads(a.arrival_payload)["number"] == "ZQ 4017"
+    assert (d.flight_number, d.flight_status, d.airline_iata) == ("QX 88", "Boarding", "QX")
+    assert d.arrival_airport_iata is None and d.scheduled_departure_utc == dt.datetime(2025, 3, 9, 11, 5)
     assert a.window_from_local is not None and len(a) == 33
 
 
@@ -85,14 +85,14 @@ def test_seed_csv_source_switch(spark, tmp):
         w = csv.writer(fh)
         w.writerow(["source", "airport_code", "code_type", "from_local", "to_local", "direction", "extracted_at",
                     "payload"])
-        w.writerow(["aerodatabox", "HKT", "IATA", "2026-07-01T00:00", "2026-07-01T12:00", "Both",
-                    "2026-07-02 23:12:35.432 +0300", json.dumps(SEED_PAYLOAD)])
+        w.writerow(["aerodatabox", "HKT", "IATA", "2025-03-09T00:00", "2025-03-09T12:00", "Both",
+                    "2025-03-10 04:05:06.789 +0500", json.dumps(PAYLOAD)])
     raw = raw_flight_source(spark, "ci", raw_path="unused", seed_path=path)
-    assert raw.first().extracted_at == dt.datetime(2026, 7, 2, 23, 12, 35, 432000)
+    assert raw.first().extracted_at == dt.datetime(2025, 3, 10, 4, 5, 6, 789000)
     arr = stage_flights(raw, "arrival").collect()
     dep = stage_flights(raw, "departure").collect()
-    assert [r.flight_number for r in arr] == ["TG 225"] and [r.flight_number for r in dep] == ["SL 755"]
-    assert arr[0].loaded_at == dt.datetime(2026, 7, 2, 23, 12, 35, 432000)
+    assert [r.flight_number for r in arr] == ["ZQ 4017"] and [r.flight_number for r in dep] == ["QX 88"]
+    assert arr[0].loaded_at == dt.datetime(2025, 3, 10, 4, 5, 6, 789000)
 
 
 def test_weather_tz_option(spark):

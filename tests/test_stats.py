@@ -103,3 +103,14 @@ def test_exact_small_sample_p(spark):
     df = spark.createDataFrame([(x, True) for x in a] + [(x, False) for x in b], "d double, flag boolean")
     r = mann_whitney(df, "d", F.col("flag") == True, F.col("flag") == False).first()  # noqa: E712
     assert r.u_statistic == u1 and abs(r.p_value - p_brute) < 1e-12
+
+
+def test_exact_null_distribution():
+    from itertools import combinations
+    from math import comb
+    from aerocast.operators.stats import exact_u_sf
+    for m, n in ((1, 1), (2, 3), (3, 5), (4, 4), (5, 3)):
+        us = [sum(x) - m * (m - 1) // 2 for x in combinations(range(m + n), m)]
+        for u in range(m * n + 2):
+            assert abs(exact_u_sf(u, m, n) - sum(x >= u for x in us) / comb(m + n, m)) < 1e-12
+    assert 0 < exact_u_sf(8 * 10 ** 9 // 2 + 5, 8, 10 ** 9) < 0.5001

@@ -66,3 +66,13 @@ def test_partition_wise_merge(spark, tmp):
     got = sorted((r.k, r.v, r.d) for r in spark.read.parquet(p).collect())
     assert got == [(1, "x", "d1"), (2, "Y", "d1"), (3, "z", "d2"), (4, "w", "d3")]
     assert os.listdir(f"{p}/d=d2") == before       # untouched partition not rewritten
+
+
+def test_merge_partitions_keeps_null_partition(spark, tmp):
+    from aerocast.sinks.tables import merge_partitions
+    rows = lambda x: spark.createDataFrame(x, "k string, v int, p int")
+    merge_partitions(spark, f"{tmp}/t", rows([("a", 1, None), ("b", 1, 1), ("c", 1, None), ("e", 1, 2)]), ["k"], "p", f"{tmp}/s1")
+    merge_partitions(spark, f"{tmp}/t", rows([("a", 2, None), ("d", 2, 1)]), ["k"], "p", f"{tmp}/s2")
+    merge_partitions(spark, f"{tmp}/t", rows([("e", 3, 2)]), ["k"], "p", f"{tmp}/s3")
+    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(f"{tmp}/t").collect())
+    assert got == [("a", 2, None), ("b", 1, 1), ("c", 1, None), ("d", 2, 1), ("e", 3, 2)]
