@@ -2,11 +2,11 @@
 
 1. A line is normalised to its words (lower case, digits as 0, single
    spaces).  Equal normalised lines are one distinct line.
-2. Each distinct line has a 64-bit SimHash of its words.  Two lines are
+2. Each distinct line has a 64-bit SimHash of its distinct words.  Two lines are
    candidates within DISTANCE = 3 differing bits.  By the pigeonhole
    principle two of five blocks are then equal: ten keys of two blocks.
 3. Every line is compared with one pivot per shared key (the line with most
-   occurrences); keys with more than two lines whose lines are not yet in
+   shared keys); keys with more than two lines whose lines are not yet in
    one component are compared across components.  A candidate pair is a
    link if its edit similarity is SIMILAR or more.
 4. Connected lines form a group, of which the first occurrence (smallest
@@ -58,8 +58,15 @@ def line_words(col: pa.Array):
 
 
 def simhashes(wh: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """SimHash of the words from each start to the next."""
+    """SimHash of the distinct words from each start to the next (a column
+    mark that is every other word counts once)."""
     out = np.empty(len(starts), np.uint64)
+    of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(wh))))
+    order = np.lexsort((wh, of))
+    wh = wh[order]
+    keep = np.append(True, (wh[1:] != wh[:-1]) | (of[1:] != of[:-1]))
+    wh, of = wh[keep], of[keep]
+    starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
     ends = np.append(starts[1:], len(wh))
     i = 0
     while i < len(starts):                      # some 64 bits per word at a time
@@ -134,12 +141,13 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
     at = F.struct("did", "pos")
     d = c.stored(occ.groupBy("lk").agg(F.min("sim").alias("sim"), F.min("len").alias("len"),
                                        F.count("*").alias("cnt"), F.min(at).alias("first")), "lines-distinct")
-    posts = d.select("lk", F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0).alias("w"), F.explode(block_keys()).alias("key"))
-    # a pivot is the commonest line of its key: count and id in two maxima of longs
-    shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k"), F.max("w").alias("top"), F.min("lk").alias("any"),
-                                               F.max(F.when(F.col("w") > 0, F.col("lk"))).alias("common"))
-                      .where("k > 1").select("key", "k", F.coalesce("common", "any").alias("pivot")), "lines-shared")
-    posts = c.stored(posts.select("lk", "key").join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "lines-posts")
+    posts = d.select("lk", F.explode(block_keys()).alias("key"))
+    shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "lines-shared")
+    posts = c.stored(posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "lines-shared-posts")
+    # the pivot of a key is the line with most shared keys: the one that others are copies of
+    posts = posts.join(posts.groupBy("lk").agg(F.count("*").alias("s")), "lk")
+    posts = c.stored(posts.join(posts.groupBy("key").agg(F.max(F.struct("s", "lk"))["lk"].alias("pivot")), "key").drop("s"),
+                     "lines-posts")
     end = lambda p: d.select(F.col("lk").alias("l" + p), F.col("sim").alias("s" + p), F.col("len").alias("n" + p),
                              F.col("first.did").alias("d" + p), F.col("first.pos").alias("p" + p))
 
@@ -169,8 +177,10 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
     post = post.join(d.select("lk", "sim", "len"), "lk")
     mixed = post.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     post = c.stored(post.join(mixed, "key", "left_semi"), "lines-mixed")
-    kc = post.select("key", "comp").distinct()
-    cross = (kc.toDF("key", "cx").join(kc.toDF("key", "cy"), "key").where("cx < cy")
+    kc = post.groupBy("key", "comp").agg(F.min("sim").alias("lo"), F.max("sim").alias("hi"), F.count("*").alias("many"))
+    cross = (kc.toDF("key", "cx", "lx", "hx", "mx").join(kc.toDF("key", "cy", "ly", "hy", "my"), "key")
+             .where("mx < my or (mx = my and cx < cy)")   # the smaller component is expanded first
+             .where(f"lx <> hx or ly <> hy or bit_count(lx ^ ly) <= {DISTANCE}").select("key", "cx", "cy")
              .join(post.select("key", F.col("comp").alias("cx"), F.col("lk").alias("la"), F.col("sim").alias("sx")), ["key", "cx"])
              .join(post.select("key", F.col("comp").alias("cy"), F.col("lk").alias("lb"), F.col("sim").alias("sy")), ["key", "cy"])
              .where(F.bit_count(F.col("sx").bitwiseXOR(F.col("sy"))) <= DISTANCE).select("la", "lb"))
