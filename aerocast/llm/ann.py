@@ -66,8 +66,11 @@ def quantised(unit: np.ndarray):
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosines of rows of a with rows of b, pair by pair."""
-    return np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
+    """Cosines of rows of a with rows of b, pair by pair; sums run from the
+    first component to the last, so that every engine can repeat them."""
+    def total(x):
+        return np.cumsum(x, axis=1)[:, -1]
+    return total(a * b) / np.sqrt(total(a * a) * total(b * b))
 
 
 def _search(k: int):
