@@ -8,9 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aerocast.llm import common as c
+from aerocast.llm import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": sql.JACCARD,
+    "op2_substring_dedup": sql.SUBSTRING,
+    "op4_exact_top_k": sql.TOP_K,
+    "op10_nearest_neighbours": sql.NEAREST,
+}
 
 
 def query(fn):
