@@ -980,3 +980,24 @@ EXTRA["stream_poison_messages"] = """
 SELECT CASE WHEN n_nationkey IN (3, 18) THEN 'dlq' ELSE 'raw' END AS place,
        printf('2024-01-%02dT00:00', n_nationkey + 1) AS from_local, n_nationkey IN (3, 18) AS named
 FROM nation"""
+
+
+# ---- further charts and shapes ---------------------------------------------------
+
+_MART = ["delay_rate", "avg_delay_minutes", "total_operations", "temperature_2m_c", "precipitation_mm",
+         "windspeed_10m_ms", "visibility_m", "has_thunderstorm"]
+EXTRA["mart_correlation"] = "WITH " + IMPACT + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 9) AS corr "
+    "FROM mart_weather_flight_impact" for a in _MART for b in _MART)
+for _name, _column in (("precipitation", "precipitation_category"), ("cloudcover", "cloudcover_category"),
+                       ("thunderstorm", "CAST(has_thunderstorm AS VARCHAR)")):
+    EXTRA[f"delay_rate_box_{_name}"] = BOX.replace("SELECT wind_category AS category", f"SELECT {_column} AS category")
+EXTRA["fact_shapes"] = "WITH " + IMPACT + """
+SELECT 'fact_flights' AS model, count(*) AS rows, count(DISTINCT flight_key) AS distinct_first_column FROM fact_flights
+UNION ALL SELECT 'fact_weather', count(*), count(DISTINCT weather_key) FROM fact_weather
+UNION ALL SELECT 'mart_weather_flight_impact', count(*), count(DISTINCT weather_key) FROM mart_weather_flight_impact"""
+EXTRA["mart_head"] = "WITH " + IMPACT + """
+SELECT weather_time_utc, operation_type, weather_key, total_operations,
+       CAST(row_number() OVER (ORDER BY weather_time_utc NULLS LAST, operation_type, weather_key) AS INTEGER) AS position
+FROM mart_weather_flight_impact QUALIFY position <= 20"""
+EXTRA["lakehouse_departures"] = _stg_flights("departure")

@@ -664,3 +664,58 @@ def q_stream_poison(spark, sf_dir):
     return (spark.read.parquet(f"{base}/raw").select(F.lit("raw").alias("place"), "from_local", F.lit(False).alias("named"))
             .unionByName(dead.select(F.lit("dlq").alias("place"), F.get_json_object("m", "$.from_local").alias("from_local"),
                                      F.col("e").contains("rejected").alias("named"))))
+
+
+# ---- further charts and shapes ---------------------------------------------------
+
+MART_NUMBERS = ["delay_rate", "avg_delay_minutes", "total_operations", "temperature_2m_c", "precipitation_mm",
+                "windspeed_10m_ms", "visibility_m", "has_thunderstorm"]
+
+
+@query("mart_correlation")
+def q_mart_correlation(spark, sf_dir):
+    """Correlations of the hourly mart's numbers, the thunderstorm flag
+    as 0/1."""
+    return correlation_matrix(impact(spark, sf_dir), MART_NUMBERS)
+
+
+def _box_query(name, column):
+    @query(name)
+    def q(spark, sf_dir):
+        m = impact(spark, sf_dir)
+        return box_stats(m.withColumn(column, F.col(column).cast("string")), "delay_rate", column)
+    q.__doc__ = f"A14: box-plot numbers of the hourly delay rate by {column}."
+
+
+for _name, _column in (("delay_rate_box_precipitation", "precipitation_category"),
+                       ("delay_rate_box_cloudcover", "cloudcover_category"),
+                       ("delay_rate_box_thunderstorm", "has_thunderstorm")):
+    _box_query(_name, _column)
+
+
+@query("fact_shapes")
+def q_fact_shapes(spark, sf_dir):
+    """Rows, columns and distinct first-column values of facts and mart."""
+    from aerocast.operators.stats import shape
+    ff, fw = fact_flights(spark, sf_dir), fact_weather(spark, sf_dir)
+    tables = {"fact_flights": ff, "fact_weather": fw, "mart_weather_flight_impact": build_weather_flight_impact(fw, ff)}
+    rows = [shape(df).select(F.lit(n).alias("model"), "rows", "distinct_first_column") for n, df in tables.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("mart_head")
+def q_mart_head(spark, sf_dir):
+    """O1/O3: the first 20 rows of the mart in its own order, numbered."""
+    from pyspark.sql import Window
+    top = (impact(spark, sf_dir).select("weather_time_utc", "operation_type", "weather_key", "total_operations")
+           .orderBy(F.asc_nulls_last("weather_time_utc"), "operation_type", "weather_key").limit(20))
+    w = Window.orderBy(F.asc_nulls_last("weather_time_utc"), "operation_type", "weather_key")   # 20 rows
+    return top.withColumn("position", F.row_number().over(w).cast("int"))
+
+
+@query("lakehouse_departures")
+def q_lakehouse_departures(spark, sf_dir):
+    """L3: departures of all airports staged from the lakehouse table."""
+    lake = scratch_path(spark, "lakehouse-dep")
+    write_lakehouse(an.fids_batches(spark, sf_dir), lake)
+    return _instants_as_utc(stage_flights(spark.read.parquet(lake), "departure").drop("departure_payload"))
