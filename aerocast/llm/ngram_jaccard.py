@@ -1,6 +1,6 @@
 """N-gram Jaccard join by grouped prefixes.
 
-1. One pass finds shingles that are frequent (local counts of 3 and more,
+1. One pass finds shingles that are frequent (local counts of 2 and more,
    summed).  The commonest ``HEAVY_ROWS`` of them (1 MB as longs, a fixed
    bound) are sorted behind all others; the order beyond that is the
    shingle's hash.  Any total order gives the same result: this one only
@@ -15,7 +15,9 @@
    a large group of near copies costs its size, not its square, and still
    no link between components is lost.
 
-Verification computes both whole shingle sets from the texts.
+A count sketch of 128 bytes bounds a pair's intersection from above and
+spares most pairs the rest; verification computes both whole shingle sets
+from the texts.
 """
 
 from __future__ import annotations
@@ -28,9 +30,11 @@ from aerocast.llm import common as c
 from aerocast.llm.components import components
 
 HEAVY_ROWS = 1 << 17
-LOCAL_SHINGLES = 1 << 21
+LOCAL_SHINGLES = 1 << 22
+CELLS = 128                 # of a set's count sketch, one byte each
+SKETCHED = CELLS * 128      # larger sets have none and are always verified
 
-_DOC = "did long, sh long, n long, gid long, prefix array<long>"
+_DOC = "did long, sh long, n long, gid long, prefix array<long>, cells binary"
 
 
 def shingle_sets(col: pa.Array, k: int, heavy: np.ndarray | None = None):
@@ -67,7 +71,7 @@ def _frequent(k: int):
 
         def out():
             h, cnt = np.unique(np.concatenate(held), return_counts=True)
-            m = cnt >= 3
+            m = cnt >= 2
             return pa.RecordBatch.from_arrays([pa.array(c.i64(h[m])), pa.array(cnt[m].astype(np.int64))], ["h", "c"])
         for b in c.slices(batches):
             _, h, _ = shingle_sets(c.column(b, "text"), k)
@@ -95,9 +99,29 @@ def _prefixes(k: int, num: int, den: int, heavy):
             off = np.concatenate([[0], np.cumsum(p)])
             gid = c.mix(c.range_hash(keys, off[:-1], off[1:]) + n.astype(np.uint64))
             prefix = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(c.i64(keys)))
+            cells = np.bincount(doc * CELLS + (h >> np.uint64(57)).astype(np.int64), minlength=len(n) * CELLS).reshape(-1, CELLS)
+            fits = (n <= SKETCHED) & (cells.max(axis=1, initial=0) < 256)
+            cells = pa.array([x.tobytes() if ok else None for x, ok in zip(cells.astype(np.uint8), fits)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [c.column(b, "did"), pa.array(c.i64(sh)), pa.array(n.astype(np.int64)), pa.array(c.i64(gid)), prefix],
-                ["did", "sh", "n", "gid", "prefix"])
+                [c.column(b, "did"), pa.array(c.i64(sh)), pa.array(n.astype(np.int64)), pa.array(c.i64(gid)), prefix, cells],
+                ["did", "sh", "n", "gid", "prefix", "cells"])
+    return run
+
+
+def _possible(num: int, den: int):
+    """Leave out pairs that cannot link: an intersection has at most the
+    smaller count in each of the CELLS cells."""
+    def run(batches):
+        for b in batches:
+            most = np.full(b.num_rows, 1 << 62, np.int64)
+            ca, cb = c.column(b, "ca"), c.column(b, "cb")
+            at = np.flatnonzero(ca.is_valid().to_numpy(zero_copy_only=False) & cb.is_valid().to_numpy(zero_copy_only=False))
+            if len(at):
+                x, y = (np.frombuffer(b"".join(v.take(pa.array(at)).to_pylist()), np.uint8).reshape(-1, CELLS) for v in (ca, cb))
+                most[at] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            ok = most >= -(-num * (c.longs(b, "na") + c.longs(b, "nb")) // (den + num))
+            yield pa.RecordBatch.from_arrays([pa.array(c.longs(b, x)[ok]) for x in ("sa", "sb", "da", "db")],
+                                             ["sa", "sb", "da", "db"])
     return run
 
 
@@ -135,31 +159,42 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     c.prepare(spark)
     src = c.with_did(docs, id_col, text_col)
     heavy = [r.h for r in src.mapInArrow(_frequent(k), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-             .where("c >= 20").orderBy(F.desc("c"), "h").limit(HEAVY_ROWS).select("h").toLocalIterator()]
+             .where("c >= 8").orderBy(F.desc("c"), "h").limit(HEAVY_ROWS).select("h").toLocalIterator()]
     heavy = spark.sparkContext.broadcast(np.sort(np.array(heavy, np.int64).view(np.uint64)))
     d = c.stored(src.mapInArrow(_prefixes(k, num, den, heavy), _DOC), "jaccard-docs")
 
-    nodes = c.stored(d.where("n > 0").groupBy("sh", "gid", "n").agg(F.min("did").alias("did")), "jaccard-nodes")
+    nodes = c.stored(d.where("n > 0").groupBy("sh", "gid", "n", "cells").agg(F.min("did").alias("did")), "jaccard-nodes")
     groups = nodes.groupBy("gid", "n").agg(F.min("sh").alias("rep"))
     posts = (d.where("n > 0").groupBy("gid", "n").agg(F.first("prefix").alias("prefix"))
              .select("gid", "n", F.posexplode("prefix").alias("i", "key")))
-    shared = c.stored(posts.groupBy("key").agg(F.min("gid").alias("pivot"), F.max("gid").alias("other"))
-                      .where("pivot <> other").select("key", "pivot"), "jaccard-shared")
-    posts = c.stored(posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "jaccard-posts")
+    shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "jaccard-shared")
+    posts = c.stored(posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "jaccard-shared-posts")
+    # the pivot of a key is the group with most shared shingles: the text that others are copies of
+    posts = posts.join(posts.groupBy("gid").agg(F.count("*").alias("s")), "gid")
+    posts = c.stored(posts.join(posts.groupBy("key").agg(F.max(F.struct("s", "gid"))["gid"].alias("pivot")), "key").drop("s"),
+                     "jaccard-posts")
 
     def sized(x: str, y: str):
         return F.expr(f"{den} * least({x}, {y}) >= {num} * greatest({x}, {y})")
 
-    g = lambda p: groups.select(*[F.col(x).alias(f"{p}_{x}") for x in ("gid", "n", "rep")])
-    star = (posts.where("gid <> pivot").select("gid", "pivot").distinct()
-            .join(g("a"), F.col("gid") == F.col("a_gid")).join(g("b"), F.col("pivot") == F.col("b_gid"))
-            .where(sized("a_n", "b_n")).select(F.col("a_rep").alias("sa"), F.col("b_rep").alias("sb")))
+    def reach(a: str, b: str, total: str):
+        """Whether a pair whose first shared shingle is followed by a and b
+        shingles (itself included) can have enough in common."""
+        return F.expr(f"least({a}, {b}) * {den + num} >= {num} * ({total})")
+
+    g = lambda p: groups.select(F.col("gid").alias("g" + p), F.col("rep").alias("s" + p))
+    pivots = posts.where("gid = pivot").select("key", F.col("n").alias("pn"), F.col("i").alias("pi"))
+    star = (posts.where("gid <> pivot").join(pivots, "key").where(sized("n", "pn")).where(reach("n - i + least(i, pi)", "pn - pi + least(i, pi)", "n + pn"))
+            .select(F.col("gid").alias("ga"), F.col("pivot").alias("gb")).distinct()
+            .join(g("a"), "ga").join(g("b"), "gb").select("sa", "sb"))
     inner = nodes.join(groups, ["gid", "n"]).where("sh <> rep").select(F.col("sh").alias("sa"), F.col("rep").alias("sb"))
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
+        end = lambda p: nodes.select(F.col("sh").alias("s" + p), F.col("did").alias("d" + p), F.col("n").alias("n" + p),
+                                     F.col("cells").alias("c" + p))
         pairs = c.stored(pairs.select(F.least("sa", "sb").alias("sa"), F.greatest("sa", "sb").alias("sb")).distinct()
-                         .join(nodes.select(F.col("sh").alias("sa"), F.col("did").alias("da")), "sa")
-                         .join(nodes.select(F.col("sh").alias("sb"), F.col("did").alias("db")), "sb"), name)
+                         .join(end("a"), "sa").join(end("b"), "sb")
+                         .mapInArrow(_possible(num, den), "sa long, sb long, da long, db long"), name)
         need = pairs.select(F.col("da").alias("did")).union(pairs.select("db")).distinct()
         texts = c.semi_by(src, need, ["did"])
         return c.stored(
@@ -173,15 +208,19 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     member = c.stored(nodes.join(comp, nodes.sh == comp.id, "left")
                       .select("sh", "gid", "n", "did", F.coalesce("comp", "sh").alias("comp")), "jaccard-members")
     gcomp = member.select("gid", "comp").distinct()
-    post = posts.join(gcomp, "gid").select("key", "gid", "n", "i", "comp")
+    post = posts.where("k > 2").join(gcomp, "gid").select("key", "gid", "n", "i", "comp")
     mixed = post.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     post = c.stored(post.join(mixed, "key", "left_semi"), "jaccard-mixed")
-    kc = post.select("key", "comp").distinct()
-    two = kc.toDF("key", "cx").join(kc.toDF("key", "cy"), "key").where("cx < cy")
-    bound = "least(ix, iy) + 1 + least(nx - ix - 1, ny - iy - 1)"
+    # pairs of components of a key, as far as their sizes and places allow
+    kc = post.groupBy("key", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - i")).alias("left"),
+                                           F.count("*").alias("many"))
+    two = (kc.toDF("key", "cx", "lx", "hx", "rx", "mx").join(kc.toDF("key", "cy", "ly", "hy", "ry", "my"), "key")
+           .where("mx < my or (mx = my and cx < cy)")     # the smaller component is expanded first
+           .where(f"{den} * hx >= {num} * ly and {den} * hy >= {num} * lx").where(reach("rx", "ry", "lx + ly"))
+           .select("key", "cx", "cy"))
     cand = (two.join(post.toDF("key", "gx", "nx", "ix", "cx"), ["key", "cx"])
             .join(post.toDF("key", "gy", "ny", "iy", "cy"), ["key", "cy"])
-            .where(sized("nx", "ny")).where(f"({bound}) * {den + num} >= {num} * (nx + ny)")
+            .where(sized("nx", "ny")).where(reach("nx - ix", "ny - iy", "nx + ny"))
             .select("gx", "cx", "gy", "cy").distinct())
     m = lambda p: member.select(F.col("gid").alias("g" + p), F.col("comp").alias("c" + p), F.col("sh").alias("s" + p))
     cross = cand.join(m("x"), ["gx", "cx"]).join(m("y"), ["gy", "cy"]).select(F.col("sx").alias("sa"), F.col("sy").alias("sb"))
