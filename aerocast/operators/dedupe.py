@@ -29,11 +29,3 @@ def latest_per_key(df: DataFrame, keys: list, order_desc: list, key_names: list[
     return (df.groupBy(*key_cols)
             .agg(F.max_by(row, order).alias("_r"))
             .select("_r.*"))
-
-
-def first_per_key_window(df: DataFrame, keys: list, order: list) -> DataFrame:
-    """``row_number() = 1`` form for callers that need an arbitrary
-    ordering expression; sorts each key group in one task."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*[_c(k) for k in keys]).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

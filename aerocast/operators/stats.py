@@ -7,7 +7,6 @@ Everything is a distributed aggregation; only fixed-size summaries
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -230,7 +229,3 @@ def shape(df: DataFrame) -> DataFrame:
     c0 = df.columns[0]
     return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
                   F.countDistinct(c0).alias("distinct_first_column"))
-
-
-def _all(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)

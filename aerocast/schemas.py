@@ -19,9 +19,6 @@ FLIGHT = _st(("number", S), ("status", S), ("callSign", S), ("codeshareStatus",
              ("airline", _st(("iata", S), ("icao", S), ("name", S))),
              ("aircraft", _st(("reg", S), ("modeS", S), ("model", S))),
              ("arrival", LEG), ("departure", LEG))
-# Top level of a flight-board payload; elements kept as JSON text so the
-# staged row can carry the element's own payload.
-FIDS_PAYLOAD_TEXT = _st(("arrivals", T.ArrayType(S)), ("departures", T.ArrayType(S)))
 
 # The hourly variables requested from the weather API, in
 # request order, and the staged column each one becomes.
@@ -62,12 +59,6 @@ RAW_FLIGHT_BATCH = T.StructType([
 FLIGHT_BATCH_KEY = ["airport_code", "code_type", "from_local", "to_local", "direction"]
 LAKEHOUSE_BATCH = T.StructType([T.StructField(f.name, f.dataType, False)
                                 for f in RAW_FLIGHT_BATCH.fields])
-RAW_WEATHER = T.StructType([
-    T.StructField("source", S), T.StructField("airport_iata", S), T.StructField("latitude", D),
-    T.StructField("longitude", D), T.StructField("start_date", T.DateType()),
-    T.StructField("end_date", T.DateType()), T.StructField("loaded_at", NTZ),
-    T.StructField("payload", S),
-])
 WEATHER_BATCH_KEY = ["airport_iata", "latitude", "longitude", "start_date", "end_date"]
 STREAM_MESSAGE = _st(("airport_code", S), ("code_type", S), ("from_local", S), ("to_local", S),
                      ("direction", S), ("payload", S))

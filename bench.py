@@ -1,7 +1,7 @@
 """Headline benchmark.
 
 1. ``model_build``: the reference's monthly build — raw load, 9 staging
-   models, 3 dims, 2 merged facts, the SCD2 snapshot, 2 marts and the 33
+   models, 3 dims, 2 merged facts, the SCD2 snapshot, 2 marts and the 87
    data tests — each model written once and read back downstream (the
    reference's 16-model build is the comparison point).
 2. The main analyses on top of the built facts (pairs join, regression

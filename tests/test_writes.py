@@ -76,3 +76,16 @@ def test_merge_partitions_keeps_null_partition(spark, tmp):
     merge_partitions(spark, f"{tmp}/t", rows([("e", 3, 2)]), ["k"], "p", f"{tmp}/s3")
     got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(f"{tmp}/t").collect())
     assert got == [("a", 2, None), ("b", 1, 1), ("c", 1, None), ("d", 2, 1), ("e", 3, 2)]
+
+
+def test_lakehouse_rejects_missing_required_fields(spark, tmp):
+    import os
+    import pytest
+    from aerocast.schemas import RAW_FLIGHT_BATCH
+    from aerocast.sinks.tables import write_lakehouse
+    import datetime as dt
+    ok = ("aerodatabox", "HKT", "IATA", "2025-03-09T00:00", "2025-03-09T12:00", "Both", dt.datetime(2025, 3, 9), "{}")
+    write_lakehouse(spark.createDataFrame([ok], RAW_FLIGHT_BATCH), f"{tmp}/lake")
+    with pytest.raises(Exception, match="required field is null: to_local"):
+        write_lakehouse(spark.createDataFrame([ok[:4] + (None,) + ok[5:]], RAW_FLIGHT_BATCH), f"{tmp}/lake")
+    assert spark.read.parquet(f"{tmp}/lake").count() == 1 and os.path.isdir(f"{tmp}/lake/airport_code=HKT")
