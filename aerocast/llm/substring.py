@@ -182,21 +182,21 @@ def _windows(k: int):
     return run
 
 
-def _by_key(rows: DataFrame) -> DataFrame:
+def _by_key(rows: DataFrame, *keys: str) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(parts, "mkey").sortWithinPartitions("mkey", "whash", "did", "pos").mapInArrow(_scan, _SPAN))
+    return (rows.repartition(parts, *keys).sortWithinPartitions("mkey", "whash", "did", "pos").mapInArrow(_scan, _SPAN))
 
 
 def repeated_spans(src: DataFrame, k: int = WINDOW, m: int = MIN_WORDS) -> DataFrame:
     """(did, tag, spans): runs of windows that occur earlier, as first word
     and number of windows; src has did, tag, text."""
-    spans = c.stored(_by_key(src.mapInArrow(_paths(k, m), _RUN)), "substring-paths")
+    spans = c.stored(_by_key(src.mapInArrow(_paths(k, m), _RUN), "mkey"), "substring-paths")
     on = ["did", "tag"]
     tag = F.shiftrightunsigned("pos", _SHIFT).alias("tag")
     want = c.stored(spans.where("not again").groupBy("did", tag)
                     .agg(F.collect_list(F.struct("mkey", "pos", "n")).alias("want")), "substring-branches")
     texts = c.semi_by(src, want.select(*on), on).join(want, on).select("did", "text", "want")
-    again = c.stored(_by_key(texts.mapInArrow(_windows(k), _RUN)).where("again"), "substring-windows")
+    again = c.stored(_by_key(texts.mapInArrow(_windows(k), _RUN), "mkey", "whash").where("again"), "substring-windows")
     return (spans.where("again").union(again).groupBy("did", tag)
             .agg(F.collect_list(F.struct("pos", "n")).alias("spans")))
 
