@@ -18,7 +18,7 @@ import re
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, types as T
 
 from aerocast.llm import common as c
 
@@ -231,8 +231,7 @@ def find(docs: DataFrame, redacted: bool = False) -> DataFrame:
                 [*b.columns, *[pa.array([len(g[k]) for g in got], pa.int64()) for k in BASE],
                  pa.array([hashlib.sha256(x.encode()).hexdigest() for x in base]),
                  pa.array([listed(g, KINDS) for g in got])], [*b.schema.names, *added])
-    schema = src.schema
+    fields = list(src.schema.fields)
     if not redacted:
-        for x in added:
-            schema = schema.add(x, "long" if x in added[:4] else "string")
-    return src.mapInArrow(run, schema)
+        fields += [T.StructField(x, T.LongType() if x in added[:4] else T.StringType()) for x in added]
+    return src.mapInArrow(run, T.StructType(fields))
