@@ -165,17 +165,25 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
 
     nodes = c.stored(d.where("n > 0").groupBy("sh", "gid", "n", "cells").agg(F.min("did").alias("did")), "jaccard-nodes")
     groups = nodes.groupBy("gid", "n").agg(F.min("sh").alias("rep"))
-    posts = (d.where("n > 0").groupBy("gid", "n").agg(F.first("prefix").alias("prefix"))
+    # one row per distinct set posts its prefix; prefixes are not shuffled
+    spare = c.stored(d.select("did", "sh").join(nodes.select("sh", F.col("did").alias("first")), "sh")
+                     .where("did <> first").select("did", "sh").distinct(), "jaccard-spare")
+    posts = (c.semi_by(d.where("n > 0"), spare, ["did", "sh"], "left_anti")
              .select("gid", "n", F.posexplode("prefix").alias("i", "key")))
-    shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "jaccard-shared")
-    posts = c.stored(posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "jaccard-shared-posts")
+    shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "jaccard-shared")
+    posts = posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key").dropDuplicates(["key", "gid"])
+    posts = c.stored(posts, "jaccard-shared-posts")
+    posts = posts.join(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "key")
     # the pivot of a key is the group with most shared shingles: the text that others are copies of
     posts = posts.join(posts.groupBy("gid").agg(F.count("*").alias("s")), "gid")
     posts = c.stored(posts.join(posts.groupBy("key").agg(F.max(F.struct("s", "gid"))["gid"].alias("pivot")), "key").drop("s"),
                      "jaccard-posts")
 
     def sized(x: str, y: str):
-        return F.expr(f"{den} * least({x}, {y}) >= {num} * greatest({x}, {y})")
+        """Whether different sets of these sizes can link: the smaller inside
+        the larger, or equal sizes that differ in one shingle."""
+        return F.expr(f"case when {x} = {y} then {den} * ({x} - 1) >= {num} * ({x} + 1) "
+                      f"else {den} * least({x}, {y}) >= {num} * greatest({x}, {y}) end")
 
     def reach(a: str, b: str, total: str):
         """Whether a pair whose first shared shingle is followed by a and b
@@ -187,7 +195,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     star = (posts.where("gid <> pivot").join(pivots, "key").where(sized("n", "pn")).where(reach("n - i + least(i, pi)", "pn - pi + least(i, pi)", "n + pn"))
             .select(F.col("gid").alias("ga"), F.col("pivot").alias("gb")).distinct()
             .join(g("a"), "ga").join(g("b"), "gb").select("sa", "sb"))
-    inner = nodes.join(groups, ["gid", "n"]).where("sh <> rep").select(F.col("sh").alias("sa"), F.col("rep").alias("sb"))
+    inner = nodes.join(groups, ["gid", "n"]).where("sh <> rep").where(sized("n", "n")).select(
+        F.col("sh").alias("sa"), F.col("rep").alias("sb"))
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         end = lambda p: nodes.select(F.col("sh").alias("s" + p), F.col("did").alias("d" + p), F.col("n").alias("n" + p),
@@ -224,7 +233,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
             .select("gx", "cx", "gy", "cy").distinct())
     m = lambda p: member.select(F.col("gid").alias("g" + p), F.col("comp").alias("c" + p), F.col("sh").alias("s" + p))
     cross = cand.join(m("x"), ["gx", "cx"]).join(m("y"), ["gy", "cy"]).select(F.col("sx").alias("sa"), F.col("sy").alias("sb"))
-    torn = gcomp.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1").select("gid")
+    torn = member.where(sized("n", "n")).groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gid")
     torn = member.join(torn, "gid", "left_semi").select("gid", "comp", "sh")
     inside = (torn.toDF("gid", "cx", "sa").join(torn.toDF("gid", "cy", "sb"), "gid").where("cx < cy").select("sa", "sb"))
     more = verified(cross.union(inside), "jaccard-cross")

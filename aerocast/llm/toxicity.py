@@ -1,8 +1,8 @@
 """Toxicity by a support vector machine over a gapped subsequence kernel
 with Nyström landmarks.
 
-A unit is a word, or a run of three and more spaced-out single letters, in
-lower case, with a mark at either end.  The kernel counts common
+A unit is a word, or a run of three and more spaced-out single letters put
+together, in lower case, with a mark at either end.  The kernel counts common
 subsequences of three bytes within a span of five, weighted by
 DECAY**span in each string and divided by both norms: an insult with an
 inserted or left-out character keeps most of its subsequences.
@@ -56,10 +56,13 @@ def units(col: pa.Array):
         edge[1:-1] = ~(single[1:] & single[:-1] & (doc[1:] == doc[:-1]))
         a = np.flatnonzero(edge)
         lo, hi = a[:-1], a[1:] - 1
-        run = (hi - lo) >= 2
-        s, e, doc = (np.concatenate(x) for x in ((s, s[lo[run]]), (e, e[hi[run]]), (doc, doc[lo[run]])))
-        order = np.argsort(s, kind="stable")
-        s, e, doc = s[order], e[order], doc[order]
+        lo, hi = (x[(hi - lo) >= 2] for x in (lo, hi))
+        if len(lo):                             # their letters, put together behind the text
+            size = hi - lo + 1
+            at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
+            end = len(data) + np.cumsum(size)
+            data = np.concatenate([data, data[s[at]]])
+            s, e, doc = (np.concatenate(x) for x in ((s, end - size), (e, end), (doc, doc[lo])))
     n = np.where(e - s > PIECE + STEP // 2, -(-(e - s - PIECE) // STEP) + 1, 1)
     if (n > 1).any():
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)

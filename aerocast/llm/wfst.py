@@ -28,7 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from aerocast.llm import common as c
 
@@ -242,7 +242,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
             ids = [None if x is None else np.frombuffer(t.encode(x), "<u4").astype(np.int32)
                    for x in c.column(b, text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names, "piece_ids"])
-    return src.mapInArrow(run, src.withColumn("piece_ids", F.array().cast("array<int>")).schema)
+    return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(docs: DataFrame, model: str, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
@@ -260,7 +260,7 @@ def decode(docs: DataFrame, model: str, ids_col: str = "piece_ids", text_col: st
             texts = [None if x is None else t.decode(np.array([i for i in x if i is not None and 0 <= i < size], "<u4").tobytes())
                      for x in c.column(b, ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, text_col])
-    return src.mapInArrow(run, src.withColumn(text_col, F.lit("")).schema)
+    return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField(text_col, T.StringType())]))
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
