@@ -70,20 +70,27 @@ def runs(wh: np.ndarray, first: np.ndarray, k: int, m: int):
     return doc[s], s - first[:-1][doc[s]], n, g[low[s]], c.range_hash(wh, s, stop + k - 1)
 
 
-def _repeated(mk, wh, did, pos):
-    """Sort order by key and place, and whether a row of that order repeats
-    the row before it in (mkey, whash)."""
-    order = np.lexsort((pos, did, wh, mk))
-    again = np.zeros(len(order), bool)
-    a, b = mk[order], wh[order]
-    again[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-    return order, again
+def _same_place(same, did, pos, first):
+    """Whether a row stands where the first row of its key does: a repeated
+    table row is the same occurrence, not a later one.  same: rows that
+    share the key of the row before; first: (did, pos) of the key that
+    goes on from the batch before, if any."""
+    at = np.maximum.accumulate(np.where(same, -1, np.arange(len(same))))
+    fd, fp = did[at], pos[at]
+    if first is not None:
+        fd, fp = np.where(at < 0, first[0], fd), np.where(at < 0, first[1], fp)
+    return same & (did == fd) & (pos == fp)
 
 
 def _local(held: list):
     """Held rows as one batch; what repeats a row of this batch is marked."""
     mk, wh, did, pos, n = (np.concatenate(x) for x in zip(*held))
-    order, again = _repeated(mk, wh, did, pos)
+    order = np.lexsort((pos, did, wh, mk))
+    a, b = mk[order], wh[order]
+    again = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1])) if len(a) else np.zeros(0, bool)
+    order = order[~_same_place(again, did[order], pos[order], None)]
+    a, b = mk[order], wh[order]
+    again = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1])) if len(a) else np.zeros(0, bool)
     # a known repeat needs no comparison: it travels under a key of its own place
     mk = np.where(again, c.mix(pos.astype(np.uint64) + did.astype(np.uint64)).view(np.int64)[order], mk[order])
     return pa.RecordBatch.from_arrays(
@@ -112,8 +119,7 @@ def _scan(batches):
     """Rows sorted by (mkey, whash, did, pos), known ones apart: repeats of
     the row before them, and of branching minimizers the firsts.  What is
     carried from batch to batch is one row."""
-    last = None                                 # of the last row: mkey, whash; pending first row or None
-    pending = None
+    last = first = pending = None               # last row's key, its first place, a first not yet known to branch
     for b in batches:
         known = c.column(b, "known").to_numpy(zero_copy_only=False)
         mk, wh, did, pos, n = (c.longs(b, x) for x in ("mkey", "whash", "did", "pos", "n"))
@@ -127,7 +133,8 @@ def _scan(batches):
             else:
                 pm[0], pw[0] = last
                 same_m, same = mk == pm, (mk == pm) & (wh == pw)
-            out.append([(mk[same], did[same], pos[same], n[same], np.ones(int(same.sum()), bool))])
+            again = same & ~_same_place(same, did, pos, first)
+            out.append([(mk[again], did[again], pos[again], n[again], np.ones(int(again.sum()), bool))])
             # groups of firsts: a first whose minimizer has another first is to be expanded
             f = np.flatnonzero(~same)
             group = np.cumsum(~same_m)
@@ -147,6 +154,9 @@ def _scan(batches):
             x = f[many]
             out.append([(mk[x], did[x], pos[x], n[x], np.zeros(len(x), bool))])
             last = (mk[-1], wh[-1])
+            if not same.all():
+                i = np.flatnonzero(~same)[-1]
+                first = (did[i], pos[i])
         cols = [np.concatenate(x) for x in zip(*[r for part in out for r in part])]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]),
                                           pa.array(cols[3].astype(np.int32)), pa.array(cols[4])],
