@@ -4,7 +4,8 @@
    spaces).  Equal normalised lines are one distinct line.
 2. Each distinct line has a 64-bit SimHash of its distinct words.  Two lines are
    candidates within DISTANCE = 3 differing bits.  By the pigeonhole
-   principle two of five blocks are then equal: ten keys of two blocks.
+   principle three of six blocks are then equal: twenty keys of about 32
+   bits, so that lines share a key by chance only among billions.
 3. Every line is compared with one pivot per shared key (the line with most
    shared keys); keys with more than two lines whose lines are not yet in
    one component are compared across components.  A candidate pair is a
@@ -20,7 +21,7 @@ verified in bounded time.
 
 from __future__ import annotations
 
-import hashlib
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from aerocast.llm.components import components
 DISTANCE = 3
 SIMILAR = 80            # per cent
 LONG = 1000
-_EDGES = (0, 13, 26, 39, 52, 64)
+_EDGES = (0, 11, 22, 33, 44, 54, 64)
 _ZERO = np.arange(256, dtype=np.uint8)
 _ZERO[49:58] = 48
 
@@ -124,14 +125,13 @@ def _line_texts(batches):
 
 
 def block_keys(sim: str = "sim"):
-    """Ten keys: each pair of the five blocks with its number."""
+    """Twenty keys: each three of the six blocks with their number."""
     masks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(_EDGES, _EDGES[1:])]
     out = []
-    for x in range(5):
-        for y in range(x):
-            m = masks[x] | masks[y]
-            m = m - (1 << 64) if m >> 63 else m
-            out.append(F.xxhash64(F.lit(5 * x + y), F.col(sim).bitwiseAND(F.lit(m).cast("long"))))
+    for i, (x, y, z) in enumerate(combinations(masks, 3)):
+        m = x | y | z
+        m = m - (1 << 64) if m >> 63 else m
+        out.append(F.xxhash64(F.lit(i), F.col(sim).bitwiseAND(F.lit(m).cast("long"))))
     return F.array(*out)
 
 
