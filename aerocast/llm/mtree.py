@@ -6,14 +6,16 @@ a zero: then |q - x|**2 = |q|**2 + R**2 - 2 q.x, so that the largest inner
 products are the smallest Euclidean distances, a metric.
 
 Every block of rows (dealt at random, of bounded size) has an M-tree of its
-own: pages of at most FANOUT routing objects with covering radius and
-distance to their parent, leaves of at most LEAF rows with their distance
-to the leaf's routing object.  A query takes pages from a queue by the
-least distance they can hold.  By the triangle inequality the stored
-distances tell entries that are too far without computing their distance.
-Scores are computed as integers; a bound prunes only beyond half a unit,
-so rounding never loses a row, nor a tie.  Blocks of rows meet blocks of
-queries, and the k best of each are merged.
+own over its distinct vectors, each with the ids of all its rows: pages of
+at most FANOUT routing objects with covering radius and distance to their
+parent, leaves of at most LEAF vectors with their distance to the leaf's
+routing object.  Without copies any two routing objects part a page, so
+every radius is that of the vectors below it.  A query takes pages from a
+queue by the least distance they can hold.  By the triangle inequality the
+stored distances tell entries that are too far without computing their
+distance.  Scores are computed as integers; a bound prunes only beyond half
+a unit, so rounding never loses a row, nor a tie.  Blocks of rows meet
+blocks of queries, and the k best of each are merged.
 """
 
 from __future__ import annotations
@@ -46,7 +48,8 @@ def _dist(x: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 
 def build(x: np.ndarray, rows: np.ndarray, far: np.ndarray, rng) -> Page:
-    """Page over ``rows``; far: their distance to the routing object above."""
+    """Page over ``rows``, all different; far: their distance to the routing
+    object above."""
     if len(rows) <= LEAF:
         return Page(x, rows, far)
     part = x[rows]
@@ -56,11 +59,8 @@ def build(x: np.ndarray, rows: np.ndarray, far: np.ndarray, rng) -> Page:
     for pick in rng.choice(len(rows), min(FANOUT, -(-2 * len(rows) // LEAF)), replace=False).tolist():
         d = _dist(part, part[pick])
         nearer = d < own
-        if nearer.any():                        # else a copy of a routing object there is
-            own[nearer], of[nearer] = d[nearer], len(routes)
-            routes.append(pick)
-    if len(routes) == 1:                        # all rows alike: any split will do
-        return Page(x, rows[:1], far[:1], np.zeros(1), [Page(x, rows, own)])
+        own[nearer], of[nearer] = d[nearer], len(routes)
+        routes.append(pick)
     at, fars, radius, child = [], [], [], []
     for k, r in enumerate(routes):
         mine = np.flatnonzero(of == k)
@@ -75,7 +75,11 @@ def build(x: np.ndarray, rows: np.ndarray, far: np.ndarray, rng) -> Page:
 class MTree:
     def __init__(self, v: np.ndarray, ids: np.ndarray):
         """v: integer vectors."""
-        self.v, self.ids = v, ids
+        code, _ = pd.factorize(np.array([r.tobytes() for r in v], object))
+        order = np.lexsort((ids, code))
+        start = np.flatnonzero(np.append(True, np.diff(code[order]) != 0))
+        v = v[order[start]]
+        self.v, self.ids = v, np.split(ids[order], start[1:])   # ids of each distinct vector, ascending
         norm2 = np.einsum("ij,ij->i", v, v)
         self.top = float(norm2.max())
         self.x = np.column_stack([v, np.sqrt(self.top - norm2)])
@@ -113,13 +117,16 @@ class MTree:
                 elif len(score) > k:            # of a first page only what can be among its k best
                     good = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1])
                     at, score = at[good], score[good]
-                for s, i in zip(score.astype(np.int64).tolist(), self.ids[at].tolist()):
-                    if i == skip:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -i))
-                    elif (s, -i) > best[0]:
-                        heapq.heapreplace(best, (s, -i))
+                for s, r in zip(score.astype(np.int64).tolist(), at.tolist()):
+                    for i in map(int, self.ids[r]):
+                        if i == skip:
+                            continue
+                        if len(best) < k:
+                            heapq.heappush(best, (s, -i))
+                        elif (s, -i) > best[0]:
+                            heapq.heapreplace(best, (s, -i))
+                        else:
+                            break               # the other ids are larger
                 if len(best) == k:
                     limit = np.sqrt(max(0.0, base - 2 * best[0][0] + 1))
             else:

@@ -48,6 +48,34 @@ def test_mtree_prunes_and_keeps_ties():
     assert same.search(np.array([1, 1]), 3, skip=0) == [(2, 1), (2, 2), (2, 3)]
 
 
+def test_mtree_with_a_hot_vector():
+    """A third, a tenth and a twentieth of a block are copies of one vector."""
+    for share, dim, seed in ((3, 8, 0), (10, 8, 1), (20, 64, 2)):
+        rng = np.random.default_rng(seed)
+        v = np.floor(rng.normal(size=(8192, dim)) * 256).astype(np.int64)
+        v[rng.permutation(8192)[:8192 // share]] = v[0]
+        ids = rng.permutation(8192)
+        tree = mtree.MTree(v, ids)
+
+        def widest(page, centre):
+            """Every routing object's radius covers all vectors below it."""
+            for r in range(len(page.at)):
+                if page.radius is not None:
+                    below = rows_of(page.child[r])
+                    assert mtree._dist(tree.x[below], tree.x[page.at[r]]).max() <= page.radius[r] + 1e-6
+                    widest(page.child[r], page.at[r])
+
+        def rows_of(page):
+            return page.at if page.radius is None else np.concatenate([rows_of(x) for x in page.child])
+        widest(tree.root, None)
+        near = v[0] + rng.integers(-40, 40, (100, dim))       # queries about the hot vector and anywhere
+        for q in [*v[1:8192:90], *near, v[0], -v[0]]:
+            s = v @ q
+            assert tree.search(q, 5) == [(int(s[i]), int(ids[i])) for i in np.lexsort((ids, -s))[:5]]
+        assert tree.search(v[0], 5, skip=int(ids[0])) == [
+            x for x in sorted(((int(v[i] @ v[0]), int(ids[i])) for i in range(8192) if i), key=lambda t: (-t[0], t[1]))[:5]]
+
+
 def test_nearest_against_brute_force(vectors):
     rows = some(230, 3, 3) + ODD
     fine = lambda w: bool(w) and all(x is not None and math.isfinite(x) for x in w) and any(w)
