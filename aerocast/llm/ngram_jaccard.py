@@ -10,7 +10,8 @@
    which is posted once.
 3. Every group is compared with one pivot per shared prefix shingle, every
    member with its group's representative.  The links give components.
-4. What is left are prefix shingles shared by several components: only
+4. What is left are prefix shingles shared by several components, unless
+   by two groups of one member each, which the star has compared: only
    pairs of different components are expanded to members and verified, so
    a large group of near copies costs its size, not its square, and still
    no link between components is lost.
@@ -164,7 +165,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     d = c.stored(src.mapInArrow(_prefixes(k, num, den, heavy), _DOC), "jaccard-docs")
 
     nodes = c.stored(d.where("n > 0").groupBy("sh", "gid", "n", "cells").agg(F.min("did").alias("did")), "jaccard-nodes")
-    groups = nodes.groupBy("gid", "n").agg(F.min("sh").alias("rep"))
+    groups = nodes.groupBy("gid", "n").agg(F.min("sh").alias("rep"), F.count("*").alias("members"))
     # one row per distinct set posts its prefix; prefixes are not shuffled
     spare = c.stored(d.select("did", "sh").join(nodes.select("sh", F.col("did").alias("first")), "sh")
                      .where("did <> first").select("did", "sh").distinct(), "jaccard-spare")
@@ -173,7 +174,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "jaccard-shared")
     posts = posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key").dropDuplicates(["key", "gid"])
     posts = c.stored(posts, "jaccard-shared-posts")
-    posts = posts.join(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "key")
+    # open: beside the star's pairs of representatives there are others
+    posts = posts.join(groups.select("gid", "members"), "gid")
+    posts = posts.join(posts.groupBy("key").agg(F.count("*").alias("k"), F.max("members").alias("most")).where("k > 1"), "key")
+    posts = posts.withColumn("open", F.expr("k > 2 or most > 1")).drop("k", "most", "members")
     # the pivot of a key is the group with most shared shingles: the text that others are copies of
     posts = posts.join(posts.groupBy("gid").agg(F.count("*").alias("s")), "gid")
     posts = c.stored(posts.join(posts.groupBy("key").agg(F.max(F.struct("s", "gid"))["gid"].alias("pivot")), "key").drop("s"),
@@ -217,7 +221,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     member = c.stored(nodes.join(comp, nodes.sh == comp.id, "left")
                       .select("sh", "gid", "n", "did", F.coalesce("comp", "sh").alias("comp")), "jaccard-members")
     gcomp = member.select("gid", "comp").distinct()
-    post = posts.where("k > 2").join(gcomp, "gid").select("key", "gid", "n", "i", "comp")
+    post = posts.where("open").join(gcomp, "gid").select("key", "gid", "n", "i", "comp")
     mixed = post.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     post = c.stored(post.join(mixed, "key", "left_semi"), "jaccard-mixed")
     # pairs of components of a key, as far as their sizes and places allow

@@ -89,6 +89,27 @@ def test_jaccard_join_against_brute_force(spark, frame):
         assert got == jaccard_brute(rows, k, num, den)
 
 
+def test_jaccard_join_links_of_members_beside_the_representative(frame):
+    """Families of three: a2 is a1 with one word swapped, b is a2 less a
+    word.  Where a1 and a2 have one prefix and a1 stands for both, b links
+    with a2 alone."""
+    rnd, rows, unlinked = random.Random(5), [], 0
+    for f in range(60):
+        w = [f"f{f}w{i}" for i in range(14)]
+        rnd.shuffle(w)
+        a2 = [*w[:13], f"f{f}x"]
+        texts = [" ".join(x) for x in (w, a2, a2[1:])]
+        rows += [(f * 3 + j, t) for j, t in enumerate(texts)]
+        doc, h, n = ngram_jaccard.shingle_sets(pa.array(texts), 1)
+        sh = c.i64(ngram_jaccard.set_hashes(doc, h, n))
+        first = [h[doc == d][:3].tolist() for d in range(2)]
+        unlinked += first[0] == first[1] and sh[0] < sh[1]
+    assert unlinked >= 5
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_components(frame(rows), 1, 85, 100).collect()}
+    assert got == jaccard_brute(rows, 1, 85, 100)
+    assert all(got[i][1] == i - i % 3 for i, _ in rows)
+
+
 def test_jaccard_join_edge_cases(frame):
     long = " ".join(f"t{i}" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  two"), (6, "one three"), (7, long), (9, long + " x"),
