@@ -92,6 +92,12 @@ def dotted(text: str, i: int) -> tuple[list[tuple[int, int]], int]:
     return [(starts[k], ends[k + 3]) for k in range(0, len(starts) - 3, 4)], e
 
 
+def octet(digits: str) -> bool:
+    """Whether a number of any length is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def digit_run(text: str, i: int) -> int:
     """End of the digits from i on, single spaces and dashes between them."""
     e, n = i + 1, len(text)
@@ -150,7 +156,7 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
         if what == "digit":
             if i >= chain:
                 ips, chain = dotted(text, i)
-                found["ip"] += [(s, e) for s, e in ips if all(int(x) <= 255 for x in text[s:e].split("."))]
+                found["ip"] += [(s, e) for s, e in ips if all(octet(x) for x in text[s:e].split("."))]
             if i >= number:
                 number = digit_run(text, i)
                 digits = text[i:number].replace(" ", "").replace("-", "")

@@ -46,6 +46,11 @@ def test_pii_added_kinds_and_redaction():
     assert pii.redact("plain", pii.spans("plain")) == "plain"
 
 
+def test_pii_dotted_numbers_of_any_length():
+    t = "1.2.3." + "9" * 5000 + " 1.2.3.0" + "0" * 5000 + "7 1.2.3.256 10.020.30.255"
+    assert [t[s:e].replace("0" * 5000, "") for s, e in pii.spans(t)["ip"]] == ["1.2.3.07", "10.020.30.255"]
+
+
 def test_pii_query_columns(frame):
     rows = [(1, "a@b.c d@e.org"), (2, None), (3, ""), (1, "a@b.c d@e.org"), (None, "x 1.2.3.4 ü@y.zz " + "pad " * 50_000 + "+49 30 1234567")]
     got = {(r.doc_id, r.pii_email, r.pii_ip, r.pii_phone, r.pii_spans): r.pii_base_sha256 for r in pii.find(frame(rows)).collect()}
