@@ -115,13 +115,14 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start and end of each word, and per text the index of its
-    first word (n + 1 entries).  Words hold no 0x20 and no 0x09-0x0D."""
+    first word (n + 1 entries).  Words hold no byte that ``gap`` marks:
+    by default no 0x20 and no 0x09-0x0D."""
     n = len(data)
     ns = np.ones(n + 2, bool)
     ns[0] = ns[-1] = False
-    np.logical_not(_SPACE[data], out=ns[1:-1])
+    np.logical_not(gap[data], out=ns[1:-1])
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     starts = np.flatnonzero(ns[1:-1] & (~ns[:-2] | first[:-1]))

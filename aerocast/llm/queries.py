@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {
     "op2_substring_dedup": sql.SUBSTRING,
     "op4_exact_top_k": sql.TOP_K,
     "op10_nearest_neighbours": sql.NEAREST,
+    "op11_source_divergence": sql.DIVERGENCE,
 }
 
 
@@ -123,3 +124,10 @@ def op7_sentencepiece(spark, sf_dir):
 
     from aerocast.llm.wfst import digests
     return digests(c.read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_source_divergence(spark, sf_dir):
+    """How the sources of each language differ in words."""
+    from aerocast.llm.divergence import audit
+    return audit(c.read(spark, sf_dir, "documents"))

@@ -54,3 +54,29 @@ TOP_K = _best("list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)
 
 NEAREST = _best("CAST(embedding AS DOUBLE[])", _FINE + " AND len(list_filter(embedding, lambda x: x <> 0)) > 0",
                 "list_cosine_similarity(q.v, c.v)")
+
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS cnt FROM o GROUP BY ALL HAVING count(DISTINCT i) >= 30),
+l AS (SELECT lang, sum(cnt) AS n, count(*) AS v FROM kept GROUP BY lang),
+have AS (SELECT o.lang, o.source, o.term, count(*) AS cnt FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(cnt), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN have USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.cnt, 0) AS cnt,
+         CAST(1 + (1000000000::HUGEINT * (coalesce(h.cnt, 0) + 5)) // (g.n + 5 * l.v)::HUGEINT AS BIGINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (k.cnt + 5)) // (l.n + 5 * l.v)::HUGEINT AS BIGINT) AS q
+  FROM g JOIN l USING (lang) JOIN kept k USING (lang) LEFT JOIN have h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE cnt > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50"""
