@@ -40,12 +40,14 @@ def order_bucket(v: Column, per_octave: int = 64) -> Column:
 
 
 def value_counts_table(df: DataFrame, value: str, groups: list[str] | None = None,
-                       extra_aggs: list[Column] | None = None, materialize_result: bool = True) -> DataFrame:
+                       extra_aggs: list[Column] | None = None, materialize_result: bool = True,
+                       weight: str | None = None) -> DataFrame:
     """(groups…, v, cnt, extras…) — the one pass over the input; partial
-    aggregation happens before the shuffle.  The result (distinct values
-    only) is checkpointed because ranks, totals and quantiles all read it."""
+    aggregation happens before the shuffle.  With ``weight`` a row stands
+    for that many equal rows.  The result (distinct values only) is
+    checkpointed because ranks, totals and quantiles all read it."""
     g = list(groups or [])
-    aggs = [F.count(F.lit(1)).alias("cnt")] + list(extra_aggs or [])
+    aggs = [(F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt")] + list(extra_aggs or [])
     vc = df.filter(F.col(value).isNotNull()).groupBy(*g, F.col(value).alias("v")).agg(*aggs)
     if materialize_result:
         from aerocast.session import materialize
@@ -69,13 +71,13 @@ def ranks_from_counts(vc: DataFrame, groups: list[str] | None = None,
 
 
 def value_ranks(df: DataFrame, value: str, groups: list[str] | None = None,
-                extra_aggs: list[Column] | None = None, per_octave: int = DEFAULT_PER_OCTAVE
-                ) -> DataFrame:
+                extra_aggs: list[Column] | None = None, per_octave: int = DEFAULT_PER_OCTAVE,
+                weight: str | None = None) -> DataFrame:
     """Per group and distinct non-NULL value: ``cnt`` (rows with it),
     ``below`` (rows of the group with a smaller value) and any
     ``extra_aggs`` computed over the value's rows.  ``below + (cnt+1)/2``
     is the tie-averaged rank."""
-    return ranks_from_counts(value_counts_table(df, value, groups, extra_aggs), groups, per_octave)
+    return ranks_from_counts(value_counts_table(df, value, groups, extra_aggs, weight=weight), groups, per_octave)
 
 
 def quantile_name(p: float) -> str:

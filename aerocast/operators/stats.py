@@ -20,16 +20,18 @@ from aerocast.operators.ranks import (
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def describe(df: DataFrame, value: str, groups: list[str] | None = None, scale: int = 2) -> DataFrame:
+def describe(df: DataFrame, value: str, groups: list[str] | None = None, scale: int = 2,
+             weight: str | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25 %, 50 %, 75 %, max per group.
-    ``value`` must be exact with ``scale`` decimals.  One pass over the
+    ``value`` must be exact with ``scale`` decimals; with ``weight`` a row
+    stands for that many equal rows.  One pass over the
     input builds the (group, value, count) table; every statistic comes
     from it: the mean exactly (rounded half-up to 6 decimals), the sample
     std from exact sums (rounded to 6 decimals), quantiles by rank."""
     g = list(groups or [])
     src = df if g else df.withColumn("_g", F.lit(0))
     gk = g or ["_g"]
-    vc = value_counts_table(src, value, gk)
+    vc = value_counts_table(src, value, gk, weight=weight)
     units = to_units(F.col("v"), scale)                       # exact integers
     cnt = F.col("cnt").cast("decimal(38,0)")
     base = vc.groupBy(*gk).agg(
@@ -89,30 +91,42 @@ def exact_u_sf(u: int, m: int, n: int) -> float:
     return count / math.comb(m + n, m)
 
 
-def _p_value(z, u1, n1, n2, tie) -> float | None:
-    if n1 is None or n2 is None or n1 == 0 or n2 == 0:
-        return None
-    small = n1 <= EXACT_MAX_SMALL or n2 <= EXACT_MAX_SMALL
-    if small and tie == 0:
-        u = max(u1, n1 * n2 - u1)
-        return min(1.0, 2.0 * exact_u_sf(int(round(u)), int(n1), int(n2)))
-    if z is None or math.isnan(z):
-        return None
-    return min(1.0, math.erfc(z / math.sqrt(2.0)))
+_SERIES_TERMS, _FRACTION_LEVELS = 60, 120     # enough for double precision on either side of 2
+
+
+def erfc(x: Column) -> Column:
+    """Complementary error function as JVM expressions: below 2 the series
+    of erf (all terms positive), from 2 on the continued fraction, which
+    keeps its relative accuracy however small the tail is."""
+    small, a = F.abs(x) < 2, F.abs(x)
+    start = F.struct(a.alias("t"), a.alias("s"))
+
+    def more(acc, n):
+        t = acc["t"] * (2 * a * a) / (2 * n + 1)
+        return F.struct(t.alias("t"), (acc["s"] + t).alias("s"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(_SERIES_TERMS)), start, more, lambda acc: acc["s"])
+    low = 1 - F.lit(2 / math.sqrt(math.pi)) * F.exp(-a * a) * series
+    fraction = F.aggregate(F.sequence(F.lit(_FRACTION_LEVELS), F.lit(1), F.lit(-1)), F.lit(0.0), lambda t, k: k / 2 / (a + t))
+    high = F.exp(-a * a) / F.lit(math.sqrt(math.pi)) / (a + fraction)
+    tail = F.when(small, low).otherwise(high)
+    return F.when(x < 0, 2 - tail).otherwise(tail)
 
 
 @F.pandas_udf(T.DoubleType())
-def _two_sided_p(z: pd.Series, u1: pd.Series, n1: pd.Series, n2: pd.Series, tie: pd.Series) -> pd.Series:
-    """Two-sided p of the test row (one row per test): exact for small
-    samples without ties, else 2·P(Z > z) of the corrected normal z."""
-    def cell(v):
-        return None if v is None or (isinstance(v, float) and math.isnan(v)) else v
-    return pd.Series([_p_value(cell(a), cell(b), cell(c), cell(d), cell(e))
-                      for a, b, c, d, e in zip(z, u1, n1, n2, tie)], dtype="float64")
+def _exact_p(u1: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    """Two-sided exact p of the tests that need it (one row per test); rows
+    of null are other tests."""
+    out = []
+    for u, m, n in zip(u1, n1, n2):
+        if pd.isna(u) or pd.isna(m) or pd.isna(n):
+            out.append(None)
+        else:
+            out.append(min(1.0, 2.0 * exact_u_sf(int(round(max(u, m * n - u))), int(m), int(n))))
+    return pd.Series(out, dtype="float64")
 
 
 def mann_whitney_grouped(samples: DataFrame, value: str, test: str = "test", side: str = "side",
-                         with_p: bool = True) -> DataFrame:
+                         with_p: bool = True, weight: str | None = None) -> DataFrame:
     """Two-sided Mann–Whitney U per ``test``: ``side`` is 1 for the first
     sample, 2 for the second (other rows are ignored).  Normal
     approximation with tie and continuity correction; the exact null
@@ -120,11 +134,14 @@ def mann_whitney_grouped(samples: DataFrame, value: str, test: str = "test", sid
     is scipy's automatic choice.  One row per test: n1, n2, u_statistic (U of the first
     sample), tie_sum Σ(t³−t), z, p_value and the write-up's effect size
     effect_z = (U1 − n1·n2/2)/√(n1·n2·(N+1)/12), effect_r = |effect_z|/√N.
-    All tests share one pass of ``value_ranks`` (no single-partition
-    window); an empty sample gives NULL statistics."""
-    d = samples.filter(F.col(side).isin(1, 2)).select(F.col(test).alias("test"), F.col(value).alias("_v"),
-                                                       F.col(side).alias("_side"))
-    vr = value_ranks(d, "_v", ["test"], extra_aggs=[F.count(F.when(F.col("_side") == 1, 1)).alias("c1")])
+    With ``weight`` a row stands for that many equal values.  All tests
+    share one pass of ``value_ranks`` (no single-partition window); an empty
+    sample gives NULL statistics."""
+    d = samples.filter(F.col(side).isin(1, 2)).select(
+        F.col(test).alias("test"), F.col(value).alias("_v"), F.col(side).alias("_side"),
+        (F.col(weight) if weight else F.lit(1)).cast("long").alias("_n"))
+    first = F.sum(F.when(F.col("_side") == 1, F.col("_n")).otherwise(0))
+    vr = value_ranks(d, "_v", ["test"], extra_aggs=[first.alias("c1")], weight="_n")
     s = vr.groupBy("test").agg(
         F.sum("c1").alias("n1"), (F.sum("cnt") - F.sum("c1")).alias("n2"),
         F.sum(F.col("c1").cast("decimal(38,0)") * (F.col("below") * 2 + F.col("cnt") + 1)).alias("r1x2"),
@@ -145,8 +162,9 @@ def mann_whitney_grouped(samples: DataFrame, value: str, test: str = "test", sid
         ship_package(samples.sparkSession)
         exact = (F.least("n1", "n2") <= EXACT_MAX_SMALL) & (F.col("tie_sum") == 0)
         out = out.withColumn("p_method", F.when(F.least("n1", "n2") > 0, F.when(exact, "exact").otherwise("asymptotic")))
-        out = out.withColumn("p_value", _two_sided_p(F.col("_z"), F.col("u_statistic"), F.col("n1").cast("double"),
-                                                      F.col("n2").cast("double"), F.col("tie_sum")))
+        only = [F.when(F.col("p_method") == "exact", F.col(x).cast("double")) for x in ("u_statistic", "n1", "n2")]
+        out = out.withColumn("p_value", F.when(F.col("p_method") == "exact", _exact_p(*only))
+                             .when(F.col("p_method") == "asymptotic", F.least(F.lit(1.0), erfc(F.col("_z") / F.lit(math.sqrt(2.0))))))
     return out.drop("_z")
 
 

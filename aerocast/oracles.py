@@ -701,11 +701,18 @@ b AS (SELECT *, CAST(n1i AS DOUBLE) AS n1, CAST(n2i AS DOUBLE) AS n2,
         CAST((r1x2 - CAST(n1i AS HUGEINT) * (n1i + 1)) AS DOUBLE) / 2 AS u1 FROM a),
 c AS (SELECT *, n1 * n2 - u1 AS u2,
         sqrt(n1 * n2 / 12.0 * ((n + 1) - CAST(tie AS DOUBLE) / (n * (n - 1)))) AS sigma,
-        (u1 - n1 * n2 / 2.0) / sqrt(n1 * n2 * (n + 1) / 12.0) AS ez FROM b)
+        (u1 - n1 * n2 / 2.0) / sqrt(n1 * n2 * (n + 1) / 12.0) AS ez FROM b),
+t AS (SELECT *, (greatest(u1, u2) - n1 * n2 / 2.0 - 0.5) / sigma / sqrt(2) AS x FROM c),
+-- two-sided normal tail: the series of erf below 2, a continued fraction beyond
+s AS (SELECT test, 1 - 2 / sqrt(pi()) * exp(-x * x) * list_sum(list_transform(range(0, 61),
+        lambda k: x * power(2 * x * x, k) / list_product(list_transform(range(0, k + 1), lambda i: 2.0 * i + 1)))) AS low,
+        exp(-x * x) / sqrt(pi()) / (x + list_reduce(list_prepend(0.0::DOUBLE, list_transform(range(120, 0, -1), lambda k: k::DOUBLE)),
+          lambda a, k: k / 2 / (x + a))) AS high FROM t)
 SELECT test, CAST(n1i AS BIGINT) AS n1, CAST(n2i AS BIGINT) AS n2, u1 AS u_statistic,
   CAST(tie AS DOUBLE) AS tie_sum, round((greatest(u1, u2) - n1 * n2 / 2.0 - 0.5) / sigma, 9) AS z,
-  round(ez, 9) AS effect_z, round(abs(ez) / sqrt(n), 9) AS effect_r
-FROM c"""
+  round(ez, 9) AS effect_z, round(abs(ez) / sqrt(n), 9) AS effect_r, 'asymptotic' AS p_method,
+  round(least(1, CASE WHEN x < 2 THEN low ELSE high END), 12) AS p_value
+FROM t JOIN s USING (test)"""
 
 
 def _quartiles(src: str, key: str, x: str) -> str:
@@ -1001,3 +1008,70 @@ SELECT weather_time_utc, operation_type, weather_key, total_operations,
        CAST(row_number() OVER (ORDER BY weather_time_utc NULLS LAST, operation_type, weather_key) AS INTEGER) AS position
 FROM mart_weather_flight_impact QUALIFY position <= 20"""
 EXTRA["lakehouse_departures"] = _stg_flights("departure")
+
+
+# ---- classifiers: the fit itself, by Newton steps ----------------------------------
+
+def _classifier(frame: str, steps: int = 10) -> str:
+    """Split, standardisation, Newton steps (Gauss-Jordan on the Hessian and
+    the gradient) and metrics over the frame ``fr``."""
+    feats = FEATS.split(", ")
+    k = len(feats) + 1
+    x = [f"x{i}" for i in range(k)]
+    num = ", ".join(f"CAST(CAST({c} AS {'INTEGER' if c == 'has_thunderstorm' else 'DOUBLE'}) AS DOUBLE) AS f{i}" for i, c in enumerate(feats))
+    stats = ", ".join(f"avg(f{i}) AS m{i}, stddev_pop(f{i}) AS s{i}" for i in range(k - 1))
+    z = ", ".join(f"(f{i} - m{i}) / CASE WHEN s{i} = 0 THEN 1 ELSE s{i} END AS x{i}" for i in range(k - 1)) + f", 1.0::DOUBLE AS x{k - 1}"
+    dot = " + ".join(f"w{i} * {v}" for i, v in enumerate(x))
+    out = [frame + f""",
+lab AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY md5('42:' || flight_key)) <= (count(*) OVER () + 4) // 5 AS test, CAST(delay_minutes > 10 AS INTEGER) AS y, {num} FROM fr),
+par AS MATERIALIZED (SELECT {stats} FROM lab WHERE NOT test),
+grp AS MATERIALIZED (SELECT test, y, count(*) AS n, {", ".join(x)} FROM (SELECT test, y, {z} FROM lab, par) GROUP BY ALL),
+w_0 AS MATERIALIZED (SELECT {", ".join(f"0.0::DOUBLE AS w{i}" for i in range(k))})"""]
+    for s in range(1, steps + 1):
+        cell = lambda i, j: (f"sum(n * p * (1 - p) * x{i} * x{j})" + (" + 1" if i == j < k - 1 else "") if j < k
+                             else f"sum(n * (p - y) * x{i})" + (f" + any_value(w{i})" if i < k - 1 else ""))
+        names = [f"h{i}_{j}" for i in range(k) for j in range(k + 1)]
+        out.append(f"""
+g_{s} AS MATERIALIZED (
+  SELECT {", ".join(f"{cell(i, j)} AS h{i}_{j}" for i in range(k) for j in range(k + 1))}
+  FROM (SELECT *, 1 / (1 + exp(-({dot}))) AS p FROM grp, w_{s - 1} WHERE NOT test)),
+e_{s}_0 AS MATERIALIZED (SELECT * FROM g_{s})""")
+        for c in range(k):
+            sweep = [f"h{c}_{j} / h{c}_{c} AS h{c}_{j}" if i == c else f"h{i}_{j} - h{i}_{c} * h{c}_{j} / h{c}_{c} AS h{i}_{j}"
+                     for i in range(k) for j in range(k + 1)]
+            out.append(f"e_{s}_{c + 1} AS MATERIALIZED (SELECT {', '.join(sweep)} FROM e_{s}_{c})")
+        out.append(f"w_{s} AS MATERIALIZED (SELECT {', '.join(f'w{i} - h{i}_{k} AS w{i}' for i in range(k))} FROM w_{s - 1}, e_{s}_{k})")
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS name, w{i} AS w FROM w_{steps}" for i, c in enumerate(feats))
+    grad = ", ".join(f"abs(sum(n * (p - y) * x{i}){f' + any_value(w{i})' if i < k - 1 else ''})" for i in range(k))
+    avg = "\nUNION ALL ".join(
+        f"SELECT '{m}', 'macro avg', sum({m}) / count(*) FROM per UNION ALL SELECT '{m}', 'weighted avg', sum({m} * support) / sum(support) FROM per"
+        for m in ("precision", "recall", "f1"))
+    out.append(f"""
+coef AS MATERIALIZED ({rows}),
+pred AS MATERIALIZED (
+  SELECT y, CAST({dot} >= 0 AS INTEGER) AS p, sum(n) AS n FROM grp, w_{steps} WHERE test GROUP BY ALL),
+cls AS (SELECT y AS c FROM pred UNION SELECT p FROM pred),
+hit AS (
+  SELECT c, coalesce(sum(n) FILTER (WHERE y = c AND p = c), 0)::DOUBLE AS tp, coalesce(sum(n) FILTER (WHERE p = c), 0)::DOUBLE AS said,
+         coalesce(sum(n) FILTER (WHERE y = c), 0)::DOUBLE AS support FROM cls, pred GROUP BY c),
+pr AS (SELECT c, support, CASE WHEN said > 0 THEN tp / said ELSE 0 END AS precision, CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall FROM hit),
+per AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM pr),
+res AS (
+  SELECT greatest({grad}) / sum(n) AS r FROM (SELECT *, 1 / (1 + exp(-({dot}))) AS p FROM grp, w_{steps} WHERE NOT test)),
+met AS (
+  SELECT 'accuracy' AS section, 'all' AS name, (sum(n) FILTER (WHERE y = p))::DOUBLE / sum(n) AS value FROM pred
+  UNION ALL SELECT 'precision', c::VARCHAR, precision FROM per UNION ALL SELECT 'recall', c::VARCHAR, recall FROM per
+  UNION ALL SELECT 'f1', c::VARCHAR, f1 FROM per UNION ALL SELECT 'support', c::VARCHAR, support FROM per
+  UNION ALL {avg}
+  UNION ALL SELECT 'confusion', y || '->' || p, n::DOUBLE FROM pred)
+SELECT 'coefficient' AS section, name, round(w, 6) + 0.0 AS value FROM coef
+UNION ALL SELECT 'intercept', 'intercept', round(w{k - 1}, 6) + 0.0 FROM w_{steps}
+UNION ALL SELECT 'coefficient_rank', name, (row_number() OVER (ORDER BY w DESC))::DOUBLE FROM coef
+UNION ALL SELECT 'gradient', 'max_abs_per_row', round(r, 9) + 0.0 FROM res
+UNION ALL SELECT section, name, round(value, 9) FROM met""")
+    return ",\n".join(out)
+
+
+EXTRA["delay_classifier"] = _classifier(REG)
+EXTRA["departure_classifier"] = _classifier(DEP)

@@ -343,16 +343,16 @@ def q_delay_flag_counts(spark, sf_dir):
 
 @query("hypothesis_tests")
 def q_hypothesis_tests(spark, sf_dir):
-    """Mann–Whitney U (tie + continuity corrected z) and effect
-    size for thunderstorm, strong wind and precipitation (p-value checked
-    in unit tests)."""
-    return anl.hypothesis_tests(_pairs(spark, sf_dir), with_p=False)
+    """Mann–Whitney on positive delays × three weather
+    flags, from weighted ranks; the p-value rounded to 12 decimals."""
+    out = anl.hypothesis_tests(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir))
+    return out.withColumn("p_value", F.round("p_value", 12))
 
 
 @query("group_descriptions")
 def q_group_descriptions(spark, sf_dir):
     """describe() of positive delays per test sample."""
-    return anl.group_descriptions(_pairs(spark, sf_dir))
+    return anl.group_descriptions(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir))
 
 
 CORR_FEATURES = ["temperature_2m_c", "relative_humidity_2m_pct", "precipitation_mm", "visibility_m",
@@ -374,8 +374,8 @@ def q_delay_rate_box_stats(spark, sf_dir):
 
 @query("delay_classifier")
 def q_delay_classifier(spark, sf_dir):
-    """Logistic regression on the all-operations frame
-    (iterative fit; rows-only check)."""
+    """Logistic regression on the all-operations frame;
+    the oracle fits the same model by Newton steps in SQL."""
     return anl.delay_classifier(anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir)))
 
 

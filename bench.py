@@ -63,8 +63,8 @@ def main() -> None:
 
     pairs = anl.flight_weather_pairs(ff, fw)
     run("flight_weather_pairs", lambda: pairs)
-    run("hypothesis_tests", lambda: anl.hypothesis_tests(pairs))
-    run("group_descriptions", lambda: anl.group_descriptions(pairs))
+    run("hypothesis_tests", lambda: anl.hypothesis_tests(ff, fw))
+    run("group_descriptions", lambda: anl.group_descriptions(ff, fw))
     run("regression_frame", lambda: anl.regression_frame(ff, fw))
     run("weather_delay_correlation", lambda: correlation_matrix(
         anl.regression_frame(ff, fw, departures_only=True),
