@@ -52,7 +52,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables whose last reader is stored itself."""
+    for t in tables:
+        jvm, path = t.sparkSession._jvm, t.stored_path
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

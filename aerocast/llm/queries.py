@@ -17,6 +17,8 @@ ORACLES: dict[str, str] = {
     "op4_exact_top_k": sql.TOP_K,
     "op10_nearest_neighbours": sql.NEAREST,
     "op11_source_divergence": sql.DIVERGENCE,
+    "op12_quality_rules": sql.perplexity(),
+    "op13_vector_codes": sql.BALL,
 }
 
 
@@ -131,3 +133,23 @@ def op11_source_divergence(spark, sf_dir):
     """How the sources of each language differ in words."""
     from aerocast.llm.divergence import audit
     return audit(c.read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_quality_rules(spark, sf_dir):
+    """Base rules and perplexity bands over every whole text."""
+    from aerocast.llm.perplexity import rules
+    return rules(c.read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    """Codes of all embeddings by ball k-means over four parts."""
+    from pyspark.sql import functions as F
+
+    from aerocast.llm import ball_kmeans
+    coded, books = ball_kmeans.compress(c.read(spark, sf_dir, "embeddings"), keep=("label",))
+    labels = coded.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error"))
+    return coded.join(labels, F.col("label").eqNullSafe(F.col("same"))).select(
+        "vec_id", ball_kmeans.hex_code().alias("code"), "error", "label_error", F.lit(ball_kmeans.digest(books)).alias("codebooks_sha256"))
