@@ -37,7 +37,7 @@ from aerocast.llm import common as c
 
 ORDER = 5
 MIN_WORDS, WINDOW, REPEATED = 20, 8, 30     # base rules; repeated words in per cent
-LOWER, UPPER = 6.0, 6.0                     # width of the band, in median distances
+LOWER, UPPER = 8.0, 8.0                     # width of the band, in median distances
 FLOOR = 0.02                                # least median distance, as a share of the median
 DISCOUNT = 0.1                              # least discount: some of every context is left to the order below
 MODEL_ROWS = 1 << 22
