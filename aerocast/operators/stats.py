@@ -181,10 +181,47 @@ def _cube_minus(t: Column) -> Column:
     return t * t * t - t
 
 
-def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
+def shared_moments(df: DataFrame, cols: list[str], scale: int) -> list[dict]:
+    """Per pattern of NULLs: row count, sums and cross products of the
+    columns as whole numbers of 10**-scale, exact (decimals; no value may
+    have more decimals).  One aggregation; a row per pattern that occurs
+    reaches the driver, of k(k + 3)/2 + 1 numbers each."""
+    unit = [F.round(F.col(c).cast("double") * F.lit(10.0 ** scale)).cast("decimal(19,0)") for c in cols]
+    d = df.select(*(u.alias(f"x{i}") for i, u in enumerate(unit)))
+    pattern = F.concat(*(F.when(F.col(f"x{i}").isNull(), "0").otherwise("1") for i in range(len(cols))))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    rows = d.groupBy(pattern.alias("pattern")).agg(
+        F.count(F.lit(1)).alias("n"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(len(cols))),
+        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs)).collect()
+    return [{"pattern": r["pattern"], "n": r["n"], "s": [int(r[f"s{i}"] or 0) for i in range(len(cols))],
+             "p": {(i, j): int(r[f"p{i}_{j}"] or 0) for i, j in pairs}} for r in rows]
+
+
+def _shared_correlation(df: DataFrame, cols: list[str], digits: int, scale: int) -> DataFrame:
+    moments = shared_moments(df, cols, scale)
+    rows = []
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            both = [m for m in moments if m["pattern"][i] == "1" and m["pattern"][j] == "1"]
+            n = sum(m["n"] for m in both)
+            si, sj = (sum(m["s"][k] for m in both) for k in (i, j))
+            pii, pij, pjj = (sum(m["p"][k] for m in both) for k in ((i, i), (i, j), (j, j)))
+            vi, vj = n * pii - si * si, n * pjj - sj * sj                  # exact: no cancellation
+            r = None if not n else math.nan if not vi * vj else round((n * pij - si * sj) / math.sqrt(vi) / math.sqrt(vj), digits)
+            rows += [(a, cols[j], r)] + ([(cols[j], a, r)] if i != j else [])
+    return df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, corr double")
+
+
+def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 9, scale: int | None = None) -> DataFrame:
     """Pearson correlation of every ordered column pair, pairwise-complete
     (a pair uses the rows where both are non-NULL); booleans count as 0/1.
-    One aggregation pass; long format (feature_x, feature_y, corr)."""
+    One aggregation pass; long format (feature_x, feature_y, corr).
+
+    With ``scale`` (decimals of the values) all pairs share one set of
+    exact moments per pattern of NULLs (``shared_moments``); else each pair
+    is a correlation of its own over masked columns."""
+    if scale is not None:
+        return _shared_correlation(df, cols, digits, scale)
     x = {c: F.col(c).cast("double") for c in cols}
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     aggs = []

@@ -975,18 +975,25 @@ SELECT o_orderkey, CAST(0 AS BIGINT) AS below, CAST(1 AS BIGINT) AS half, CAST(1
        CAST(0 AS BIGINT) AS negative_below, CAST(-1 AS BIGINT) AS negative_half
 FROM orders"""
 
-EXTRA["csv_cyrillic"] = "SELECT CAST(c_custkey AS BIGINT) AS id, 'Пулково ' || c_name AS name FROM customer"
+EXTRA["csv_cyrillic"] = """
+SELECT CAST(c_custkey AS BIGINT) AS id, 'Пулково ' || c_name AS name,
+       CASE WHEN c_custkey % 3 <> 0 THEN 'сказал "да",' || chr(10) || c_mktsegment END AS note FROM customer"""
 
 EXTRA["json_shapes"] = """
-SELECT 'list.json' AS file, 'a,b' AS cols, CAST(r_regionkey AS BIGINT) AS a, '{"c":"' || r_name || '"}' AS b FROM region
-UNION ALL SELECT 'line.json', 'a,b.c', CAST(r_regionkey AS BIGINT), r_name FROM region WHERE r_regionkey = 1
-UNION ALL SELECT 'pretty.json', 'a,b.c', CAST(r_regionkey AS BIGINT), r_name FROM region WHERE r_regionkey = 2
-UNION ALL SELECT 'lines.jsonl', 'a,b', CAST(r_regionkey AS BIGINT), '{"c":"' || r_name || '"}' FROM region"""
+WITH p AS (SELECT CAST(c_custkey // 100 AS BIGINT) AS a, min(c_name) AS c FROM customer GROUP BY 1)
+SELECT 'list.json' AS file, 'a,b' AS cols, CAST(c_custkey AS BIGINT) AS a, '{"c":"' || c_name || '"}' AS b FROM customer
+UNION ALL SELECT 'line.json', 'a,b.c', a, c FROM p
+UNION ALL SELECT 'pretty.json', 'a,b.c', a, c FROM p
+UNION ALL SELECT 'lines.jsonl', 'a,b', CAST(c_custkey AS BIGINT), '{"c":"' || c_name || '"}' FROM customer"""
+
+EXTRA["stream_stop_and_resume"] = _KEYS
 
 EXTRA["stream_poison_messages"] = """
-SELECT CASE WHEN n_nationkey IN (3, 18) THEN 'dlq' ELSE 'raw' END AS place,
-       printf('2024-01-%02dT00:00', n_nationkey + 1) AS from_local, n_nationkey IN (3, 18) AS named
-FROM nation"""
+WITH b AS (
+  SELECT DISTINCT ['HKT', 'BKK', 'DMK'][o_custkey % 3 + 1] AS airport_code,
+    strftime(o_orderdate + to_minutes(CAST(o_orderkey % 720 AS BIGINT)), '%Y-%m-%dT%H:%M') AS from_local, o_orderkey % 7500 = 0 AS named
+  FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+SELECT CASE WHEN named THEN 'dlq' ELSE 'raw' END AS place, airport_code, from_local, named FROM b"""
 
 
 # ---- further charts and shapes ---------------------------------------------------

@@ -363,7 +363,7 @@ CORR_FEATURES = ["temperature_2m_c", "relative_humidity_2m_pct", "precipitation_
 def q_weather_delay_correlation(spark, sf_dir):
     """Pairwise-complete Pearson matrix on the departures frame."""
     f = anl.regression_frame(fact_flights(spark, sf_dir), fact_weather(spark, sf_dir), departures_only=True)
-    return correlation_matrix(f, CORR_FEATURES)
+    return correlation_matrix(f, CORR_FEATURES, scale=6)
 
 
 @query("delay_rate_box_stats")
@@ -391,7 +391,7 @@ def q_departure_classifier(spark, sf_dir):
 from aerocast.schemas import FLIGHT_BATCH_KEY as _BK  # noqa: E402
 from aerocast.session import scratch_path  # noqa: E402
 from aerocast.sinks.tables import load_to_raw, write_lakehouse, write_landing  # noqa: E402
-from aerocast.sources.files import sweep_directory  # noqa: E402
+from aerocast.sources.files import sweep_directory, to_code_page  # noqa: E402
 from aerocast.sources.landing import read_landing  # noqa: E402
 from aerocast.sources.spine import request_windows  # noqa: E402
 from aerocast.streaming.ingest import ingest, publish, replay_landing  # noqa: E402
@@ -400,8 +400,8 @@ from aerocast.streaming.ingest import ingest, publish, replay_landing  # noqa: E
 def _write_sweep_inputs(spark, sf_dir, d):
     an.raw_airports(spark, sf_dir).drop("_load_dt").write.option("header", True).csv(f"{d}/airports.csv")
     air = an.raw_airlines(spark, sf_dir).drop("_load_dt")
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    air.write.option("header", True).option("encoding", "windows-1251").csv(f"{d}/Airlines.csv")
+    air = air.select(*(to_code_page(F.col(x).cast("string"), "windows-1251").alias(x) for x in air.columns))
+    air.write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{d}/Airlines.csv")
     an.raw_aircraft(spark, sf_dir).drop("_load_dt").write.json(f"{d}/aircraft_reference.jsonl")
     an.fids_batches(spark, sf_dir).write.parquet(f"{d}/flights_2025.parquet")
     an.weather_history_raw(spark, sf_dir).select("weather_data").write.json(f"{d}/weather_hourly_history.jsonl")
@@ -447,6 +447,24 @@ def q_stream_ingest(spark, sf_dir):
     return _batch_keys(spark.read.parquet(raw))
 
 
+@query("stream_stop_and_resume")
+def q_stream_stop_and_resume(spark, sf_dir):
+    """Board batches land first and are then published over
+    many files; the stream stops behind its second micro-batch and resumes
+    from its checkpoint, then everything is delivered again.  Every key is
+    in the raw table once, and what landed is what was published."""
+    base = scratch_path(spark, "resume")
+    batches = an.fids_batches(spark, sf_dir).repartition(8)
+    publish(batches, f"{base}/topic", landing_dir=f"{base}/landing")
+    args = (spark, f"{base}/topic", f"{base}/raw", f"{base}/dlq", f"{base}/ckpt")
+    ingest(*args, options={"maxFilesPerTrigger": 2}, stop_after=2)
+    ingest(*args, options={"maxFilesPerTrigger": 2})
+    landed, _ = read_landing(spark, f"{base}/landing")
+    publish(landed, f"{base}/topic")                     # redelivery, from the landing zone
+    ingest(*args)
+    return _batch_keys(spark.read.parquet(f"{base}/raw"))
+
+
 @query("landing_replay_raw")
 def q_landing_replay(spark, sf_dir):
     """Batches written to the landing zone, replayed twice into
@@ -607,31 +625,39 @@ def q_summary_rounding_edge(spark, sf_dir):
 
 @query("csv_cyrillic")
 def q_csv_cyrillic(spark, sf_dir):
-    """A windows-1251 CSV with Cyrillic text, its encoding detected."""
+    """A windows-1251 CSV with Cyrillic text, line breaks and quotes in
+    its fields; its encoding is found, and its records are cut by all tasks
+    that read it."""
     from aerocast.sources.files import read_csv
     path = f"{scratch_path(spark, 'cyrillic')}/names.csv"
-    (an.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"),
-                                                F.concat(F.lit("Пулково "), "c_name").alias("name"))
-     .write.option("header", True).option("encoding", "windows-1251").csv(path))
-    return read_csv(spark, path).select(F.col("id").cast("long").alias("id"), "name")
+    note = F.concat(F.lit('сказал "да",\n'), "c_mktsegment")
+    (an.table(spark, sf_dir, "customer")
+     .select(F.col("c_custkey").cast("string").alias("id"),
+             to_code_page(F.concat(F.lit("Пулково "), "c_name"), "windows-1251").alias("name"),
+             to_code_page(F.when(F.col("c_custkey") % 3 != 0, note), "windows-1251").alias("note"))
+     .write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path))
+    return read_csv(spark, path).select(F.col("id").cast("long").alias("id"), "name", "note")
 
 
 @query("json_shapes")
 def q_json_shapes(spark, sf_dir):
-    """A list, an object on one line, an object on several and
-    JSON lines, each read by the sweep's rules; one row per record with its
-    columns and the nested value's text."""
+    """Lists, objects on one line, objects on several and JSON
+    lines, each read by the sweep's rules; one row per record with its
+    columns and the nested value's text.  A document holds a page of at most
+    100 customers or names its first; each is a file of its own."""
     from aerocast.sources.files import read_any
-    r = an.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    rec = F.to_json(F.struct(F.col("r_regionkey").alias("a"), F.struct(F.col("r_name").alias("c")).alias("b")))
-    one = F.array_join(F.sort_array(F.collect_list(rec)), ",\n")
-    shapes = {"list.json": r.agg(F.concat(F.lit("["), one, F.lit("]")).alias("value")),
-              "line.json": r.filter("r_regionkey = 1").select(rec.alias("value")),
-              "pretty.json": r.filter("r_regionkey = 2").select(F.regexp_replace(rec, ",", ",\n  ").alias("value")),
-              "lines.jsonl": r.select(rec.alias("value"))}
+    c = an.table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.expr("c_custkey div 100").alias("page"))
+    rec = F.to_json(F.struct(F.col("c_custkey").alias("a"), F.struct(F.col("c_name").alias("c")).alias("b")))
+    lists = c.groupBy("page").agg(F.array_join(F.sort_array(F.collect_list(rec)), ",\n").alias("one"))     # at most 100 rows
+    firsts = c.groupBy("page").agg(F.min("c_name").alias("c_name")).withColumnRenamed("page", "c_custkey")
+    shapes = {"list.json": lists.select(F.concat(F.lit("["), "one", F.lit("]")).alias("value")),
+              "line.json": firsts.select(rec.alias("value")),
+              "pretty.json": firsts.select(F.regexp_replace(rec, ",", ",\n  ").alias("value")),
+              "lines.jsonl": c.select(rec.alias("value"))}
     base, out = scratch_path(spark, "json-shapes"), None
     for name, df in shapes.items():
-        df.coalesce(1).write.text(f"{base}/{name}")
+        w = df.write if name.endswith(".jsonl") else df.write.option("maxRecordsPerFile", 1)
+        w.text(f"{base}/{name}")
         got = read_any(spark, f"{base}/{name}")
         nested = F.col("`b.c`") if "b.c" in got.columns else F.to_json("b")
         row = got.select(F.lit(name).alias("file"), F.lit(",".join(sorted(got.columns))).alias("cols"),
@@ -642,28 +668,23 @@ def q_json_shapes(spark, sf_dir):
 
 @query("stream_poison_messages")
 def q_stream_poison(spark, sf_dir):
-    """Some messages of a micro-batch make its write fail; they
-    alone are dead-lettered, all others are inserted.  Rows of the raw
-    table and of the dead-letter folder."""
+    """One in 7,500 messages makes the write of its micro-batch
+    fail; these alone are dead-lettered, all others are inserted.  Rows of
+    the raw table and of the dead-letter folder."""
     base = scratch_path(spark, "poison")
-    k = an.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("n"))
-    msg = k.select(F.lit("HKT").alias("airport_code"), F.lit("IATA").alias("code_type"),
-                   F.format_string("2024-01-%02dT00:00", F.col("n") + 1).alias("from_local"),
-                   F.format_string("2024-01-%02dT12:00", F.col("n") + 1).alias("to_local"),
-                   F.lit("Both").alias("direction"), F.lit("{}").alias("payload"))
-    publish(msg.coalesce(1), f"{base}/topic")
+    b = an.fids_batches_with_order(spark, sf_dir)
+    publish(b.withColumn("payload", F.when(F.col("_ok") % 7500 == 0, F.lit('{"poison": true}')).otherwise(F.col("payload"))).drop("_ok").repartition(4),
+            f"{base}/topic")
 
     def prepare(df):
-        poison = F.col("from_local").isin("2024-01-04T00:00", "2024-01-19T00:00")
+        poison = F.col("payload") == '{"poison": true}'
         return df.withColumn("payload", F.when(poison, F.raise_error(F.lit("rejected"))).otherwise(F.col("payload")))
-    import aerocast.streaming.ingest as ing
-    fn, _ = ing.make_batch_writer(f"{base}/raw", f"{base}/dlq", pauses=(0, 0), prepare=prepare)
-    fn(spark.read.text(f"{base}/topic"), 0)
+    ingest(spark, f"{base}/topic", f"{base}/raw", f"{base}/dlq", f"{base}/ckpt", options={"maxFilesPerTrigger": 2}, prepare=prepare, pauses=(0, 0))
     dead = spark.read.text(f"{base}/dlq").select(
         F.get_json_object("value", "$.original_batch").alias("m"), F.get_json_object("value", "$.error").alias("e"))
-    return (spark.read.parquet(f"{base}/raw").select(F.lit("raw").alias("place"), "from_local", F.lit(False).alias("named"))
-            .unionByName(dead.select(F.lit("dlq").alias("place"), F.get_json_object("m", "$.from_local").alias("from_local"),
-                                     F.col("e").contains("rejected").alias("named"))))
+    return (_batch_keys(spark.read.parquet(f"{base}/raw")).select(F.lit("raw").alias("place"), "airport_code", "from_local", F.lit(False).alias("named"))
+            .unionByName(dead.select(F.lit("dlq").alias("place"), F.get_json_object("m", "$.airport_code").alias("airport_code"),
+                                     F.get_json_object("m", "$.from_local").alias("from_local"), F.col("e").contains("rejected").alias("named"))))
 
 
 # ---- further charts and shapes ---------------------------------------------------

@@ -17,7 +17,6 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.legacy.javaCharsets": "true",        # windows-1251 reads
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.scheduler.mode": "FAIR",

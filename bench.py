@@ -69,7 +69,7 @@ def main() -> None:
     run("weather_delay_correlation", lambda: correlation_matrix(
         anl.regression_frame(ff, fw, departures_only=True),
         ["temperature_2m_c", "relative_humidity_2m_pct", "precipitation_mm", "visibility_m", "cloudcover_pct",
-         "windspeed_10m_ms", "delay_minutes"]))
+         "windspeed_10m_ms", "delay_minutes"], scale=6))
     headline = [k for k in times if "." not in k]
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "monthly_build_plus_analyses", "value": round(sum(times[k] for k in headline), 3),

@@ -84,6 +84,39 @@ def test_correlation_pairwise_complete(spark):
     assert abs(m[("a", "a")] - 1.0) < 1e-9 and len(m) == 9
 
 
+def test_correlation_from_shared_moments(spark):
+    """The same matrix from one set of exact moments per NULL pattern, also
+    where a large mean would cancel the digits of a sum of doubles."""
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(300):
+        a, b = round(rnd.gauss(1e6, 0.01), 6), round(rnd.gauss(0, 3), 2)
+        rows.append((a, None if rnd.random() < 0.2 else round(a * 2 + b / 100, 6), None if rnd.random() < 0.1 else b > 0, 5.0))
+    df = spark.createDataFrame(rows, "a double, b double, c boolean, k double")
+    m = {(r.feature_x, r.feature_y): r.corr for r in correlation_matrix(df, ["a", "b", "c", "k"], scale=6).collect()}
+    from fractions import Fraction
+
+    def corr(i, j):
+        both = [(Fraction(str(float(r[i]))), Fraction(str(float(r[j])))) for r in rows if r[i] is not None and r[j] is not None]
+        n, sx, sy = len(both), sum(x for x, _ in both), sum(y for _, y in both)
+        cov = n * sum(x * y for x, y in both) - sx * sy
+        return float(cov) / math.sqrt(n * sum(x * x for x, _ in both) - sx * sx) / math.sqrt(n * sum(y * y for _, y in both) - sy * sy)
+    for i, x in enumerate("abc"):
+        for j, y in enumerate("abc"):
+            assert abs(m[x, y] - corr(i, j)) < 1e-8 and m[x, y] == m[y, x]
+    assert math.isnan(m["a", "k"]) and len(m) == 16
+    empty = correlation_matrix(df.limit(0), ["a", "b"], scale=6).collect()
+    assert [r.corr for r in empty] == [None] * 4
+
+
+def test_normal_tail(spark):
+    from aerocast.operators.stats import erfc
+    xs = [0.0, 1e-9, 0.3, 1.0, 1.9999999, 2.0, 2.5, 4.0, 8.0, 20.0, -0.5, -3.0]
+    got = [r.y for r in spark.createDataFrame([(x,) for x in xs], "x double").select(erfc(F.col("x")).alias("y")).collect()]
+    for x, y in zip(xs, got):
+        assert abs(y - math.erfc(x)) <= 1e-13 * max(math.erfc(x), 1e-300) * 100, x
+
+
 def test_exact_small_sample_p(spark):
     from itertools import combinations
     from aerocast.operators.stats import exact_u_sf

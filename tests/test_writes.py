@@ -78,6 +78,47 @@ def test_merge_partitions_keeps_null_partition(spark, tmp):
     assert got == [("a", 2, None), ("b", 1, 1), ("c", 1, None), ("d", 2, 1), ("e", 3, 2)]
 
 
+def test_merge_rewrites_only_files_with_matched_keys(spark, tmp):
+    import os
+    from aerocast.sinks.tables import merge_partitions
+    p = f"{tmp}/cow"
+    for i in range(3):                                  # three files in one partition
+        rows = [(10 * i + j, f"v{i}", 1) for j in range(10)]
+        spark.createDataFrame(rows, "k int, v string, d int").coalesce(1).write.mode("append").partitionBy("d").parquet(p)
+    files = {f for f in os.listdir(f"{p}/d=1") if f.endswith(".parquet")}
+    held = {f: {r.k for r in spark.read.parquet(f"{p}/d=1/{f}").collect()} for f in files}
+    changed = spark.createDataFrame([(3, "new", 1), (99, "added", 1), (100, "other", 2), (None, "null", 1)], "k int, v string, d int")
+    assert merge_partitions(spark, p, changed, ["k"], "d", f"{tmp}/cow-1") == 2
+    left = {f for f in os.listdir(f"{p}/d=1") if f.endswith(".parquet")}
+    assert files - left == {f for f, ks in held.items() if 3 in ks} and len(files & left) == 2
+    got = {(r.k, r.v, r.d) for r in spark.read.parquet(p).collect()}
+    assert got == ({(10 * i + j, f"v{i}", 1) for i in range(3) for j in range(10)} - {(3, "v0", 1)}
+                   | {(3, "new", 1), (99, "added", 1), (100, "other", 2), (None, "null", 1)})
+    merge_partitions(spark, p, spark.createDataFrame([(None, "again", 1)], "k int, v string, d int"), ["k"], "d", f"{tmp}/cow-2")
+    assert spark.read.parquet(p).where("k is null").count() == 2        # NULL keys match nothing
+    with pytest.raises(DuplicateKeyError):
+        merge_partitions(spark, p, changed.unionByName(changed), ["k"], "d", f"{tmp}/cow-3")
+    assert spark.read.parquet(p).count() == 34
+
+
+def test_cut_short_merge_is_finished(spark, tmp, monkeypatch):
+    """The publishing step dies after its plan is written; the next merge
+    finishes it first."""
+    import aerocast.sinks.tables as tables
+    p = f"{tmp}/short"
+    rows = lambda x: spark.createDataFrame(x, "k int, v string, d int")
+    tables.merge_partitions(spark, p, rows([(1, "a", 1), (2, "b", 1)]), ["k"], "d", f"{tmp}/short-1")
+
+    def dies(*a):
+        raise RuntimeError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_finish_merge", dies)
+        with pytest.raises(RuntimeError):
+            tables.merge_partitions(spark, p, rows([(2, "B", 1), (3, "c", 2)]), ["k"], "d", f"{tmp}/short-2")
+    assert tables.recover_merge(spark, p) and not tables.recover_merge(spark, p)
+    assert sorted(tuple(r) for r in spark.read.parquet(p).collect()) == [(1, "a", 1), (2, "B", 1), (3, "c", 2)]
+
+
 def test_lakehouse_rejects_missing_required_fields(spark, tmp):
     import os
     import pytest
