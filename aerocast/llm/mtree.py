@@ -13,9 +13,10 @@ routing object.  Without copies any two routing objects part a page, so
 every radius is that of the vectors below it.  A query takes pages from a
 queue by the least distance they can hold.  By the triangle inequality the
 stored distances tell entries that are too far without computing their
-distance.  Scores are computed as integers; a bound prunes only beyond half
-a unit, so rounding never loses a row, nor a tie.  Blocks of rows meet
-blocks of queries, and the k best of each are merged.
+distance.  Scores are exact integers (doubles while every sum stays below
+2**53, else 64-bit integers); a bound prunes only beyond what rounding can
+do, so no row is lost, nor a tie.  The queries stream past each block's
+tree, and the k best of the blocks are merged.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ import heapq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from aerocast.llm import common as c
-from aerocast.llm.ann import merged, paired, valid
+from aerocast.llm.ann import blocked, merged, streamed, valid
 
 FANOUT, LEAF = 16, 256
 
@@ -80,7 +82,8 @@ class MTree:
         start = np.flatnonzero(np.append(True, np.diff(code[order]) != 0))
         v = v[order[start]]
         self.v, self.ids = v, np.split(ids[order], start[1:])   # ids of each distinct vector, ascending
-        norm2 = np.einsum("ij,ij->i", v, v)
+        norm2 = np.einsum("ij,ij->i", v.astype(float), v.astype(float))
+        self.big = int(np.abs(v).max(initial=0))
         self.top = float(norm2.max())
         self.x = np.column_stack([v, np.sqrt(self.top - norm2)])
         self.root = build(self.x, np.arange(len(v)), np.zeros(len(v)), np.random.default_rng(0))
@@ -90,7 +93,11 @@ class MTree:
         """The k best (score, id) of integer vector q, best first, ties to
         the smaller id; the row whose id is ``skip`` left out."""
         qx = np.append(q, 0).astype(float)
-        base = float(q @ q) + self.top
+        base = float(np.sum(q.astype(float) ** 2)) + self.top
+        room = 1 + base * 2.0 ** -40            # more than the distances' rounding
+        largest = len(q) * int(np.abs(q).max(initial=0)) * self.big
+        if largest >= 1 << 63:
+            raise ValueError("vector components are too large for 64-bit scores")
         best: list[tuple[int, int]] = []        # heap of (score, -id): the worst on top
         limit = np.inf                          # distance beyond which nothing is needed
         queue = [(0.0, 0, self.root, None)]     # least distance, number, page, distance to its routing object
@@ -110,7 +117,7 @@ class MTree:
                     radius = radius if radius is None else radius[rows]
             self.computed += len(at)
             if radius is None:
-                score = x @ qx                  # integers below 2**53: exact as doubles
+                score = x @ qx if largest < 1 << 53 else self.v[at] @ q
                 if len(best) == k:
                     good = np.flatnonzero(score >= best[0][0])
                     at, score = at[good], score[good]
@@ -128,7 +135,7 @@ class MTree:
                         else:
                             break               # the other ids are larger
                 if len(best) == k:
-                    limit = np.sqrt(max(0.0, base - 2 * best[0][0] + 1))
+                    limit = np.sqrt(max(0.0, base - 2 * best[0][0] + room))
             else:
                 d = _dist(x, qx)
                 near = np.maximum(d - radius, 0)
@@ -139,19 +146,10 @@ class MTree:
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
 
-def _search(k: int):
-    def run(rows: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(rows) and len(qs):
-            for dim, part in rows.groupby(rows["v"].map(len)):
-                q = qs[qs["v"].map(len) == dim]
-                if not len(q):
-                    continue
-                tree = MTree(np.array(part["v"].tolist(), np.int64), part["vec_id"].to_numpy())
-                for qid, v in zip(q["vec_id"].tolist(), q["v"]):
-                    out += [(qid, i, s) for s, i in tree.search(np.array(v, np.int64), k, qid)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-    return run
+def _answer(k: int):
+    def answer(tree: MTree, qids: np.ndarray, q: np.ndarray) -> list[tuple]:
+        return [(qid, i, s) for qid, v in zip(qids.tolist(), q) for s, i in tree.search(v, k, qid)]
+    return answer
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
@@ -162,13 +160,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     Vectors that are null, empty or hold nulls or non-finite values and rows
     with a null id take no part; vectors of another length than the query's
     are not compared; fewer than k rows give what there is; a repeated row
-    counts as often as it occurs; components must stay below 2**26 after
-    scaling; other columns are ignored; empty tables give an empty result."""
+    counts as often as it occurs, but a query id asks once, with the smallest
+    of its vectors; scores must stay below 2**63 (larger components raise);
+    other columns are ignored; empty tables give an empty result."""
     c.prepare(vectors.sparkSession)
 
     def usable(df):
         return (df.where(F.col(id_col).isNotNull() & valid(vector_col))
                 .select(F.col(id_col).cast("long").alias("vec_id"),
                         F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale)).alias("v")))
-    found = paired(usable(vectors), usable(queries)).applyInPandas(_search(k), "query_id long, vec_id long, score long")
+    found = blocked(usable(vectors), usable(queries)).mapInArrow(
+        streamed(lambda ids, x: MTree(x, ids), _answer(k), np.int64, pa.schema([(n, pa.int64()) for n in ("query_id", "vec_id", "score")])),
+        "query_id long, vec_id long, score long")
     return merged(found, k, "score")

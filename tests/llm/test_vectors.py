@@ -99,3 +99,40 @@ def test_quantisation_bounds_hold():
     est = (a @ b.T).astype(float) * sa[:, None] * sb[None]
     err = ea[:, None] + eb[None] * (1 + ea[:, None])
     assert (np.abs(u @ v.T - est) <= err + 1e-9).all() and err.max() < 0.05
+
+
+def test_a_repeated_query_id_asks_once(vectors):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(rng.normal(size=(60, 4)).astype(np.float32))]
+    df = vectors(rows + [rows[10], (10, rows[11][1]), rows[20]])
+    for found in (ann.nearest(df, df.where("vec_id % 10 = 0")), mtree.top_k(df, df.where("vec_id % 10 = 0"))):
+        got = found.collect()
+        assert sorted((r.query_id, r.rank) for r in got) == [(q, k) for q in range(0, 60, 10) for k in range(1, 6)]
+        assert all(r.query_id != r.vec_id for r in got)
+
+
+def test_top_k_of_large_components_is_exact():
+    """Scores beyond 2**53 are summed as integers; beyond 2**63 it raises."""
+    rng = np.random.default_rng(6)
+    v = rng.integers(-2 ** 26, 2 ** 26, (400, 64))
+    tree = mtree.MTree(v, np.arange(400))
+    for q in v[:20]:
+        s = v @ q
+        assert tree.search(q, 5) == [(int(s[i]), int(i)) for i in np.lexsort((np.arange(400), -s))[:5]]
+    with np.testing.assert_raises(ValueError):
+        tree.search(v[0] << 20, 5)
+
+
+def test_many_dimensions_and_tiles(vectors, monkeypatch):
+    rng = np.random.default_rng(7)
+    u = rng.normal(size=(5, 1500))
+    assert ann.quantised(u)[0].dtype == float and ann.quantised(u[:, :900])[0].dtype == np.float32
+    monkeypatch.setattr(ann, "TILE", 16)
+    x = rng.normal(size=(300, 6))
+    x[50:90] = x[3]
+    ids = rng.permutation(300)
+    got = ann._answer(5)(ann._prepare(ids, x), ids[:40], x[:40])
+    cos = ann.cosines(np.repeat(x[:40], 300, axis=0), np.tile(x, (40, 1))).reshape(40, 300)
+    for q in range(40):
+        want = sorted((-cos[q, i], int(ids[i])) for i in range(300) if i != q)[:5]
+        assert sorted((-s, i) for a, i, s in got if a == ids[q]) == want
