@@ -129,14 +129,20 @@ def phone_at(text: str, i: int) -> int | None:
     return e if e > i + 3 else None
 
 
-def url_at(text: str, host: int) -> int | None:
-    """End of a URL whose authority, from ``host`` on, holds user:password@."""
-    e = host
+def run_end(text: str, at: int) -> int:
+    """Where the run of URL characters around ``at`` ends."""
+    e = at
     while e < len(text) and text[e] > " " and text[e] not in "\"<>'|":
         e += 1
-    authority = text[host:e].split("/", 1)[0]
-    user, at, server = authority.rpartition("@")
-    return e if at and ":" in user and server else None
+    return e
+
+
+def credentials(text: str, host: int, end: int) -> bool:
+    """Whether the authority from ``host`` on, up to a slash, holds
+    user:password@ and a server."""
+    slash = text.find("/", host, end)
+    user, at, server = text[host:end if slash < 0 else slash].rpartition("@")
+    return bool(at and ":" in user and server)
 
 
 def iban_ok(code: str) -> bool:
@@ -150,7 +156,7 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans by kind in code points, end exclusive, ordered by start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     done = dict.fromkeys(KINDS, 0)
-    chain = number = 0
+    chain = number = url_end = 0
     for last, (what, size) in automaton().iter(text):
         i = last - size + 1
         if what == "digit":
@@ -179,10 +185,11 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
                 if 8 <= sum(ch in DIGITS for ch in text[i:end]) <= 15:
                     found["phone"].append((i, end))
         elif what == "scheme":
-            end = url_at(text, last + 1) if i >= done["url"] else None
-            if end:
-                found["url"].append((i, end))
-                done["url"] = end
+            if last + 1 > url_end:                      # each run is followed once, however many schemes it holds
+                url_end = run_end(text, last + 1)
+            if i >= done["url"] and credentials(text, last + 1, url_end):
+                found["url"].append((i, url_end))
+                done["url"] = url_end
         elif i >= done["account"] and (i == 0 or text[i - 1] not in _ALNUM):
             m = _IDENTIFIER.match(text, last + 1)
             if m:
