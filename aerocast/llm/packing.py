@@ -23,6 +23,7 @@ from aerocast.llm import common as c
 from aerocast.llm.bytebpe import ids_for
 
 SHARD_PIECES = 1 << 15
+HELD_BYTES = 8 << 20        # of texts that a task encodes at once
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -73,14 +74,29 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
     return seqs, offsets
 
 
+def _merged(batches, size: int):
+    """Batches put together to about ``size`` bytes of text: the more texts
+    at once, the fewer pieces are encoded twice."""
+    held, n = [], 0
+    for b in c.slices(batches):
+        held.append(b)
+        n += c.column(b, "text").nbytes
+        if n >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _pieces(path: str, end_id: int, window: int):
     def run(batches):
         ids = ids_for(path)
-        tail = np.array([end_id], "<u4").tobytes()
-        for b in c.slices(batches):
+        end = np.array([end_id], "<u4")
+        for b in _merged(batches, HELD_BYTES):
+            flat, off = ids.encode_all(c.column(b, "text"))
             rows = []
-            for did, text in zip(c.column(b, "doc_id").to_pylist(), c.column(b, "text").to_pylist()):
-                x = memoryview(ids.encode(text or "") + tail)
+            for did, lo, hi in zip(c.column(b, "doc_id").to_pylist(), off[:-1].tolist(), off[1:].tolist()):
+                x = memoryview(np.concatenate([flat[lo:hi], end]).tobytes())
                 n = len(x) // 4
                 for s in range(0, n, window):
                     part = x[4 * s:4 * (s + window)]

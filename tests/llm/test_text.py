@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from aerocast.llm import bytebpe, packing, pii, wfst
@@ -77,6 +78,29 @@ def test_byte_bpe_ids(tokenizer_dir):
     assert [np.frombuffer(ids.encode(t), "<u4").tolist() for t in texts] == ids_by_library(path, texts)
 
 
+def test_ids_of_many_texts_at_once(tokenizer_dir):
+    """Cuts on the bytes of all texts together: each text's own ids, also
+    beside other white space, special tokens and nulls."""
+    path = f"{tokenizer_dir}/byte_bpe_50k.json"
+    rnd = random.Random(16)
+    parts = ["a", "the", " ", " ", "  ", "\n", "\u00a0", "\u2003", "\u0085", "\u3000", "é", "ß", "漢字", "<|endoftext|>", "don't", "7", " x "]
+    texts = [None, ""] + ["".join(rnd.choices(parts, k=rnd.randint(0, 30))) for _ in range(2000)] + [None, " ", "end "]
+    flat, off = bytebpe.ids_for(path).encode_all(pa.array(texts, pa.string()))
+    assert [flat[a:b].tolist() for a, b in zip(off, off[1:])] == ids_by_library(path, [t or "" for t in texts])
+    sliced = pa.array(texts, pa.string()).slice(100, 50)
+    flat, off = bytebpe.ids_for(path).encode_all(sliced)
+    assert [flat[a:b].tolist() for a, b in zip(off, off[1:])] == ids_by_library(path, sliced.to_pylist())
+
+
+def test_many_schemes_cost_no_more_than_their_length():
+    import time
+    text = "http://" * 60_000 + "user:pw@host"
+    t = time.time()
+    found = pii.spans(text)
+    assert time.time() - t < 20 and found["url"] == [(7 * 59_999, len(text))]
+    assert pii.spans("x http://u:p@h/a?b http://none/ ftp://a:b@c|d")["url"] == [(2, 18), (32, 43)]
+
+
 def test_best_fit_takes_the_tightest_window():
     rnd = random.Random(8)
     sizes = sorted((rnd.randint(1, 64) for _ in range(500)), reverse=True)
