@@ -43,8 +43,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_did(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(did, text): ids without nulls (NO_ID for a null id), texts as given."""
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("did"),
-                       F.col(text_col).cast("string").alias("text"))
+    return docs.select(did(id_col).alias("did"), F.col(text_col).cast("string").alias("text"))
+
+
+def did(id_col: str = "doc_id"):
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -168,6 +171,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             i = j
 
 
+def merged(batches: Iterator[pa.RecordBatch], size: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``size`` bytes of text: the more texts
+    at once, the fewer words are looked at twice."""
+    held, n = [], 0
+    for b in slices(batches, text):
+        held.append(b)
+        n += column(b, text).nbytes
+        if n >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

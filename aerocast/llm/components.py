@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from aerocast.llm.common import stored
+from aerocast.llm.common import discard, stored
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -31,5 +31,6 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
-        e = stored(small, name)
+        last, e = e, stored(small, name)
+        discard(last)
     return e.select(F.col("a").alias("id"), F.col("b").alias("comp")).union(e.select("b", "b").distinct())

@@ -35,7 +35,7 @@ LOCAL_SHINGLES = 1 << 22
 CELLS = 128                 # of a set's count sketch, one byte each
 SKETCHED = CELLS * 128      # larger sets have none and are always verified
 
-_DOC = "did long, sh long, n long, gid long, prefix array<long>, cells binary"
+_DOC = "did long, tag long, sh long, n long, gid long, prefix array<long>, cells binary"
 
 
 def shingle_sets(col: pa.Array, k: int, heavy: np.ndarray | None = None):
@@ -104,8 +104,8 @@ def _prefixes(k: int, num: int, den: int, heavy):
             fits = (n <= SKETCHED) & (cells.max(axis=1, initial=0) < 256)
             cells = pa.array([x.tobytes() if ok else None for x, ok in zip(cells.astype(np.uint8), fits)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [c.column(b, "did"), pa.array(c.i64(sh)), pa.array(n.astype(np.int64)), pa.array(c.i64(gid)), prefix, cells],
-                ["did", "sh", "n", "gid", "prefix", "cells"])
+                [c.column(b, "did"), c.column(b, "tag"), pa.array(c.i64(sh)), pa.array(n.astype(np.int64)), pa.array(c.i64(gid)), prefix, cells],
+                ["did", "tag", "sh", "n", "gid", "prefix", "cells"])
     return run
 
 
@@ -143,22 +143,10 @@ def _linked(k: int, num: int, den: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id.
-
-    Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased;
-    a set holds the distinct k-word shingles.  Two documents link when
-    den * |intersection| >= num * |union|; component_id is the smallest id
-    reachable.  Null and empty texts have no shingles and link with
-    nothing, equal sets link, a null id sorts after all ids (its
-    component_id is null only if no other id is reachable), repeated rows
-    are repeated in the result, an empty table gives an empty result, and
-    other columns of ``docs`` are ignored.
-    """
-    spark = docs.sparkSession
-    c.prepare(spark)
-    src = c.with_did(docs, id_col, text_col)
+def _resolved(src: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """src: did, tag, text.  (did, tag, sh, n) of every row, and (sh, did, c)
+    of every distinct set: its smallest id and its component."""
+    spark = src.sparkSession
     heavy = [r.h for r in src.mapInArrow(_frequent(k), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
              .where("c >= 8").orderBy(F.desc("c"), "h").limit(HEAVY_ROWS).select("h").toLocalIterator()]
     heavy = spark.sparkContext.broadcast(np.sort(np.array(heavy, np.int64).view(np.uint64)))
@@ -173,7 +161,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
              .select("gid", "n", F.posexplode("prefix").alias("i", "key")))
     shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "jaccard-shared")
     posts = posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key").dropDuplicates(["key", "gid"])
-    posts = c.stored(posts, "jaccard-shared-posts")
+    posts = raw_posts = c.stored(posts, "jaccard-shared-posts")
+    rows = c.stored(d.select("did", "tag", "sh", "n"), "jaccard-rows")
+    c.discard(d, spare, shared)                 # prefixes and sketches of all rows are not needed any more
     # open: beside the star's pairs of representatives there are others
     posts = posts.join(groups.select("gid", "members"), "gid")
     posts = posts.join(posts.groupBy("key").agg(F.count("*").alias("k"), F.max("members").alias("most")).where("k > 1"), "key")
@@ -182,6 +172,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     posts = posts.join(posts.groupBy("gid").agg(F.count("*").alias("s")), "gid")
     posts = c.stored(posts.join(posts.groupBy("key").agg(F.max(F.struct("s", "gid"))["gid"].alias("pivot")), "key").drop("s"),
                      "jaccard-posts")
+    c.discard(raw_posts)
 
     def sized(x: str, y: str):
         """Whether different sets of these sizes can link: the smaller inside
@@ -210,10 +201,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
                          .mapInArrow(_possible(num, den), "sa long, sb long, da long, db long"), name)
         need = pairs.select(F.col("da").alias("did")).union(pairs.select("db")).distinct()
         texts = c.semi_by(src, need, ["did"])
-        return c.stored(
+        out = c.stored(
             pairs.join(texts.select(F.col("did").alias("da"), F.col("text").alias("ta")), "da")
             .join(texts.select(F.col("did").alias("db"), F.col("text").alias("tb")), "db")
             .select("sa", "sb", "ta", "tb").mapInArrow(_linked(k, num, den), "sa long, sb long"), name + "-links")
+        c.discard(pairs)
+        return out
 
     links = verified(star.union(inner), "jaccard-star")
     comp = components(links.toDF("a", "b"), "jaccard-cc")
@@ -224,6 +217,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     post = posts.where("open").join(gcomp, "gid").select("key", "gid", "n", "i", "comp")
     mixed = post.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     post = c.stored(post.join(mixed, "key", "left_semi"), "jaccard-mixed")
+    c.discard(posts)
     # pairs of components of a key, as far as their sizes and places allow
     kc = post.groupBy("key", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - i")).alias("left"),
                                            F.count("*").alias("many"))
@@ -245,8 +239,55 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
                        .union(more), "jaccard-cc2")
     where = (member.join(final, member.sh == final.id, "left")
              .select("sh", "did", F.coalesce(final.comp, "sh").alias("c")))
+    c.discard(post)
+    heavy.destroy()
+    return rows, where
+
+
+def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id.
+
+    Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased;
+    a set holds the distinct k-word shingles.  Two documents link when
+    den * |intersection| >= num * |union|; component_id is the smallest id
+    reachable.  Null and empty texts have no shingles and link with
+    nothing, equal sets link, a null id sorts after all ids (its
+    component_id is null only if no other id is reachable), repeated rows
+    are repeated in the result, an empty table gives an empty result, and
+    other columns of ``docs`` are ignored.
+    """
+    c.prepare(docs.sparkSession)
+    rows, where = _resolved(c.with_did(docs, id_col, text_col).withColumn("tag", F.lit(0).cast("long")), k, num, den)
     ids = where.groupBy("c").agg(F.min("did").alias("component_id"))
-    out = d.join(where.select("sh", "c"), "sh", "left").join(ids, "c", "left")
+    out = rows.join(where.select("sh", "c"), "sh", "left").join(ids, "c", "left")
     null_id = lambda x: F.when(x != c.NO_ID, x)
     return out.select(null_id(F.col("did")).alias("doc_id"), F.col("n").alias("n_shingles"),
                       null_id(F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), "did")).alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component: that of the smallest id (a null
+    id comes last; of one id's texts that of the smallest set hash).
+
+    Rows, not ids, stay or go: a text of its own stays, also if its id
+    stands on a copied text as well, and a copy goes, also with a null id.
+    Of rows that repeat id and text one stays.  Texts without words are
+    linked with nothing; of these too, equal ones of one id are one row.
+    An empty table gives an empty result."""
+    c.prepare(docs.sparkSession)
+    key = docs.withColumns({"_did": c.did(id_col), "_tag": F.xxhash64(text_col)})
+    src = key.select(F.col("_did").alias("did"), F.col("_tag").alias("tag"), F.col(text_col).cast("string").alias("text"))
+    rows, where = _resolved(src, k, num, den)
+    comp = rows.where("n > 0").join(where.select("sh", "c"), "sh")
+    first = comp.groupBy("c").agg(F.min(F.struct("did", "sh", "tag")).alias("first"))
+    gone = comp.join(first, "c").where("did <> first.did or sh <> first.sh or tag <> first.tag").select(
+        F.col("did").alias("_did"), F.col("tag").alias("_tag")).distinct()
+    gone = c.stored(gone, "jaccard-gone")
+    again = c.stored(rows.groupBy(F.col("did").alias("_did"), F.col("tag").alias("_tag")).count().where("count > 1").select("_did", "_tag")
+                     .join(gone, ["_did", "_tag"], "left_anti"), "jaccard-repeated")
+    on = ["_did", "_tag"]
+    left = c.semi_by(key, gone, on, "left_anti")
+    one = c.semi_by(left, again, on).dropDuplicates(on)
+    return c.semi_by(left, again, on, "left_anti").union(one).select(*docs.columns)
