@@ -1082,3 +1082,34 @@ UNION ALL SELECT section, name, round(value, 9) FROM met""")
 
 EXTRA["delay_classifier"] = _classifier(REG)
 EXTRA["departure_classifier"] = _classifier(DEP)
+
+
+# ---- raw batches to facts, and the two raw sources ----------------------------------
+
+def _staged_versions() -> str:
+    """The four staged inputs in the fact's input schema."""
+    ctes, union = [], []
+    for feed, parity, rank in (("api", 0, 2), ("pq", 1, 1)):
+        for direction in ("arrival", "departure"):
+            name = f"{feed}_{direction}"
+            ctes.append(f"{name} AS ({_stg_flights(direction, f'o.o_orderkey % 2 = {parity}')})")
+            dep, arr = ("departure_airport_iata", "airport_code") if direction == "arrival" else ("airport_code", "arrival_airport_iata")
+            union.append(f"""SELECT flight_number, call_sign, flight_status, is_cargo, direction AS flight_direction, airline_iata, airline_icao,
+    aircraft_model, aircraft_registration, {dep} AS airport_departure_iata, {arr} AS airport_arrival_iata,
+    scheduled_departure_utc, revised_departure_utc AS actual_departure_utc, scheduled_arrival_utc, revised_arrival_utc AS actual_arrival_utc,
+    {rank} AS source_rank, loaded_at FROM {name}""")
+    return ",\n".join(ctes) + ",\nflight_versions AS (" + "\nUNION ALL ".join(union) + ")"
+
+
+EXTRA["fact_flights_from_raw"] = ("WITH " + _staged_versions() + FACT_FLIGHTS[len(FLIGHT_VERSIONS):]
+                                  + f"\nSELECT {FACT_FLIGHT_COLUMNS} FROM fact_flights")
+
+EXTRA["raw_source_variant"] = """
+WITH e AS (
+  SELECT ['HKT', 'BKK', 'DMK'][o_custkey % 3 + 1] AS airport_code, CASE WHEN l_partkey % 2 = 0 THEN 'arrivals' ELSE 'departures' END AS board,
+    concat_ws('|', 'L' || l_partkey, 'C' || l_orderkey || '-' || l_linenumber, l_returnflag, 'S' || (l_suppkey % 10),
+              CASE WHEN l_quantity > 25 THEN 'true' ELSE 'false' END) AS x
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE o_orderkey % 10 <> 0 AND NOT (o_orderkey % 10 = 1 AND l_partkey % 2 = 0))
+SELECT target, airport_code, board, count(*) AS flights, bit_xor(CAST('0x' || substr(md5(x), 1, 15) AS BIGINT)) AS content
+FROM e, (VALUES ('ci'), ('dev')) t(target) GROUP BY ALL"""

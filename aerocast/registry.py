@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aerocast.plans import analogues as an
-from aerocast.plans.core import build_fact_flights, build_fact_weather
+from aerocast.plans.core import SOURCE_RANK, build_fact_flights, build_fact_weather, to_flight_schema
 from aerocast.plans.marts import (
     build_weather_flight_impact, build_weather_impact_summary, delay_distribution,
 )
@@ -65,6 +65,17 @@ def q_fact_flights(spark, sf_dir):
     return fact_flights(spark, sf_dir)
 
 
+@query("fact_flights_from_raw")
+def q_fact_flights_from_raw(spark, sf_dir):
+    """Raw board batches of the API table and the history
+    file → staged arrivals and departures → role mapping → the flight fact,
+    all columns."""
+    b = an.fids_batches_with_order(spark, sf_dir)
+    api, hist = b.filter(F.col("_ok") % 2 == 0).drop("_ok"), b.filter(F.col("_ok") % 2 == 1).drop("_ok")
+    return build_fact_flights([to_flight_schema(stage_flights(raw, direction), direction, SOURCE_RANK[feed])
+                               for raw, feed in ((api, "api"), (hist, "parquet")) for direction in ("arrival", "departure")])
+
+
 @query("fact_weather")
 def q_fact_weather(spark, sf_dir):
     """API + history hours → dedupe → categories and flags."""
@@ -478,6 +489,29 @@ def q_landing_replay(spark, sf_dir):
     return _batch_keys(spark.read.parquet(raw))
 
 
+@query("raw_source_variant")
+def q_raw_source_variant(spark, sf_dir):
+    """Board batches as a seed CSV and as a raw table whose
+    nested payload was serialised on load; both targets of the source switch,
+    the payload as a VARIANT; flights and their content's hash."""
+    from aerocast.sources.files import raw_flight_source
+    base = scratch_path(spark, "variant")
+    b = an.fids_batches(spark, sf_dir)
+    b.withColumn("extracted_at", F.date_format("extracted_at", "yyyy-MM-dd HH:mm:ss")).write.option("header", True).option("escape", '"').csv(f"{base}/seed.csv")
+    flight = "array<struct<number:string,callSign:string,status:string,isCargo:boolean,airline:struct<iata:string>>>"
+    load_to_raw(b.withColumn("payload", F.from_json("payload", f"arrivals {flight}, departures {flight}")), f"{base}/raw")
+    out = []
+    for target in ("ci", "dev"):
+        raw = raw_flight_source(spark, target, f"{base}/raw", f"{base}/seed.csv").withColumn("v", F.parse_json("payload"))
+        for board in ("arrivals", "departures"):
+            e = raw.select("airport_code", F.explode(F.variant_get("v", f"$.{board}", "array<variant>")).alias("f"))
+            text = F.concat_ws("|", *(F.variant_get("f", path, "string") for path in ("$.number", "$.callSign", "$.status", "$.airline.iata", "$.isCargo")))
+            out.append(e.groupBy("airport_code").agg(F.count(F.lit(1)).alias("flights"),
+                                                     F.bit_xor(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")).alias("content"))
+                       .select(F.lit(target).alias("target"), "airport_code", F.lit(board).alias("board"), "flights", "content"))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query("lakehouse_hkt_arrivals")
 def q_lakehouse_arrivals(spark, sf_dir):
     """Batches appended to the partitioned lakehouse table, read
