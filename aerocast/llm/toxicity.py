@@ -35,6 +35,7 @@ LANDMARKS = 600
 COST, NEG_COST = 3000.0, 3.0   # of the SVM's hinge, per class; of clean units against toxic ones
 DECAY, SPAN = 0.7, 5
 BUCKETS = 1 << 18
+FIT_BLOCK = 1000        # units whose features the fit holds in full precision
 SEEN = 0.004            # share of the toxic sample that has a unit, to count as positive
 PIECE, STEP = 32, 24    # a longer word is scored in overlapping pieces
 
@@ -73,7 +74,8 @@ def units(col: pa.Array):
 
 
 def subsequences(data: np.ndarray, s: np.ndarray, e: np.ndarray):
-    """(bucket, unit, weight) of all gapped triples, and the units' norms."""
+    """(bucket, unit, weight) of all gapped triples, and the units' norms: a
+    triple that stands in a unit several times is one dimension."""
     n = e - s + 2
     end = np.cumsum(n)
     first = end - n
@@ -84,7 +86,6 @@ def subsequences(data: np.ndarray, s: np.ndarray, e: np.ndarray):
     code[inner] = data[(s[unit] + at - 1)[inner]]
     code[at == 0], code[at == n[unit] - 1] = 1, 2
     left = n[unit] - at
-    square = np.zeros(len(n))
     parts = []
     for b in range(2, SPAN):
         ok = np.flatnonzero(left > b)
@@ -94,8 +95,29 @@ def subsequences(data: np.ndarray, s: np.ndarray, e: np.ndarray):
                 x = code[ok] * np.uint32(0x01000193) ^ code[ok + a] * np.uint32(0x9E3779B1) ^ code[ok + b] * np.uint32(0x85EBCA77)
                 x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
             parts.append(((x >> np.uint32(14)).astype(np.int32), unit[ok], w))
-            square += np.maximum(n - b, 0) * w * w
-    return parts, np.sqrt(np.maximum(square, 1e-12))
+    return parts, _norms(parts, len(n))
+
+
+def _norms(parts, units: int) -> np.ndarray:
+    """Square roots of the sums of squares over the buckets of each unit."""
+    weights = np.array(sorted({w for _, _, w in parts}))
+    key = np.sort(np.concatenate([((u.astype(np.int64) << 18) | x) << 3 | int(np.searchsorted(weights, w)) for x, u, w in parts]))
+    out = np.zeros(units)
+    if len(key):
+        dim = key >> 3
+        at = np.flatnonzero(np.append(True, dim[1:] != dim[:-1]))
+        total = np.add.reduceat(weights[key & 7], at)
+        out = np.bincount(dim[at] >> 18, weights=total * total, minlength=units)
+    return np.sqrt(np.maximum(out, 1e-12))
+
+
+def kernel(u: bytes, v: bytes) -> float:
+    """K(u, v) of two units, by the feature map."""
+    parts, norm = _matrix([u, v])
+    sides = np.zeros((2, BUCKETS))
+    for x, unit, w in parts:
+        np.add.at(sides, (unit, x), w)
+    return float(sides[0] @ sides[1] / (norm[0] * norm[1]))
 
 
 def unit_scores(table: np.ndarray, data, s, e) -> np.ndarray:
@@ -106,14 +128,37 @@ def unit_scores(table: np.ndarray, data, s, e) -> np.ndarray:
     return total / norm
 
 
-def strongest(table: np.ndarray, col: pa.Array):
+KNOWN = 50_000          # units of a generation whose score a task remembers
+
+
+class Scores:
+    """Scores of units by their hash, the recent ones remembered."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+        self.new: dict[int, float] = {}
+        self.old: dict[int, float] = {}
+
+    def of(self, h: np.ndarray, data, s, e) -> np.ndarray:
+        new, old = self.new, self.old
+        out = np.array([new.get(x) or old.get(x) or np.nan for x in h.tolist()])
+        todo = np.flatnonzero(np.isnan(out))
+        if len(todo):
+            out[todo] = unit_scores(self.table, data, s[todo], e[todo])
+        new.update(zip(h.tolist(), out.tolist()))
+        if len(new) > KNOWN:
+            self.new, self.old = {}, new
+        return out
+
+
+def strongest(scores: Scores, col: pa.Array):
     """Per text the highest unit score (-inf without units), and that
     unit's bytes."""
     data, s, e, doc = units(col)
     best, what = np.full(len(col), -np.inf), [b""] * len(col)
     if len(s):
-        _, at, back = np.unique(c.word_hashes(data, s, e), return_index=True, return_inverse=True)
-        sc = unit_scores(table, data, s[at], e[at])[back]
+        h, at, back = np.unique(c.word_hashes(data, s, e), return_index=True, return_inverse=True)
+        sc = scores.of(h, data, s[at], e[at])[back]
         order = np.lexsort((sc, doc))
         last = np.flatnonzero(np.append(doc[order][1:] != doc[order][:-1], True))
         for i in order[last]:
@@ -177,15 +222,24 @@ def _svm(pos: list[bytes], neg: list[bytes]) -> np.ndarray:
     keep = lam > 1e-5 * lam.max()
     half = vec[:, keep] / np.sqrt(lam[keep])
     words = pos + neg
-    x = np.column_stack([_against(words, row_of, dense) @ half, np.ones(len(words))])
     y = np.array([1.0] * len(pos) + [-1.0] * len(neg))
     cost = np.where(y > 0, COST / len(pos), COST * NEG_COST / len(neg))
-    v, reg = np.zeros(x.shape[1]), np.eye(x.shape[1])
+    k = half.shape[1] + 1
+    x = np.ones((len(words), k), np.float32)            # the only table of all units
+    blocks = [slice(i, i + FIT_BLOCK) for i in range(0, len(words), FIT_BLOCK)]
+    for b in blocks:
+        x[b, :-1] = _against(words[b], row_of, dense) @ half
+    v, reg = np.zeros(k), np.eye(k)
     reg[-1, -1] = 1e-3
     for _ in range(12):
-        act = y * (x @ v) < 1
-        xa = x[act] * cost[act][:, None]
-        new = np.linalg.solve(reg + xa.T @ x[act], xa.T @ y[act])
+        gram, right = reg.copy(), np.zeros(k)
+        for b in blocks:                                # Gram matrix of the active units
+            xb = x[b].astype(float)
+            act = y[b] * (xb @ v) < 1
+            xa = xb[act] * cost[b][act][:, None]
+            gram += xa.T @ xb[act]
+            right += xa.T @ y[b][act]
+        new = np.linalg.solve(gram, right)
         done = np.abs(new - v).max() < 1e-6
         v = new
         if done:
@@ -256,10 +310,13 @@ def _best(spark, rows: DataFrame, table: np.ndarray):
     tb = spark.sparkContext.broadcast(table)
 
     def run(batches):
+        scores = Scores(tb.value)
         for b in c.slices(batches):
-            s, w = strongest(tb.value, c.column(b, "text"))
+            s, w = strongest(scores, c.column(b, "text"))
             yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(w, pa.binary()), c.column(b, "y")], ["s", "w", "y"])
-    return [(r.s, bytes(r.w), r.y) for r in rows.mapInArrow(run, "s double, w binary, y int").collect()]
+    out = [(r.s, bytes(r.w), r.y) for r in rows.mapInArrow(run, "s double, w binary, y int").collect()]
+    tb.destroy()
+    return out
 
 
 def score(docs: DataFrame, model) -> DataFrame:
@@ -270,15 +327,17 @@ def score(docs: DataFrame, model) -> DataFrame:
     than ``text`` are never inputs."""
     spark = docs.sparkSession
     c.prepare(spark)
-    model = model or (np.zeros(BUCKETS, np.float32), 0.0, -35.0)
-    mb = spark.sparkContext.broadcast(model)
     rest = [x for x in docs.columns if x != "toxicity_score"]
+    src = docs.select(*rest)
+    if model is None:
+        return src.withColumn("toxicity_score", F.lit(0.0))
+    mb = spark.sparkContext.broadcast(model)
 
     def run(batches):
         table, a, b0 = mb.value
+        scores = Scores(table)
         for b in c.slices(batches):
-            s, _ = strongest(table, c.column(b, "text"))
+            s, _ = strongest(scores, c.column(b, "text"))
             out = np.where(np.isfinite(s), sigmoid(a * np.where(np.isfinite(s), s, 0) + b0), 0.0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], [*b.schema.names, "toxicity_score"])
-    src = docs.select(*rest)
     return src.mapInArrow(run, src.withColumn("toxicity_score", F.lit(0.0)).schema)

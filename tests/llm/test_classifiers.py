@@ -38,7 +38,7 @@ def test_no_labels_no_model(spark, frame):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = frame([(1, "a b"), (2, None)])
     assert toxicity.train(rows, none) is None and quality.train(rows, none) is None
-    assert {r.toxicity_score for r in toxicity.score(rows, None).collect()} <= {0.0} | {r.toxicity_score for r in toxicity.score(rows, None).collect()}
+    assert [r.toxicity_score for r in toxicity.score(rows, None).collect()] == [0.0, 0.0]
     assert {r.quality_score for r in quality.score(rows, None).collect()} == {0.5}
     assert toxicity.score(frame([]), None).count() == 0 and quality.score(frame([]), None).count() == 0
 
@@ -59,3 +59,38 @@ def test_quality_by_compression(spark, frame):
 def test_cover_leaves_out_what_copies_share():
     having = {b"insult": {1, 2, 3, 4, 5, 6}, b"copied": {1, 2, 3}, b"other": {7, 8, 9}, b"rare": {9}}
     assert toxicity.cover(having, 2) == [b"insult", b"other"]
+
+
+def kernel_brute(u: bytes, v: bytes) -> float:
+    """Gapped triples within a span, from the definition."""
+    def phi(w):
+        w = b"\1" + w + b"\2"
+        out = {}
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
+                    t = (w[i], w[j], w[k])
+                    out[t] = out.get(t, 0) + toxicity.DECAY ** (k - i + 1)
+        return out
+    a, b = phi(u), phi(v)
+    dot = lambda x, y: sum(n * y.get(t, 0) for t, n in x.items())
+    return dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5
+
+
+def test_kernel_is_the_stated_one():
+    words = [b"idiot", b"banana", b"aaaaaa", b"idiiot", b"id-iot", b"numbskull", b"re", b"x"]
+    for u in words:
+        assert abs(toxicity.kernel(u, u) - 1) < 1e-9
+        for v in words:
+            assert abs(toxicity.kernel(u, v) - kernel_brute(u, v)) < 0.02        # 2**18 buckets: rarely, two triples share one
+    assert toxicity.kernel(b"idiot", b"idiiot") < 1
+
+
+def test_remembered_scores_are_the_same():
+    import numpy as np
+    import pyarrow as pa
+    table = np.random.default_rng(0).normal(size=toxicity.BUCKETS).astype(np.float32)
+    col = pa.array(["one two three", "two two one!", None, "", "t w o three"])
+    memory = toxicity.Scores(table)
+    first, again, fresh = (toxicity.strongest(m, col) for m in (memory, memory, toxicity.Scores(table)))
+    assert np.array_equal(first[0], again[0]) and np.array_equal(first[0], fresh[0]) and first[1] == again[1]
