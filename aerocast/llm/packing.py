@@ -74,25 +74,11 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
     return seqs, offsets
 
 
-def _merged(batches, size: int):
-    """Batches put together to about ``size`` bytes of text: the more texts
-    at once, the fewer pieces are encoded twice."""
-    held, n = [], 0
-    for b in c.slices(batches):
-        held.append(b)
-        n += c.column(b, "text").nbytes
-        if n >= size:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, n = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _pieces(path: str, end_id: int, window: int):
     def run(batches):
         ids = ids_for(path)
         end = np.array([end_id], "<u4")
-        for b in _merged(batches, HELD_BYTES):
+        for b in c.merged(batches, HELD_BYTES):
             flat, off = ids.encode_all(c.column(b, "text"))
             rows = []
             for did, lo, hi in zip(c.column(b, "doc_id").to_pylist(), off[:-1].tolist(), off[1:].tolist()):

@@ -1,24 +1,29 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-The model file is compiled into three machines that are composed with each
-input:
-
-- the normaliser: spaces become the piece mark, one of which is put before
-  the text;
-- the pieces: a trie with an arc from every place of the input to every
-  place that a piece from there reaches, or, for a character without a
-  piece, to its end by its byte pieces;
-- the adjacency acceptor: an arc from piece u to piece v weighs 0 if the
-  merges of the model turn the characters of u and v into just u and v,
-  else infinity.
+The model file is compiled into three machines:
+
+- the normaliser, a transducer of one state: an arc per character, which
+  copies it or, for the space, writes the piece mark; its start writes one
+  mark more;
+- the pieces, a transducer whose paths are the characters of a piece (a
+  trie) and whose ends write its id; a character without a piece has an arc
+  of its own that writes its byte pieces (byte fallback);
+- the neighbours, a weighted acceptor whose states are pieces: the arc from
+  u to v weighs 0 if the merges of the model turn the characters of u and v
+  into just u and v, else infinity.  Its arcs are made when they are asked.
+
+Composed with an input they form a graph without cycles, whose states are
+(place, last piece).  Its shortest path in the tropical semiring, where
+weights along a path are added and the least of two paths is taken, is found
+by relaxing arcs best first.
 
 For a merge (BPE) model a sequence of pieces is the encoding exactly if all
-neighbours are compatible, so the shortest path in the tropical semiring,
-the only one of finite weight, is the encoding.  (Scores of pieces
-alone, added up along a path, would give another segmentation than the
-model's merges.)  No piece has its mark behind another character, so a text
-can be cut before each run of marks; the paths of such words are kept in a
-bounded cache.
+neighbours are compatible, so the shortest path, the only one of finite
+weight, is the encoding.  (Scores of pieces alone, added up along a path,
+would give another segmentation than the model's merges.)  No piece has its
+mark behind another character, so a text can be cut before each run of
+marks; the words of many texts are cut on their bytes, equal ones are
+encoded once, and numpy puts their ids back in the texts' order.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from aerocast.llm import common as c
 MARK = "▁"
 MAX_WORDS, MAX_ARCS = 300_000, 200_000      # cached words of a generation, cached arcs
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+HELD_BYTES = 8 << 20        # of texts that a task encodes at once
+INFINITE = float("inf")
 NORMAL, BYTE, BPE = 1, 6, 2        # piece types and the model type of the file format
 
 
@@ -89,12 +96,17 @@ class Transducer:
         if trainer.get(3, 1) != BPE or not trainer.get(35) or normal.get(2) or normal.get(4, 1) or not normal.get(3, 1):
             raise ValueError("supported: BPE models with byte fallback, identity normaliser, dummy prefix, spaces kept")
         self.score = score
+        self.normaliser = {ord(" "): MARK}              # all other characters are copied
+        self.start = MARK
         self.trie: dict = {}
-        for text, k in self.id.items():
+        for text in self.id:
             node = self.trie
             for ch in text:
                 node = node.setdefault(ch, {})
             node[""] = text
+        self.size = np.array([len(x) for x in self.out], np.int64)          # bytes that an id stands for
+        self.first = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(self.out), np.uint8)
         self.known: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, tuple[str, str] | None] = {}
         self.cache: dict[str, bytes] = {}      # of two generations: what is used again stays
@@ -143,46 +155,60 @@ class Transducer:
                 limit, u = a, self.split(u)[1]
         return True
 
+    def weight(self, u: str, v: str) -> float:
+        """Of the neighbours' arc from u to v, in the tropical semiring."""
+        ok = self.known.get((u, v))
+        if ok is None:
+            ok = self.arc(u, v)
+            if len(self.known) < MAX_ARCS:
+                self.known[u, v] = ok
+        return 0.0 if ok else INFINITE
+
+    def pieces_at(self, word: str, i: int) -> list[str]:
+        """Arcs of the pieces' machine that leave place i of a word: longest
+        first, the fallback of a character without a piece last."""
+        out, node, j = [], self.trie.get(word[i]), i + 1
+        if node is None or "" not in node:
+            out.append(word[i])
+        while node is not None:
+            if "" in node:
+                out.append(node[""])
+            node = node.get(word[j]) if j < len(word) else None
+            j += 1
+        return out[::-1]
+
     def path(self, word: str) -> list[str]:
         """Pieces of the shortest path of a word in normal form.
 
-        Depth first, the longest piece first.  A place has one path of
-        finite weight at most, so one that could not be left is dead for
-        good, and each is left once."""
-        n, known, trie = len(word), self.known, self.trie
-        out, ends, dead = [""], [0], set()
-        choices: dict[int, list[str]] = {}
-        while ends[-1] < n:
-            i, u = ends[-1], out[-1]
-            cand = choices.get(i)
-            if cand is None:
-                cand, node, j = [], trie.get(word[i]), i + 1
-                if node is None or "" not in node:
-                    cand.append(word[i])
-                while node is not None:
-                    if "" in node:
-                        cand.append(node[""])
-                    node = node.get(word[j]) if j < n else None
-                    j += 1
-                choices[i] = cand
-            while cand:
-                v = cand.pop()
-                if i + len(v) in dead:
-                    continue
-                ok = known.get((u, v))
-                if ok is None:
-                    ok = self.arc(u, v)
-                    if len(known) < MAX_ARCS:
-                        known[u, v] = ok
-                if ok:
-                    out.append(v)
-                    ends.append(i + len(v))
-                    break
-            else:
-                dead.add(i)
-                out.pop()
-                ends.pop()
-        return out[1:]
+        Best first: of the states reached, that of the least distance goes
+        on, of equals the farthest in the word, and its arcs are relaxed one
+        by one, the longest piece first.  Distances are sums of 0 and
+        infinity, so a state reached at all is reached at distance 0, a
+        second arc to it is not shorter, and the queue is a stack."""
+        n = len(word)
+        reached = {(0, "")}
+        arcs: dict[int, list[str]] = {}
+        queue = [[0, "", 0]]                                    # place, piece, arcs relaxed so far
+        while queue:
+            state = queue[-1]
+            i, u, k = state
+            if i == n:
+                break
+            out = arcs.get(i)
+            if out is None:
+                out = arcs[i] = self.pieces_at(word, i)
+            if k == len(out):
+                queue.pop()
+                continue
+            state[2] = k + 1
+            v = out[k]
+            there = (i + len(v), v)
+            if there not in reached and self.weight(u, v) < INFINITE:
+                reached.add(there)
+                queue.append([*there, 0])
+        else:
+            raise ValueError(f"no path of finite weight for {word!r}")
+        return [v for _, v, _ in queue[1:]]
 
     def _ids(self, word: str) -> bytes:
         ids: list[int] = []
@@ -191,32 +217,78 @@ class Transducer:
             ids += [self.byte[x] for x in p.encode()] if k is None else [k]
         return np.array(ids, "<u4").tobytes()
 
+    def _of(self, part: str) -> bytes:
+        """Ids of a part of a text in normal form that begins with a mark."""
+        out = []
+        for w in _WORD.findall(part):
+            got = self.cache.get(w) or self.old.get(w)
+            if got is None:
+                got = self._ids(w)
+            if len(w) <= 64:
+                self.cache[w] = got
+            out.append(got)
+        return b"".join(out)
+
+    def encode_all(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one text after the other, as unsigned 32-bit
+        integers, and the n + 1 offsets; a null text counts as empty."""
+        data, off = c.text_bytes(col)
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(off), np.int64)
+        at = cuts(data, off)
+        parts = pa.LargeStringArray.from_buffers(
+            len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+        first = np.unique(np.searchsorted(at, off[:-1][off[1:] > off[:-1]]))        # parts that begin a text
+        words = parts.dictionary_encode()
+        which = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        which[first] = len(words.dictionary) + np.arange(len(first))
+        used = np.zeros(len(words.dictionary), bool)
+        used[which[which < len(used)]] = True
+        normal = lambda x: x.translate(self.normaliser)
+        ids = [self._of(normal(x)) if u else b"" for x, u in zip(words.dictionary.to_pylist(), used.tolist())]
+        ids += [self._of(self.start + normal(x)) for x in parts.take(pa.array(first)).to_pylist()]
+        if len(self.cache) > MAX_WORDS:                 # of two generations: what is used again stays
+            self.cache, self.old = {}, self.cache
+        size = np.array([len(x) for x in ids], np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        begin, many = np.cumsum(size) - size, size[which]
+        ends = np.cumsum(many)
+        take = np.arange(int(ends[-1])) + np.repeat(begin[which] - (ends - many), many)
+        return flat[take], np.append(0, ends)[np.searchsorted(at, off)]
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        words = _WORD.findall(MARK + text.replace(" ", MARK))
-        new, old = self.cache, self.old
-        get = new.get
-        out = [get(w) for w in words]
-        if None in out:
-            for i, x in enumerate(out):
-                if x is None:
-                    w = words[i]
-                    out[i] = x = get(w) or old.get(w) or self._ids(w)
-                    if len(w) <= 64:
-                        new[w] = x
-            if len(new) > MAX_WORDS:
-                self.cache, self.old = {}, new
-        return b"".join(out)
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def bytes_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes that the ids stand for, and where each id's end."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        take = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.first[ids] - (ends - size), size)
+        return self.bytes[take], ends
 
     def decode(self, ids: bytes) -> str:
         """Text of ids; bytes that are no UTF-8 become replacement marks."""
-        out = self.out
-        raw = b"".join([out[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        raw = self.bytes_of(np.frombuffer(ids, "<u4"))[0].tobytes()
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where words begin: at texts, and at spaces behind a character that is
+    neither space nor mark.  (A mark in the text may begin a word inside a
+    part; parts are cut again by their characters.)"""
+    n = len(data)
+    start = np.zeros(n + 1, bool)
+    start[offsets] = True
+    at = np.flatnonzero(data == 0x20)
+    at = at[at > 0]
+    at = at[data[at - 1] != 0x20]
+    mark = (data[at - 1] == 0x81) & (data[np.maximum(at - 2, 0)] == 0x96) & (data[np.maximum(at - 3, 0)] == 0xE2)
+    start[at[~mark]] = True
+    start[n] = False
+    return np.flatnonzero(start)
+
+
 _made: dict[str, Transducer] = {}
 
 
@@ -239,9 +311,10 @@ def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     def run(batches):
         t = transducer(model)
         for b in c.slices(batches, text_col):
-            ids = [None if x is None else np.frombuffer(t.encode(x), "<u4").astype(np.int32)
-                   for x in c.column(b, text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names, "piece_ids"])
+            col = c.column(b, text_col)
+            flat, off = t.encode_all(col)
+            ids = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.astype(np.int32)), mask=col.is_null())
+            yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, "piece_ids"])
     return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
 
 
@@ -271,13 +344,16 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         t = transducer(model)
-        for b in c.slices(batches):
-            rows = []
-            for x in c.column(b, "text").to_pylist():
-                x = x or ""
-                ids = t.encode(x)
-                rows.append((len(ids) // 4, zlib.crc32(ids), t.decode(ids) == x.replace(MARK, " ")))
-            yield pa.RecordBatch.from_arrays([c.column(b, "doc_id"), *[pa.array(v) for v in zip(*rows)]],
+        for b in c.merged(batches, HELD_BYTES):
+            texts = c.column(b, "text")
+            flat, off = t.encode_all(texts)
+            back, ends = t.bytes_of(flat)
+            back, at = back.tobytes(), np.append(0, ends)[off]
+            crc, same = [], []
+            for x, lo, hi, i, j in zip(texts.to_pylist(), off[:-1].tolist(), off[1:].tolist(), at[:-1].tolist(), at[1:].tolist()):
+                crc.append(zlib.crc32(flat[lo:hi].tobytes()))
+                same.append(back[i + (back[i:i + 1] == b" " and j > i):j] == (x or "").replace(MARK, " ").encode())
+            yield pa.RecordBatch.from_arrays([c.column(b, "doc_id"), pa.array(np.diff(off)), pa.array(crc, pa.int64()), pa.array(same)],
                                              ["doc_id", "n_ids", "ids_crc32", "round_trip"])
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
