@@ -1,7 +1,7 @@
 """Fuzzy line dedup.
 
-1. A line is normalised to its words (lower case, digits as 0, single
-   spaces).  Equal normalised lines are one distinct line.
+1. A line is normalised to its words (lower case, single spaces).  Equal
+   normalised lines are one distinct line.
 2. Each distinct line has a 64-bit SimHash of its distinct words.  Two lines are
    candidates within DISTANCE = 3 differing bits.  By the pigeonhole
    principle three of six blocks are then equal: twenty keys of about 32
@@ -13,6 +13,9 @@
 4. Connected lines form a group, of which the first occurrence (smallest
    id, then smallest line number) stays.
 
+What the two lines of a pair begin and end with alike is cut off before the
+distance is computed, which it does not change.
+
 Edit similarity is 1 - distance / length of the longer line, in characters;
 if that line has more than LONG characters, in words (each word stands as
 one of 20,000 symbols by its hash), so that a line of any length can be
@@ -34,9 +37,8 @@ from aerocast.llm.components import components
 DISTANCE = 3
 SIMILAR = 80            # per cent
 LONG = 1000
+POSTED_LINES = 1 << 16  # distinct lines whose keys one task makes
 _EDGES = (0, 11, 22, 33, 44, 54, 64)
-_ZERO = np.arange(256, dtype=np.uint8)
-_ZERO[49:58] = 48
 
 TAG_BITS = 22           # tells rows of one id with different texts apart
 _SHIFT = 40
@@ -55,30 +57,41 @@ def line_words(col: pa.Array):
     s, e, first = c.word_spans(data, off)
     nl = np.concatenate([[0], np.cumsum(data == 10)])
     doc = np.repeat(np.arange(len(off) - 1), np.diff(first))
-    return _ZERO[data], s, e, nl[s] - nl[off[:-1]][doc], doc
+    return data, s, e, nl[s] - nl[off[:-1]][doc], doc
+
+
+_LANES = np.array([[b >> (7 - k) & 1 for k in range(8)] for b in range(256)], np.uint8).view(np.uint64)[:, 0]   # a byte's bits, a byte each
+_WORD_BITS = 40
 
 
 def simhashes(wh: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """SimHash of the distinct words from each start to the next (a column
-    mark that is every other word counts once)."""
-    out = np.empty(len(starts), np.uint64)
-    of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(wh))))
-    order = np.lexsort((wh, of))
-    wh = wh[order]
-    keep = np.append(True, (wh[1:] != wh[:-1]) | (of[1:] != of[:-1]))
-    wh, of = wh[keep], of[keep]
-    starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-    ends = np.append(starts[1:], len(wh))
-    i = 0
-    while i < len(starts):                      # some 64 bits per word at a time
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + (1 << 16))))
-        part = c.mix(wh[starts[i]:ends[j - 1]] ^ np.uint64(0xA5A5F00D5EED1234))
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1)
-        at = starts[i:j] - starts[i]
-        total = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-        n = (ends[i:j] - starts[i:j])[:, None]
-        out[i:j] = np.packbits(2 * total > n, axis=1).view(np.uint64)[:, 0]
-        i = j
+    mark that is every other word counts once).
+
+    Words count by 40 bits of their hash, sorted beside their line's number.
+    Eight sums of one byte each are added in one integer, for up to 255
+    words at a time."""
+    out = np.zeros(len(starts), np.uint64)
+    for i in range(0, len(starts), 1 << 23):                   # lines whose number fits
+        some = starts[i:i + (1 << 23)]
+        end = starts[i + (1 << 23)] if i + (1 << 23) < len(starts) else len(wh)
+        of = np.repeat(np.arange(len(some), dtype=np.uint64), np.diff(np.append(some, end)))
+        key = np.sort(of << np.uint64(_WORD_BITS) | wh[some[0]:end] >> np.uint64(64 - _WORD_BITS))
+        key = key[np.append(True, key[1:] != key[:-1])]
+        of = (key >> np.uint64(_WORD_BITS)).astype(np.int64)
+        bits = c.mix((key & np.uint64((1 << _WORD_BITS) - 1)) ^ np.uint64(0xA5A5F00D5EED1234)).view(np.uint8).reshape(-1, 8)
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        n = np.diff(np.append(first, len(key)))
+        at = np.arange(len(key)) - np.repeat(first, n)
+        piece = np.flatnonzero(at % 255 == 0)                   # runs of at most 255 words of a line
+        line = of[piece]
+        edge = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+        sign = np.empty((len(first), 8), np.uint8)
+        for k in range(8):
+            sums = np.add.reduceat(_LANES[bits[:, k]], piece).view(np.uint8).reshape(-1, 8)
+            total = np.add.reduceat(sums.astype(np.int64), edge, axis=0) if len(edge) < len(piece) else sums.astype(np.int64)
+            sign[:, k] = np.packbits(2 * total > n[:, None], axis=1)[:, 0]
+        out[i:i + len(some)] = sign.view(np.uint64)[:, 0]
     return out
 
 
@@ -124,6 +137,32 @@ def _line_texts(batches):
             ["lk", "line", "chars", "symbols"])
 
 
+def unlike(x: str, y: str) -> tuple[str, str]:
+    """Both less their common beginning and their common end."""
+    n = min(len(x), len(y))
+    lo, hi = 0, n                               # by halves: x[:lo] == y[:lo]
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if x[lo:mid] == y[lo:mid] else (lo, mid - 1)
+    x, y, n = x[lo:], y[lo:], n - lo
+    tail, hi = 0, n
+    while tail < hi:
+        mid = (tail + hi + 1) // 2
+        tail, hi = (mid, hi) if x[len(x) - mid:] == y[len(y) - mid:] else (tail, mid - 1)
+    return (x[:len(x) - tail], y[:len(y) - tail])
+
+
+def _unlike(batches):
+    """Pairs of lines → what differs, and the distance that still links."""
+    for b in batches:
+        rows = []
+        for la, lb, ka, kb, xa, xb, ya, yb in zip(*(c.column(b, n).to_pylist() for n in ("la", "lb", "ka", "kb", "xa", "xb", "ya", "yb"))):
+            p, q = (xa, xb) if max(ka, kb) <= LONG else (ya, yb)
+            rows.append((la, lb, max(len(p), len(q)) * (100 - SIMILAR) // 100, *unlike(p, q)))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string()))],
+                                         ["la", "lb", "most", "p", "q"])
+
+
 def block_keys(sim: str = "sim"):
     """Twenty keys: each three of the six blocks with their number."""
     masks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(_EDGES, _EDGES[1:])]
@@ -141,13 +180,16 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
     at = F.struct("did", "pos")
     d = c.stored(occ.groupBy("lk").agg(F.min("sim").alias("sim"), F.min("len").alias("len"),
                                        F.count("*").alias("cnt"), F.min(at).alias("first")), "lines-distinct")
-    posts = d.select("lk", F.explode(block_keys()).alias("key"))
+    # twenty rows a line: dealt to tasks of bounded work before they are made
+    deal = max(d.sparkSession.sparkContext.defaultParallelism, -(-d.count() // POSTED_LINES))
+    posts = d.select("lk", "sim").repartition(deal, "lk").select("lk", F.explode(block_keys()).alias("key"))
     shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "lines-shared")
-    posts = c.stored(posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "lines-shared-posts")
+    posts = shared_posts = c.stored(posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "lines-shared-posts")
     # the pivot of a key is the line with most shared keys: the one that others are copies of
     posts = posts.join(posts.groupBy("lk").agg(F.count("*").alias("s")), "lk")
     posts = c.stored(posts.join(posts.groupBy("key").agg(F.max(F.struct("s", "lk"))["lk"].alias("pivot")), "key").drop("s"),
                      "lines-posts")
+    c.discard(shared, shared_posts)
     end = lambda p: d.select(F.col("lk").alias("l" + p), F.col("sim").alias("s" + p), F.col("len").alias("n" + p),
                              F.col("first.did").alias("d" + p), F.col("first.pos").alias("p" + p))
 
@@ -165,10 +207,12 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
                          .dropDuplicates(["lk"]), name + "-texts")
         t = lambda p: texts.select(F.col("lk").alias("l" + p), F.col("line").alias("x" + p),
                                    F.col("chars").alias("k" + p), F.col("symbols").alias("y" + p))
-        far = lambda x, y: f"levenshtein({x}, {y}, cast(greatest(length({x}), length({y})) * {100 - SIMILAR} div 100 as int)) >= 0"
-        return c.stored(near.select("la", "lb").join(t("a"), "la").join(t("b"), "lb")
-                        .where(F.expr(f"case when greatest(ka, kb) <= {LONG} then {far('xa', 'xb')} else {far('ya', 'yb')} end"))
-                        .select("la", "lb"), name + "-links")
+        out = c.stored(near.select("la", "lb").join(t("a"), "la").join(t("b"), "lb")
+                       .select("la", "lb", "ka", "kb", "xa", "xb", "ya", "yb")
+                       .mapInArrow(_unlike, "la long, lb long, most int, p string, q string")
+                       .where("greatest(length(p), length(q)) = 0 or levenshtein(p, q, most) >= 0").select("la", "lb"), name + "-links")
+        c.discard(near, lines, texts)
+        return out
 
     links = verified(posts.where("lk <> pivot").select(F.col("lk").alias("la"), F.col("pivot").alias("lb")), "lines-star")
     comp = c.stored(components(links.toDF("a", "b"), "lines-cc"), "lines-comp")
@@ -177,6 +221,7 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
     post = post.join(d.select("lk", "sim", "len"), "lk")
     mixed = post.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     post = c.stored(post.join(mixed, "key", "left_semi"), "lines-mixed")
+    c.discard(posts)
     kc = post.groupBy("key", "comp").agg(F.min("sim").alias("lo"), F.max("sim").alias("hi"), F.count("*").alias("many"))
     cross = (kc.toDF("key", "cx", "lx", "hx", "mx").join(kc.toDF("key", "cy", "ly", "hy", "my"), "key")
              .where("mx < my or (mx = my and cx < cy)")   # the smaller component is expanded first
@@ -197,29 +242,30 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
 def _kept(batches):
     mask = (1 << _SHIFT) - 1
     for b in c.slices(batches):
-        texts, removed = [], []
+        texts, removed, had = [], [], []
         for text, gone in zip(c.column(b, "text").to_pylist(), c.column(b, "gone").to_pylist()):
             gone = {g & mask for g in gone or ()}
             texts.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone) if gone else text)
             removed.append(len(gone))
+            had.append(text.count("\n") + 1)
         names = b.schema.names
         cols = [pa.array(texts, pa.string()) if x == "text" else b.column(i) for i, x in enumerate(names)]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(removed, pa.int64())], [*names, "lines_removed"]).select(
-            [x for x in names if x != "gone"] + ["lines_removed"])
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(removed, pa.int64())], [*names, "lines", "lines_removed"]).select(
+            [x for x in names if x != "gone"] + ["lines", "lines_removed"])
 
 
 def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with its text less the lines whose group occurs earlier, and
-    ``lines_removed``.
+    ``lines`` (before; a null text has none) and ``lines_removed``.
 
     Lines end at "\\n".  Lines without words stay.  A null text stays null,
     an empty one empty; a null id sorts after all ids; rows that repeat id
     and text are one document and come out alike; an empty table gives an
     empty result; columns named like the operator's own (did, tag, gone,
-    lines_removed) are not supported as ids or texts and are dropped.
+    lines, lines_removed) are not supported as ids or texts and are dropped.
     """
     c.prepare(docs.sparkSession)
-    docs = docs.drop("did", "tag", "gone", "lines_removed")
+    docs = docs.drop("did", "tag", "gone", "lines", "lines_removed")
     key = keyed(docs, id_col, text_col)
     src = key.select("did", "tag", F.col(text_col).cast("string").alias("text"))
     occ = c.stored(src.where("text is not null").mapInArrow(_occurrences, _OCC), "lines-occurrences").distinct()
@@ -231,7 +277,9 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hit = c.semi_by(key, gone.select(*on), on).join(gone, on).withColumn("text", F.col(text_col).cast("string"))
     rest = [x for x in docs.columns if x != text_col]
     hit = hit.select(*rest, "text", "gone")
-    cut = hit.mapInArrow(_kept, hit.drop("gone").withColumn("lines_removed", F.lit(0).cast("long")).schema)
-    same = c.semi_by(key, gone.select(*on), on, "left_anti").withColumn("lines_removed", F.lit(0).cast("long"))
-    out = [*docs.columns, "lines_removed"]
+    many = F.coalesce(F.length(text_col) - F.length(F.translate(text_col, "\n", "")) + 1, F.lit(0)).cast("long")
+    zero = {"lines": F.lit(0).cast("long"), "lines_removed": F.lit(0).cast("long")}
+    cut = hit.mapInArrow(_kept, hit.drop("gone").withColumns(zero).schema)
+    same = c.semi_by(key, gone.select(*on), on, "left_anti").withColumns(zero | {"lines": many})
+    out = [*docs.columns, "lines", "lines_removed"]
     return cut.withColumnRenamed("text", text_col).select(*out).union(same.select(*out))

@@ -75,8 +75,7 @@ def op3_line_dedup(spark, sf_dir):
     from aerocast.llm.lines import dedupe_lines
     out = dedupe_lines(c.read(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.coalesce("text", F.lit(""))
-    return out.select("doc_id", (F.length(kept) - F.length(F.translate(kept, "\n", "")) + 1 + F.col("lines_removed")).cast("long").alias("n_lines"),
-                      F.col("lines_removed").alias("n_removed"), F.sha2(kept, 256).alias("kept_sha256"))
+    return out.select("doc_id", F.col("lines").alias("n_lines"), F.col("lines_removed").alias("n_removed"), F.sha2(kept, 256).alias("kept_sha256"))
 
 
 @query

@@ -30,10 +30,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near
-    copies; repeated rows of one id are one document."""
-    comp = (ngram_jaccard.jaccard_components(docs, SHINGLE, SIMILAR, OF)
-            .where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(comp, "doc_id", "left_anti").select(*docs.columns)
+    copies; of rows that repeat id and text one."""
+    return ngram_jaccard.drop_near_copies(docs, SHINGLE, SIMILAR, OF)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -215,12 +215,70 @@ def test_line_dedup_against_brute_force(frame):
 
 
 def test_line_dedup_edge_cases(frame):
-    long = " ".join("w" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(4000))   # digits would all become 0
+    long = " ".join("w" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(4000))   # only words of letters
     rows = [(1, None), (2, ""), (3, "Year 1999 report of things\n\nkeep this"), (4, "  year 2004  report of things \n\n"), (5, long),
             (6, long + " tail"), (7, "same"), (7, "same"), (None, "SAME\nown words here")]
     out = lines.dedupe_lines(frame(rows))
     assert set(out.columns) >= {"doc_id", "text", "lang", "source", "n_chars", "comp", "lines_removed"}
     got = Counter((r.doc_id, r.text, r.lines_removed) for r in out.collect())
-    assert got == Counter([(1, None, 0), (2, "", 0), (3, rows[2][1], 0), (4, "\n", 1), (5, long, 0), (6, "", 1), (7, "same", 0),
+    # the year is part of the line: with another one it is another line, unless it is a near copy by candidates and similarity
+    assert got == Counter([(1, None, 0), (2, "", 0), (3, rows[2][1], 0), (4, rows[3][1], 0), (5, long, 0), (6, "", 1), (7, "same", 0),
                            (7, "same", 0), (None, "own words here", 1)])
     assert lines.dedupe_lines(frame([])).count() == 0
+
+
+def test_lines_of_other_numbers_stay(frame):
+    rows = [(1, "account 12345678 balance 99887766"), (2, "account 90817263 balance 10293847"), (3, "account 12345678  Balance 99887766")]
+    got = {r.doc_id: (r.text, r.lines, r.lines_removed) for r in lines.dedupe_lines(frame(rows)).collect()}
+    assert got == {1: (rows[0][1], 1, 0), 2: (rows[1][1], 1, 0), 3: ("", 1, 1)}
+
+
+def test_lines_are_counted_before(frame):
+    rows = [(1, "one and only line"), (2, "one and only line"), (3, "one and only line\n"), (4, None), (5, ""), (6, "a\n\nb")]
+    got = {r.doc_id: (r.lines, r.lines_removed, r.text) for r in lines.dedupe_lines(frame(rows)).collect()}
+    assert got == {1: (1, 0, rows[0][1]), 2: (1, 1, ""), 3: (2, 1, ""), 4: (0, 0, None), 5: (1, 0, ""), 6: (3, 0, "a\n\nb")}
+
+
+def test_common_ends_do_not_change_the_distance():
+    rnd = random.Random(9)
+
+    def lev(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            prev, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+        return row[-1]
+    for _ in range(400):
+        a, b = ("".join(rnd.choices("abé", k=rnd.randint(0, 9))) for _ in range(2))
+        p, q = lines.unlike(a, b)
+        assert lev(p, q) == lev(a, b) and p in a and q in b
+        assert not p or not q or (p[0] != q[0] and p[-1] != q[-1])
+
+
+def test_near_copies_go_row_by_row(frame):
+    """A text of its own stays though its id also stands on a copy; a copy
+    goes though its id is null; of repeated rows one stays."""
+    a = " ".join(f"a{i}" for i in range(60))
+    near, own = a + " more", " ".join(f"o{i}" for i in range(30))
+    rows = [(1, a), (5, near), (5, own), (None, a), (None, "quite another text of its own here"), (7, own + " x y z"), (7, own + " x y z"),
+            (8, "alone in the world of words"), (8, "alone in the world of words"), (9, None), (10, ""), (2, a.upper())]
+    got = Counter((r.doc_id, r.text) for r in ngram_jaccard.drop_near_copies(frame(rows)).collect())
+    assert got == Counter([(1, a), (5, own), (None, "quite another text of its own here"),
+                           (8, "alone in the world of words"), (9, None), (10, "")])
+    assert ngram_jaccard.drop_near_copies(frame([])).count() == 0
+
+
+def test_simhashes_of_lines_of_any_length():
+    import numpy as np
+    rnd = np.random.default_rng(4)
+    wh = rnd.integers(0, 2 ** 63, 5000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    wh[100:400] = wh[100]                       # one word again and again
+    starts = np.array([0, 1, 3, 50, 100, 450, 705, 960, 1300, 4990])
+
+    def slow(words):
+        h = c.mix(np.unique(words >> np.uint64(24)) ^ np.uint64(0xA5A5F00D5EED1234))
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
+        return int(np.packbits(2 * bits.astype(int).sum(axis=0) > len(h)).view(np.uint64)[0])
+    got = lines.simhashes(wh, starts).tolist()
+    assert got == [slow(wh[a:b]) for a, b in zip(starts, np.append(starts[1:], len(wh)))]

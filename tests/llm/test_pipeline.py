@@ -22,4 +22,4 @@ def test_stages_run_in_order_and_take_effect(spark):
 def test_queries_are_registered():
     import __spark_entry__ as e
     names = e.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
