@@ -29,12 +29,14 @@ _LOWER[65:91] += 32
 # ---- Spark side ----------------------------------------------------------
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings that keep one Arrow batch of long texts small."""
+    """Session settings that keep one Arrow batch of long texts small, and
+    the texts of plans, of which the driver holds one per execution."""
     shared_dir(spark)
     ship_package(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.maxPlanStringLength", "2000")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
