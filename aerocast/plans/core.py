@@ -54,24 +54,19 @@ def to_flight_schema(staged: DataFrame, role: str, source_rank: int = 1) -> Data
 
 
 def flight_fingerprint() -> F.Column:
-    """Last tie-breaker: md5 over the text columns of a flight row."""
+    """Last tie-breaker but all columns: md5 over the text columns of a
+    flight row, as bytes (ordered like its hex text, in half the space)."""
     parts = ["call_sign", "flight_status", "aircraft_registration", "aircraft_model",
              "airline_icao"]
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(p), F.lit("")) for p in parts]))
-
-
-def every_column(df: DataFrame) -> F.Column:
-    """All columns as one comparable value: the very last tie-breaker, so
-    that the survivor never depends on the rows' order."""
-    return F.struct(*[F.col(c) for c in sorted(df.columns)])
+    return F.unhex(F.md5(F.concat_ws("|", *[F.coalesce(F.col(p), F.lit("")) for p in parts])))
 
 
 def flight_key_parts() -> list:
     """Natural key of a flight version (also the surrogate key's parts)."""
     return [
-        F.col("airline_iata"), F.col("flight_number"),
+        "airline_iata", "flight_number",
         F.coalesce(F.col("scheduled_departure_utc"), F.col("scheduled_arrival_utc")),
-        F.col("airport_departure_iata"), F.col("airport_arrival_iata"), F.col("flight_direction"),
+        "airport_departure_iata", "airport_arrival_iata", "flight_direction",
     ]
 
 
@@ -82,8 +77,8 @@ def build_fact_flights(inputs: list[DataFrame]) -> DataFrame:
     deduped = latest_per_key(
         union, keys=flight_key_parts(),
         order_desc=[F.col("actual_departure_utc"), F.col("actual_arrival_utc"),
-                    F.col("source_rank"), F.col("loaded_at"), flight_fingerprint(),
-                    every_column(union)],
+                    F.col("source_rank"), F.col("loaded_at"), flight_fingerprint()],
+        total=True,
     )
     op_ts = by_direction("scheduled_departure_utc", "scheduled_arrival_utc")
     dep_delay = delay_minutes("actual_departure_utc", "scheduled_departure_utc")
@@ -121,8 +116,8 @@ def build_fact_weather(inputs: list[DataFrame]) -> DataFrame:
     rank = F.coalesce(F.col("source_rank"), F.lit(0)) if "source_rank" in union.columns else F.lit(0)
     union = union.withColumn("source_rank", rank)
     deduped = latest_per_key(
-        union, keys=[F.col("airport_iata"), F.col("weather_time_utc")],
-        order_desc=[F.col("loaded_at"), F.col("source_rank"), every_column(union)],
+        union, keys=["airport_iata", "weather_time_utc"],
+        order_desc=[F.col("loaded_at"), F.col("source_rank")], total=True,
     )
     m = {c: F.col(c).cast(MEASURE_TYPE) for c in WEATHER_MEASURES}
     t = F.col("weather_time_utc")
