@@ -54,3 +54,37 @@ def test_topic_files_are_compressed(spark, tmp):
     rows = spark.range(3).selectExpr("'HKT' airport_code", "cast(id as string) from_local", "'{}' payload")
     publish(rows, f"{tmp}/topic")
     assert all(f.endswith(".txt.gz") for f in os.listdir(f"{tmp}/topic") if f.startswith("part-")) and spark.read.text(f"{tmp}/topic").count() == 3
+
+
+def test_landing_and_seed_files_are_compressed(spark, tmp):
+    from aerocast.registry import QUERIES
+    from aerocast.session import shared_dir
+    from aerocast.sources.landing import read_landing
+    from aerocast.streaming.ingest import publish
+    rows = spark.range(30).selectExpr("'HKT' airport_code", "cast(id as string) from_local", "'{}' payload")
+    publish(rows, f"{tmp}/topic", landing_dir=f"{tmp}/land")
+    files = [f for _, _, names in os.walk(f"{tmp}/land") for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files) and read_landing(spark, f"{tmp}/land")[0].count() == 30
+    _tables(spark, tmp)
+    found = lambda name: set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/{name}"))
+    seeds, staged = found("variant-*/seed.csv/part-*"), found("landing-*/*/part-*")
+    flights = {(r.target, r.board): r.flights for r in QUERIES["raw_source_variant"](spark, tmp).collect()}
+    assert flights == {(t, b): n for t in ("ci", "dev") for b, n in (("arrivals", 2), ("departures", 10))}
+    new = found("variant-*/seed.csv/part-*") - seeds
+    assert new and all(f.endswith(".csv.gz") for f in new)
+    assert QUERIES["landing_replay_raw"](spark, tmp).count() == 2
+    new = found("landing-*/*/part-*") - staged
+    assert new and all(f.endswith(".json.gz") for f in new)
+
+
+def test_tables_are_written_in_zstd(spark, tmp):
+    from aerocast.plans.build import Layers
+    from aerocast.sinks.tables import append_keyed, load_to_raw, write_lakehouse
+    df = spark.range(3).selectExpr("'HKT' airport_code", "id", "timestamp_ntz'2024-01-02 00:00:00' extracted_at", "'{}' payload")
+    load_to_raw(df, f"{tmp}/raw")
+    write_lakehouse(df, f"{tmp}/lake")
+    append_keyed(spark, f"{tmp}/keyed", df, ["id"])
+    Layers(spark, f"{tmp}/build").write("core", "t", df)
+    for folder in ("raw", "lake", "keyed", "build"):
+        files = [f for _, _, names in os.walk(f"{tmp}/{folder}") for f in names if f.startswith("part-")]
+        assert files and all(f.endswith(".zstd.parquet") or f.endswith(".zst.parquet") for f in files), folder
