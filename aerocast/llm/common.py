@@ -4,6 +4,7 @@ in the shared folder, size-checked broadcast."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,17 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.maxPlanStringLength", "2000")
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Larger Arrow batches for what is stored inside: rows of few bytes."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

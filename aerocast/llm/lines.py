@@ -152,26 +152,74 @@ def unlike(x: str, y: str) -> tuple[str, str]:
     return (x[:len(x) - tail], y[:len(y) - tail])
 
 
+def at_most(x: str, y: str) -> int:
+    """No less than the distance: what it takes to put word for word, or all
+    of one string for the other."""
+    p, q = x.split(" "), y.split(" ")
+    return sum(max(len(a), len(b)) for a, b in zip(p, q) if a != b) if len(p) == len(q) else max(len(x), len(y))
+
+
 def _unlike(batches):
-    """Pairs of lines → what differs, and the distance that still links."""
+    """Pairs of lines → what differs, and the distance that still links;
+    nothing differs where at_most tells that they link."""
     for b in batches:
         rows = []
         for la, lb, ka, kb, xa, xb, ya, yb in zip(*(c.column(b, n).to_pylist() for n in ("la", "lb", "ka", "kb", "xa", "xb", "ya", "yb"))):
             p, q = (xa, xb) if max(ka, kb) <= LONG else (ya, yb)
-            rows.append((la, lb, max(len(p), len(q)) * (100 - SIMILAR) // 100, *unlike(p, q)))
+            most = max(len(p), len(q)) * (100 - SIMILAR) // 100
+            p, q = unlike(p, q)
+            rows.append((la, lb, most, *(("", "") if at_most(p, q) <= most else (p, q))))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string()))],
                                          ["la", "lb", "most", "p", "q"])
 
 
+_BLOCKS = [(lo, (1 << (hi - lo)) - 1) for lo, hi in zip(_EDGES, _EDGES[1:])]
+_BLOCK_BITS = 11                                               # of the widest
+
+
 def block_keys(sim: str = "sim"):
     """Twenty keys: each three of the six blocks with their number."""
-    masks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(_EDGES, _EDGES[1:])]
-    out = []
-    for i, (x, y, z) in enumerate(combinations(masks, 3)):
-        m = x | y | z
-        m = m - (1 << 64) if m >> 63 else m
-        out.append(F.xxhash64(F.lit(i), F.col(sim).bitwiseAND(F.lit(m).cast("long"))))
-    return F.array(*out)
+    block = [F.shiftrightunsigned(sim, lo).bitwiseAND(mask) for lo, mask in _BLOCKS]
+    return F.array(*[F.shiftleft(F.lit(i).cast("long"), 3 * _BLOCK_BITS).bitwiseOR(F.shiftleft(x, 2 * _BLOCK_BITS))
+                     .bitwiseOR(F.shiftleft(y, _BLOCK_BITS)).bitwiseOR(z) for i, (x, y, z) in enumerate(combinations(block, 3))])
+
+
+def sorted_block_keys(sim: np.ndarray) -> np.ndarray:
+    """block_keys of many lines, ascending."""
+    block = [sim.view(np.uint64) >> np.uint64(lo) & np.uint64(mask) for lo, mask in _BLOCKS]
+    w = np.uint64(_BLOCK_BITS)
+    return np.concatenate([np.sort(((np.uint64(i) << w | x) << w | y) << w | z)
+                           for i, (x, y, z) in enumerate(combinations(block, 3))]).view(np.int64)
+
+
+def _key_marks(batches):
+    """Keys of lines, each once a piece of POSTED_LINES: twice the key, and
+    one more if several lines of the piece have it."""
+    def marks(held):
+        key = sorted_block_keys(np.concatenate(held))
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        many = np.diff(np.append(first, len(key))) > 1
+        return pa.RecordBatch.from_arrays([pa.array(key[first] * 2 + many)], ["mark"])
+    held, n = [], 0
+    for b in batches:
+        held.append(c.longs(b, "sim"))
+        n += b.num_rows
+        if n >= POSTED_LINES:
+            yield marks(held)
+            held, n = [], 0
+    if n:
+        yield marks(held)
+
+
+def _shared_keys(batches):
+    """Of all marks of some keys, the keys that several lines have."""
+    marks = [c.longs(b, "mark") for b in batches]
+    if marks:
+        marks = np.sort(np.concatenate(marks))
+        key = marks >> 1
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        last = np.append(first[1:], len(key)) - 1
+        yield pa.RecordBatch.from_arrays([pa.array(key[first[(last > first) | (marks[last] & 1 == 1)]])], ["key"])
 
 
 def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
@@ -182,13 +230,16 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
                                        F.count("*").alias("cnt"), F.min(at).alias("first")), "lines-distinct")
     # twenty rows a line: dealt to tasks of bounded work before they are made
     deal = max(d.sparkSession.sparkContext.defaultParallelism, -(-d.count() // POSTED_LINES))
-    posts = d.select("lk", "sim").repartition(deal, "lk").select("lk", F.explode(block_keys()).alias("key"))
-    shared = c.stored(posts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "lines-shared")
+    lines = d.select("lk", "sim").repartition(deal, "lk")
+    with c.arrow_rows(d.sparkSession, POSTED_LINES):           # of one number each
+        shared = c.stored(lines.select("sim").mapInArrow(_key_marks, "mark long").repartition(deal, F.shiftright("mark", 1))
+                          .mapInArrow(_shared_keys, "key long"), "lines-shared")
+    posts = lines.select("lk", F.explode(block_keys()).alias("key"))
     posts = shared_posts = c.stored(posts.join(F.broadcast(shared) if c.small_enough(shared) else shared, "key"), "lines-shared-posts")
     # the pivot of a key is the line with most shared keys: the one that others are copies of
     posts = posts.join(posts.groupBy("lk").agg(F.count("*").alias("s")), "lk")
-    posts = c.stored(posts.join(posts.groupBy("key").agg(F.max(F.struct("s", "lk"))["lk"].alias("pivot")), "key").drop("s"),
-                     "lines-posts")
+    posts = c.stored(posts.join(posts.groupBy("key").agg(F.count("*").alias("k"), F.max(F.struct("s", "lk"))["lk"].alias("pivot")), "key")
+                     .drop("s"), "lines-posts")
     c.discard(shared, shared_posts)
     end = lambda p: d.select(F.col("lk").alias("l" + p), F.col("sim").alias("s" + p), F.col("len").alias("n" + p),
                              F.col("first.did").alias("d" + p), F.col("first.pos").alias("p" + p))
@@ -277,7 +328,9 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hit = c.semi_by(key, gone.select(*on), on).join(gone, on).withColumn("text", F.col(text_col).cast("string"))
     rest = [x for x in docs.columns if x != text_col]
     hit = hit.select(*rest, "text", "gone")
-    many = F.coalesce(F.length(text_col) - F.length(F.translate(text_col, "\n", "")) + 1, F.lit(0)).cast("long")
+    text = F.col(text_col).cast("string")
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    many = F.coalesce(breaks + 1, F.lit(0)).cast("long")
     zero = {"lines": F.lit(0).cast("long"), "lines_removed": F.lit(0).cast("long")}
     cut = hit.mapInArrow(_kept, hit.drop("gone").withColumns(zero).schema)
     same = c.semi_by(key, gone.select(*on), on, "left_anti").withColumns(zero | {"lines": many})

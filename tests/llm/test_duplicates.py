@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from aerocast.llm import common as c
 from aerocast.llm import lines, ngram_jaccard, substring
@@ -269,6 +270,42 @@ def test_near_copies_go_row_by_row(frame):
     assert ngram_jaccard.drop_near_copies(frame([])).count() == 0
 
 
+def test_bound_of_the_distance_spares_the_computation(spark):
+    """Pairs that words put for words already tell to link reach no
+    levenshtein; the bound is never below the distance."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcé") for _ in range(rng.randint(0, 4)))
+    pairs = []
+    for _ in range(200):
+        x = [word() for _ in range(rng.randint(0, 6))]
+        y = [word() if rng.random() < 0.3 else w for w in x] + [word()] * rng.randint(0, 1)
+        pairs.append((" ".join(x), " ".join(y)))
+    got = spark.createDataFrame(pairs, "x string, y string").select("x", "y", F.levenshtein("x", "y").alias("d")).collect()
+    assert all(lines.at_most(r.x, r.y) >= r.d for r in got)
+    common = "the same words here and there"
+    p, q = f"one {common} six", f"two {common} ten"
+    b = pa.RecordBatch.from_pylist([{"la": 1, "lb": 2, "ka": len(p), "kb": len(q), "xa": p, "xb": q, "ya": None, "yb": None},
+                                    {"la": 1, "lb": 3, "ka": len(p), "kb": len(p) + 2, "xa": p, "xb": f"a {p}", "ya": None, "yb": None},
+                                    {"la": 1, "lb": 4, "ka": len(p), "kb": len(p) + 4, "xa": p, "xb": f"six {common} one x y", "ya": None, "yb": None}])
+    assert [(r["p"], r["q"]) for r in next(lines._unlike([b])).to_pylist()] == [("", ""), ("", ""), (p, f"six {common} one x y")]
+
+
+def test_shared_keys_are_those_of_several_lines(spark):
+    """Keys made by numpy are those of the columns; a key counts once a
+    piece, and is shared if any two lines have it, of one piece or of two."""
+    rng = np.random.default_rng(5)
+    sim = rng.integers(-2 ** 63, 2 ** 63 - 1, 300)
+    sim = np.concatenate([sim, sim[:40] ^ (1 << 63 - 2), sim[:20]])
+    rows = spark.createDataFrame([(int(x),) for x in sim], "sim long").select(F.explode(lines.block_keys()).alias("key")).collect()
+    want = Counter(r.key for r in rows)
+    assert sorted(r.key for r in rows) == sorted(lines.sorted_block_keys(sim).tolist()) and len(rows) == 20 * len(sim)
+    batches = [pa.RecordBatch.from_pydict({"sim": x}) for x in np.array_split(sim, 7)]
+    for pieces in ([batches], [batches[:3], batches[3:]], [[b] for b in batches], [[]]):
+        marks = [m for piece in pieces for m in lines._key_marks(piece)]
+        got = [k for b in lines._shared_keys(marks) for k in b.column(0).to_pylist()]
+        assert sorted(got) == sorted(k for k, n in want.items() if n > 1 and pieces != [[]])
+
+
 def test_simhashes_of_lines_of_any_length():
     import numpy as np
     rnd = np.random.default_rng(4)
