@@ -38,6 +38,7 @@ DISTANCE = 3
 SIMILAR = 80            # per cent
 LONG = 1000
 POSTED_LINES = 1 << 16  # distinct lines whose keys one task makes
+KEYED_LINES = 1 << 13   # of them, whose keys are made at once
 _EDGES = (0, 11, 22, 33, 44, 54, 64)
 
 TAG_BITS = 22           # tells rows of one id with different texts apart
@@ -193,33 +194,30 @@ def sorted_block_keys(sim: np.ndarray) -> np.ndarray:
 
 
 def _key_marks(batches):
-    """Keys of lines, each once a piece of POSTED_LINES: twice the key, and
+    """Keys of lines, each once a piece of KEYED_LINES: twice the key, and
     one more if several lines of the piece have it."""
-    def marks(held):
-        key = sorted_block_keys(np.concatenate(held))
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        many = np.diff(np.append(first, len(key))) > 1
-        return pa.RecordBatch.from_arrays([pa.array(key[first] * 2 + many)], ["mark"])
-    held, n = [], 0
     for b in batches:
-        held.append(c.longs(b, "sim"))
-        n += b.num_rows
-        if n >= POSTED_LINES:
-            yield marks(held)
-            held, n = [], 0
-    if n:
-        yield marks(held)
+        for i in range(0, b.num_rows, KEYED_LINES):
+            key = sorted_block_keys(c.longs(b, "sim")[i:i + KEYED_LINES])
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            many = np.diff(np.append(first, len(key))) > 1
+            yield pa.RecordBatch.from_arrays([pa.array(key[first] * 2 + many)], ["mark"])
 
 
 def _shared_keys(batches):
     """Of all marks of some keys, the keys that several lines have."""
-    marks = [c.longs(b, "mark") for b in batches]
-    if marks:
-        marks = np.sort(np.concatenate(marks))
-        key = marks >> 1
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        last = np.append(first[1:], len(key)) - 1
-        yield pa.RecordBatch.from_arrays([pa.array(key[first[(last > first) | (marks[last] & 1 == 1)]])], ["key"])
+    held = [c.longs(b, "mark") for b in batches]
+    if not held:
+        return
+    marks = np.concatenate(held)
+    del held
+    marks.sort()                                                # in place; looked at piece by piece
+    for i in range(0, len(marks), POSTED_LINES):
+        end = i + POSTED_LINES
+        here, key = marks[i:end], marks[max(0, i - 1):end + 1] >> 1
+        alike = np.concatenate([[False] * (i == 0), key[1:] == key[:-1], [False] * (end >= len(marks))]).astype(bool)
+        found = here[~alike[1:] & (alike[:-1] | (here & 1 == 1))] >> 1      # at a key's last mark
+        yield pa.RecordBatch.from_arrays([pa.array(found)], ["key"])
 
 
 def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:

@@ -290,7 +290,7 @@ def test_bound_of_the_distance_spares_the_computation(spark):
     assert [(r["p"], r["q"]) for r in next(lines._unlike([b])).to_pylist()] == [("", ""), ("", ""), (p, f"six {common} one x y")]
 
 
-def test_shared_keys_are_those_of_several_lines(spark):
+def test_shared_keys_are_those_of_several_lines(spark, monkeypatch):
     """Keys made by numpy are those of the columns; a key counts once a
     piece, and is shared if any two lines have it, of one piece or of two."""
     rng = np.random.default_rng(5)
@@ -300,10 +300,13 @@ def test_shared_keys_are_those_of_several_lines(spark):
     want = Counter(r.key for r in rows)
     assert sorted(r.key for r in rows) == sorted(lines.sorted_block_keys(sim).tolist()) and len(rows) == 20 * len(sim)
     batches = [pa.RecordBatch.from_pydict({"sim": x}) for x in np.array_split(sim, 7)]
+    monkeypatch.setattr(lines, "KEYED_LINES", 30)
     for pieces in ([batches], [batches[:3], batches[3:]], [[b] for b in batches], [[]]):
         marks = [m for piece in pieces for m in lines._key_marks(piece)]
-        got = [k for b in lines._shared_keys(marks) for k in b.column(0).to_pylist()]
-        assert sorted(got) == sorted(k for k, n in want.items() if n > 1 and pieces != [[]])
+        for rows in (1, 2, 7, len(marks) or 1, 1 << 16):
+            monkeypatch.setattr(lines, "POSTED_LINES", rows)
+            got = [k for b in lines._shared_keys(marks) for k in b.column(0).to_pylist()]
+            assert sorted(got) == sorted(k for k, n in want.items() if n > 1 and pieces != [[]])
 
 
 def test_simhashes_of_lines_of_any_length():
