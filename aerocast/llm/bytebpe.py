@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from aerocast.llm import common as c
 
-MAX_WORDS = 300_000     # cached pieces of a generation
+MAX_WORDS = 100_000     # cached pieces of a generation
 _made: dict = {}
 
 _BLANK = np.zeros(256, bool)            # ASCII characters that are white space

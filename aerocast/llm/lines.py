@@ -99,6 +99,7 @@ def simhashes(wh: np.ndarray, starts: np.ndarray) -> np.ndarray:
 _OCC = "lk long, sim long, len long, did long, pos long"
 
 
+@c.lean
 def _occurrences(batches):
     for b in c.slices(batches):
         data, s, e, line, doc = line_words(c.column(b, "text"))
@@ -115,6 +116,7 @@ def _occurrences(batches):
              pa.array(c.longs(b, "did")[doc[at]]), pa.array(pos)], ["lk", "sim", "len", "did", "pos"])
 
 
+@c.lean
 def _line_texts(batches):
     """Of each text the wanted lines: (lk, line, symbols)."""
     for b in c.slices(batches):
@@ -160,6 +162,7 @@ def at_most(x: str, y: str) -> int:
     return sum(max(len(a), len(b)) for a, b in zip(p, q) if a != b) if len(p) == len(q) else max(len(x), len(y))
 
 
+@c.lean
 def _unlike(batches):
     """Pairs of lines → what differs, and the distance that still links;
     nothing differs where at_most tells that they link."""
@@ -193,6 +196,7 @@ def sorted_block_keys(sim: np.ndarray) -> np.ndarray:
                            for i, (x, y, z) in enumerate(combinations(block, 3))]).view(np.int64)
 
 
+@c.lean
 def _key_marks(batches):
     """Keys of lines, each once a piece of KEYED_LINES: twice the key, and
     one more if several lines of the piece have it."""
@@ -204,6 +208,7 @@ def _key_marks(batches):
             yield pa.RecordBatch.from_arrays([pa.array(key[first] * 2 + many)], ["mark"])
 
 
+@c.lean
 def _shared_keys(batches):
     """Of all marks of some keys, the keys that several lines have."""
     held = [c.longs(b, "mark") for b in batches]
@@ -288,6 +293,7 @@ def line_groups(occ: DataFrame, src: DataFrame) -> DataFrame:
     return row.join(firsts, "comp").select("lk", F.col("f.did").alias("first_did"), F.col("f.pos").alias("first_pos"))
 
 
+@c.lean
 def _kept(batches):
     mask = (1 << _SHIFT) - 1
     for b in c.slices(batches):

@@ -66,27 +66,40 @@ def set_hashes(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return c.mix(total + n.astype(np.uint64))
 
 
+def repeated(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What h holds twice or more, ascending, and how often.  Sorts h in
+    place and makes little else: h is most of a task's memory."""
+    h.sort()
+    same = np.zeros(len(h) + 1, bool)                           # as the one before
+    np.equal(h[1:], h[:-1], out=same[1:-1])
+    first, last = np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(same[:-1] & ~same[1:])
+    return h[first], last - first + 1
+
+
 def _frequent(k: int):
+    @c.lean
     def run(batches):
         held, size = [], 0
 
         def out():
-            h, cnt = np.unique(np.concatenate(held), return_counts=True)
-            m = cnt >= 2
-            return pa.RecordBatch.from_arrays([pa.array(c.i64(h[m])), pa.array(cnt[m].astype(np.int64))], ["h", "c"])
+            h = np.concatenate(held)
+            held.clear()
+            h, cnt = repeated(h)
+            return pa.RecordBatch.from_arrays([pa.array(c.i64(h)), pa.array(cnt)], ["h", "c"])
         for b in c.slices(batches):
             _, h, _ = shingle_sets(c.column(b, "text"), k)
             held.append(h)
             size += len(h)
             if size >= LOCAL_SHINGLES:
                 yield out()
-                held, size = [], 0
+                size = 0
         if size:
             yield out()
     return run
 
 
 def _prefixes(k: int, num: int, den: int, heavy):
+    @c.lean
     def run(batches):
         hv = heavy.value
         for b in c.slices(batches):
@@ -112,6 +125,7 @@ def _prefixes(k: int, num: int, den: int, heavy):
 def _possible(num: int, den: int):
     """Leave out pairs that cannot link: an intersection has at most the
     smaller count in each of the CELLS cells."""
+    @c.lean
     def run(batches):
         for b in batches:
             most = np.full(b.num_rows, 1 << 62, np.int64)
@@ -129,6 +143,7 @@ def _possible(num: int, den: int):
 def _linked(k: int, num: int, den: int):
     """Pairs of texts → the pairs that link; a text whose set is not the
     expected one (a repeated id) is passed over."""
+    @c.lean
     def run(batches):
         for b in c.slices(c.slices(batches, "ta"), "tb"):
             (da, ha, na), (db, hb, nb) = (shingle_sets(c.column(b, x), k) for x in ("ta", "tb"))

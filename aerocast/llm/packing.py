@@ -23,7 +23,7 @@ from aerocast.llm import common as c
 from aerocast.llm.bytebpe import ids_for
 
 SHARD_PIECES = 1 << 15
-HELD_BYTES = 8 << 20        # of texts that a task encodes at once
+HELD_BYTES = 2 << 20        # of texts that a task encodes at once
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -75,6 +75,7 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
 
 
 def _pieces(path: str, end_id: int, window: int):
+    @c.lean
     def run(batches):
         ids = ids_for(path)
         end = np.array([end_id], "<u4")

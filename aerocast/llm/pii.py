@@ -231,6 +231,7 @@ def find(docs: DataFrame, redacted: bool = False) -> DataFrame:
     added = ["pii_email", "pii_ip", "pii_card", "pii_phone", "pii_base_sha256", "pii_spans"]
     src = docs if redacted else docs.drop(*added)
 
+    @c.lean
     def run(batches):
         for b in c.slices(batches):
             texts = c.column(b, "text").to_pylist()

@@ -121,13 +121,18 @@ def kernel(u: bytes, v: bytes) -> float:
 
 
 def unit_scores(table: np.ndarray, data, s, e) -> np.ndarray:
-    parts, norm = subsequences(data, s, e)
-    total = np.zeros(len(s))
-    for x, u, w in parts:
-        total += w * np.bincount(u, weights=table[x], minlength=len(s))
-    return total / norm
+    out = np.zeros(len(s))
+    for i in range(0, len(s), SCORED_UNITS):
+        some = slice(i, i + SCORED_UNITS)
+        parts, norm = subsequences(data, s[some], e[some])
+        total = out[some]
+        for x, u, w in parts:
+            total += w * np.bincount(u, weights=table[x], minlength=len(norm))
+        total /= norm
+    return out
 
 
+SCORED_UNITS = 1 << 13  # whose subsequences are held at once
 KNOWN = 50_000          # units of a generation whose score a task remembers
 
 
@@ -169,6 +174,7 @@ def strongest(scores: Scores, col: pa.Array):
 _UNITS = "unit binary, y int, doc long"
 
 
+@c.lean
 def _unit_rows(batches):
     for b in c.slices(batches):
         data, s, e, doc = units(c.column(b, "text"))
@@ -309,6 +315,7 @@ def _best(spark, rows: DataFrame, table: np.ndarray):
     """Strongest units of the (bounded) sample."""
     tb = spark.sparkContext.broadcast(table)
 
+    @c.lean
     def run(batches):
         scores = Scores(tb.value)
         for b in c.slices(batches):
@@ -333,6 +340,7 @@ def score(docs: DataFrame, model) -> DataFrame:
         return src.withColumn("toxicity_score", F.lit(0.0))
     mb = spark.sparkContext.broadcast(model)
 
+    @c.lean
     def run(batches):
         table, a, b0 = mb.value
         scores = Scores(table)
