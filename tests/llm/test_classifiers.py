@@ -94,3 +94,20 @@ def test_remembered_scores_are_the_same():
     memory = toxicity.Scores(table)
     first, again, fresh = (toxicity.strongest(m, col) for m in (memory, memory, toxicity.Scores(table)))
     assert np.array_equal(first[0], again[0]) and np.array_equal(first[0], fresh[0]) and first[1] == again[1]
+
+
+def test_units_are_scored_in_bounded_memory():
+    import tracemalloc
+    import numpy as np
+    rnd = np.random.default_rng(2)
+    table = rnd.normal(size=toxicity.BUCKETS).astype(np.float32)
+    n = rnd.integers(1, 12, 60_000)
+    data, e = rnd.integers(97, 123, int(n.sum())).astype(np.uint8), np.cumsum(n)
+    tracemalloc.start()
+    got = toxicity.unit_scores(table, data, e - n, e)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20                                      # all units at once: 113 MB
+    some = [0, 1, toxicity.SCORED_UNITS - 1, toxicity.SCORED_UNITS, 59_999]
+    assert np.array_equal(got[some], [toxicity.unit_scores(table, data, (e - n)[i:i + 1], e[i:i + 1])[0] for i in some])
+    assert not len(toxicity.unit_scores(table, data, e[:0], e[:0]))

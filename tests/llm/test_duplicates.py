@@ -322,3 +322,32 @@ def test_simhashes_of_lines_of_any_length():
         return int(np.packbits(2 * bits.astype(int).sum(axis=0) > len(h)).view(np.uint64)[0])
     got = lines.simhashes(wh, starts).tolist()
     assert got == [slow(wh[a:b]) for a, b in zip(starts, np.append(starts[1:], len(wh)))]
+
+
+def test_repeated_shingles_are_found_in_place():
+    import tracemalloc
+    from aerocast.llm import ngram_jaccard as nj
+    h = np.random.default_rng(3).integers(0, 1 << 20, 1 << 20).astype(np.uint64)
+    want, cnt = np.unique(h, return_counts=True)
+    tracemalloc.start()
+    got = nj.repeated(h)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got[0], want[cnt > 1]) and np.array_equal(got[1], cnt[cnt > 1])
+    assert peak < 2 * h.nbytes                                  # np.unique: 3
+    for x in ([], [5], [5, 5], [7, 5, 7, 7]):
+        got = nj.repeated(np.array(x, np.uint64))
+        assert list(zip(*(v.tolist() for v in got))) == [(v, x.count(v)) for v in sorted(set(x)) if x.count(v) > 1]
+
+
+def test_workers_give_freed_memory_back(monkeypatch):
+    from aerocast.llm import common as c, lines, toxicity
+    given = []
+    monkeypatch.setattr(c, "give_back", lambda: given.append(1))
+    run = c.lean(lambda batches: (2 * b for b in batches))
+    assert list(run(iter([1, 2]))) == [2, 4] and len(given) == 1
+    part = run(iter([1, 2]))
+    assert next(part) == 2
+    part.close()                                                # a task that ends early (a limit)
+    assert len(given) == 2
+    assert not list(lines._occurrences(iter([]))) and not list(toxicity._unit_rows(iter([]))) and len(given) == 4
