@@ -62,14 +62,13 @@ def test_pages_are_written_as_text(spark, tmp):
     assert all(p == text(json.loads(p)) for p in got)
 
 
-def test_usual_times_are_cast(spark):
+def test_times_without_a_separator_are_not_built_anew(spark):
     from aerocast.functions import parse_utc_text, parse_zoned_text
-    times = {"2026-06-30 17:00Z": ("2026-06-30 17:00:00",) * 2, "2026-06-30T17:00": ("2026-06-30 17:00:00",) * 2,
-             "2026-02-30 17:00Z": (None, None), "2024-01-01 24:00Z": (None, None), "2026-06-30 17:00+07:00": (None, "2026-06-30 10:00:00"),
-             "2026-06-30 17:00-18:30": (None, None), "2026-06-30 17:00:05Z": ("2026-06-30 17:00:05",) * 2, "2026-06-30 17:00Z\n": (None, None), "2026-6-3 1:2Z": (None, None)}
+    times = {"2026-06-30 17:00Z": ("2026-06-30 17:00:00",) * 2, " 2026-06-30T17:00 ": ("2026-06-30 17:00:00",) * 2, "2026-02-30 17:00Z": (None, None),
+             "2026-06-30T17:00+07:00": (None, "2026-06-30 10:00:00"), "2026-06-30 17:00:05Z": ("2026-06-30 17:00:05",) * 2, "T": (None, None), None: (None, None)}
     df = spark.createDataFrame([(t,) for t in times], "t string")
     df = df.select("t", parse_utc_text("t").cast("string").alias("u"), parse_zoned_text("t").cast("timestamp_ntz").cast("string").alias("z"))
-    assert {r.t: (r.u, r.z) for r in df.collect()} == times and "cast(concat(substring" in _plan(df)
+    assert {r.t: (r.u, r.z) for r in df.collect()} == times and "translate(" not in _plan(df)
 
 
 def test_a_landed_line_is_parsed_once(spark, tmp):
@@ -122,3 +121,76 @@ def test_both_boards_of_a_page_are_parsed_at_once(spark, tmp):
     assert _plan(df).lower().count("parsejson") + _plan(df).lower().count("parse_json") == 2          # a target each
     rows = {(r.target, r.board): (r.flights, r.content) for r in df.collect()}
     assert len(rows) == 4 and all(rows["ci", b] == rows["dev", b] for b in ("arrivals", "departures"))
+
+
+def test_known_keys_move_no_payload(spark, tmp, monkeypatch):
+    """A batch whose keys are in the table is told by its keys; new keys
+    and those that lack a part are inserted as before."""
+    from aerocast.sinks import tables
+    rows = lambda x: spark.createDataFrame(x, "k string, n int, payload string")
+    add = lambda x: tables.append_keyed(spark, f"{tmp}/t", rows(x), ["k", "n"], order=[F.col("payload")], partition_by=("k",))
+    assert add([("a", 1, "y"), ("a", 1, "x"), (None, 1, "z"), ("b", 2, "w")]) == 3
+    plans = []
+    monkeypatch.setattr(tables, "staged", lambda df, f=tables.staged: plans.append(_plan(df)) or f(df))
+    assert add([("a", 1, "q"), ("b", 2, "q"), (None, 1, "z")]) == 1
+    assert len(plans) == 3 and not any("min_by" in p for p in plans)
+    assert add([("a", 1, "q"), ("a", 3, "s"), ("a", 3, "r"), ("b", None, "t")]) == 2
+    got = sorted(((r.k, r.n, r.payload) for r in spark.read.parquet(f"{tmp}/t").collect()), key=str)
+    assert got == sorted([("a", 1, "x"), ("b", 2, "w"), (None, 1, "z"), (None, 1, "z"), ("a", 3, "r"), ("b", None, "t")], key=str)
+
+
+def _lines(folder, names):
+    os.makedirs(folder, exist_ok=True)
+    for name in names:
+        with open(f"{folder}/{name}", "w") as f:
+            f.writelines(json.dumps({"airport_code": "HKT", "code_type": "IATA", "from_local": f"{name}{i}", "to_local": "x", "direction": "Both",
+                                     "payload": "{}"}) + "\n" for i in range(20))
+
+
+def test_micro_batches_are_bounded_in_bytes(spark, tmp, monkeypatch):
+    from aerocast.streaming import ingest as ing
+    _lines(f"{tmp}/topic", "abcdef")
+    monkeypatch.setattr(ing, "MAX_BYTES", 2 * os.path.getsize(f"{tmp}/topic/a") + 10)
+    released = []
+    monkeypatch.setattr(ing, "release_shuffles", lambda s: released.append(1))
+    _, st = ing.ingest(spark, f"{tmp}/topic", f"{tmp}/raw", f"{tmp}/dlq", f"{tmp}/ck")
+    assert st.batches == 3 and st.inserted == 120 and len(released) == 4
+    _lines(f"{tmp}/topic", "gh")
+    _, st = ing.ingest(spark, f"{tmp}/topic", f"{tmp}/raw", f"{tmp}/dlq", f"{tmp}/ck", options={"maxFilesPerTrigger": 1})
+    assert st.batches == 2 and spark.read.parquet(f"{tmp}/raw").count() == 160
+
+
+def test_shuffle_files_go_with_their_step(spark, tmp):
+    """Those of finished jobs, once they are released."""
+    import time
+
+    from aerocast.session import release_shuffles
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: sum(f.getName().startswith("shuffle_") and f.getName().endswith(".data") for f in _java(blocks.getAllFiles()))
+    release_shuffles(spark)
+    time.sleep(1)
+    before = held()
+    spark.range(100).repartition(3).write.parquet(f"{tmp}/x")
+    assert held() > before
+    for _ in range(20):
+        release_shuffles(spark)
+        time.sleep(0.3)
+        if held() <= before:
+            break
+    assert held() <= before
+
+
+def _java(seq):
+    it = seq.iterator()
+    while it.hasNext():
+        yield it.next()
+
+
+def test_resumed_stream_moves_whole_pages_only_where_few(spark, tmp, monkeypatch):
+    from aerocast import registry
+    _tables(spark, tmp)
+    plans = []
+    monkeypatch.setattr(registry, "publish", lambda df, topic, landing_dir=None, f=registry.publish: plans.append(_plan(df)) or f(df, topic, landing_dir))
+    monkeypatch.setattr(registry, "staged", lambda df: (df.repartition(9).localCheckpoint(), f"{tmp}/none"))
+    n = registry.q_stream_stop_and_resume(spark, tmp).count()
+    assert n > 0 and "Repartition 8" not in plans[0]
